@@ -1,0 +1,5 @@
+"""No streaming operators: trips come as monthly files.
+
+``standardize`` and ``clean_trips`` are narrow and also accept a streaming frame
+from ``spark.readStream``.
+"""
