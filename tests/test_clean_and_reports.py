@@ -1,0 +1,145 @@
+"""Row rules at their edges, and the grouped reports on hand-made rows."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from tripmill.functions import expressions as X
+from tripmill.functions import predicates as P
+from tripmill.operators import aggregate as A
+from tripmill.operators.clean import clean_trips
+from tripmill.plans import marts
+
+NAN = float("nan")
+
+
+def trips(spark, rows):
+    return spark.createDataFrame(
+        rows, "id int, trip_distance double, total_amount double, passenger_count double"
+    )
+
+
+def kept(df):
+    return sorted(row["id"] for row in df.collect())
+
+
+def test_cleaning_rules(spark):
+    df = trips(
+        spark,
+        [
+            (1, 1.0, 0.0, 1.0),  # a free trip stays
+            (2, 0.0, 5.0, 1.0),
+            (3, -1.0, 5.0, 1.0),
+            (4, None, 5.0, 1.0),
+            (5, 1.0, -0.01, 1.0),
+            (6, 1.0, None, 1.0),
+            (7, 1.0, 5.0, 0.0),
+            (8, 1.0, 5.0, None),  # unknown count means one
+            (9, 1.0, 5.0, NAN),  # so does NaN
+            (10, NAN, 5.0, 2.0),  # NaN is above zero
+            (11, 1.0, 5.0, -1.0),
+        ],
+    )
+    out = clean_trips(df)
+    assert kept(out) == [1, 8, 9, 10]
+    assert {row["id"]: row["passenger_count"] for row in out.collect()} == {
+        1: 1.0, 8: 1.0, 9: 1.0, 10: 2.0,
+    }
+
+
+def test_ranges_at_their_ends(spark):
+    df = trips(
+        spark,
+        [
+            (1, 1.0, 0.0, 1.0),
+            (2, 1.0, 200.0, 1.0),
+            (3, 1.0, 200.01, 1.0),
+            (4, 100.0, 50.0, 1.0),
+            (5, 99.9, 199.9, 1.0),
+            (6, 1.0, -0.01, 1.0),
+            (7, None, 50.0, 1.0),
+        ],
+    )
+    assert kept(df.filter(P.within_closed("total_amount", 0, 200))) == [1, 2, 4, 5, 7]
+    assert kept(df.filter(P.standard_trip())) == [5]
+
+
+def test_kpi_of_nothing(spark):
+    assert tuple(A.kpi(trips(spark, [])).first()) == (None, None, 0)
+
+
+def test_kpi_texts(spark):
+    kpis = spark.createDataFrame(
+        [(1234567.5, 2.345, 9000001)], "total_revenue double, avg_distance double, total_trips long"
+    )
+    assert tuple(A.kpi_text(kpis).first()) == ("$1,234,567.50", "2.35 miles", "9,000,001")
+
+
+def test_labels(spark):
+    codes = spark.createDataFrame([(c,) for c in [0, 1, 2, 3, 4, 5, 6, 9, None]], "payment_type_id long")
+    counts = A.counts_by(codes, "payment_type_id")
+    named = A.label_counts(counts)
+    by_code = {r["payment_type_id"]: r["payment_name"] for r in named.collect()}
+    assert by_code[6] == by_code[9] == by_code[None] == "Autre"
+    assert by_code[0] == by_code[5] == "Unknown"
+    shares = {r["payment_name"]: (r["counts"], r["share"]) for r in A.share_of_total(A.roll_up(named)).collect()}
+    assert shares["Autre"] == (3, 3 / 9) and shares["Unknown"] == (2, 2 / 9)
+    assert math.isclose(sum(share for _, share in shares.values()), 1.0)
+
+
+def test_histogram_ends_gaps_and_outsiders(spark):
+    values = [0.0, 9.99, 10.0, 100.0, 100.01, -0.01, NAN, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    out = [tuple(r) for r in A.histogram(df, "v", 0.0, 100.0, 10).collect()]
+    assert [r[0] for r in out] == list(range(10))
+    assert [r[2] for r in out] == [2, 1, 0, 0, 0, 0, 0, 0, 0, 1]
+    assert out[3][1] == 30.0
+
+
+def test_grid_has_both_ends(spark):
+    x = [r["x"] for r in spark.range(100).select(X.grid_point(F.col("id"), 0, 25, 100).alias("x")).collect()]
+    assert (x[0], x[-1], len(x)) == (0.0, 25.0, 100)
+
+
+def test_panels_agree_with_the_single_reports(spark, sf_dir):
+    from tripmill.bindings.queries import clean
+
+    fact = clean(spark, sf_dir)
+    panels = marts.trip_panels(fact)
+    assert marts.hourly_of_panels(panels).collect() == A.hourly_counts(fact).collect()
+    assert (
+        marts.histogram_of_panels(panels).collect()
+        == A.histogram(fact, "total_amount", 0.0, 200.0, 50).collect()
+    )
+    one, other = marts.kpi_of_panels(panels).first(), A.kpi(fact).first()
+    assert all(math.isclose(a, b) for a, b in zip(one, other))
+
+
+def test_panels_keep_a_null_group_apart_from_other_panels(spark):
+    fact = spark.sql(
+        "SELECT CAST(NULL AS TIMESTAMP_NTZ) AS tpep_pickup_datetime, CAST(NULL AS BIGINT) AS payment_type_id,"
+        " 500.0D AS total_amount, 1.0D AS trip_distance"
+    )
+    panels = marts.trip_panels(fact)
+    assert sorted(r["panel"] for r in panels.collect()) == ["bin", "hour", "payment"]
+    assert tuple(marts.kpi_of_panels(panels).first()) == (500.0, 1.0, 1)
+    assert [tuple(r) for r in marts.payment_of_panels(panels).collect()] == [(None, 1)]
+    assert sum(r["counts"] for r in marts.histogram_of_panels(panels).collect()) == 0
+
+
+def test_cleaning_and_schema_accept_a_stream(spark, sf_dir, tmp_path):
+    from tripmill.bindings import fixture as X2
+    from tripmill.operators.standardize import standardize
+
+    first = X2.raw_months(spark, sf_dir)[0]
+    first.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(first.schema).parquet(str(tmp_path / "in"))
+    query = (
+        clean_trips(standardize(stream))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == clean_trips(standardize(first)).count()

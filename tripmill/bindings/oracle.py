@@ -232,24 +232,28 @@ FROM orders GROUP BY 1""",
   FROM lineitem WHERE l_quantity BETWEEN 0 AND 64 GROUP BY 1)
 SELECT every.bin, every.bin * CAST(4 AS DOUBLE) AS bin_low, coalesce(found.counts, 0) AS counts
 FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(16)) every LEFT JOIN found USING (bin)""",
-    "trip_cube": f"""WITH {_CLEAN}
-SELECT CAST(extract(hour FROM tpep_pickup_datetime) AS BIGINT) AS hour, payment_type_id,
-  CASE WHEN {_CLOSED} THEN {_BIN} END AS amount_bin, {_COUNTS},
+    "trip_panels": f"""WITH {_CLEAN}, narrow AS (
+  SELECT CAST(extract(hour FROM tpep_pickup_datetime) AS BIGINT) AS hour, payment_type_id,
+    CASE WHEN {_CLOSED} THEN {_BIN} END AS bin, total_amount, trip_distance FROM clean)
+SELECT hour, payment_type_id, bin,
+  CASE WHEN grouping(hour) = 0 THEN 'hour' WHEN grouping(payment_type_id) = 0 THEN 'payment'
+       ELSE 'bin' END AS panel, {_COUNTS},
   round(sum(total_amount), 4) AS amount_sum, round(sum(trip_distance), 4) AS distance_sum,
   CAST(count(trip_distance) AS BIGINT) AS distance_counts
-FROM clean GROUP BY 1, 2, 3""",
-    "cube_kpi": _KPI,
-    "cube_hourly": _HOURLY,
-    "cube_payment_labels": _PAYMENT_SHARE,
-    "cube_histogram": _HISTOGRAM,
-    "mart_tables": f"""WITH {_CLEAN},
-cube AS (SELECT DISTINCT extract(hour FROM tpep_pickup_datetime) AS hour, payment_type_id,
-  CASE WHEN {_CLOSED} THEN {_BIN} END AS amount_bin FROM clean)
-SELECT 'trip_cube' AS mart, CAST(count(*) AS BIGINT) AS rows FROM cube
+FROM narrow GROUP BY GROUPING SETS ((hour), (payment_type_id), (bin))""",
+    "panel_kpi": _KPI,
+    "panel_hourly": _HOURLY,
+    "panel_payment_labels": _PAYMENT_SHARE,
+    "panel_histogram": _HISTOGRAM,
+    "mart_tables": f"""WITH {_CLEAN}, sizes AS (
+  SELECT count(DISTINCT extract(hour FROM tpep_pickup_datetime)) AS hours,
+    count(DISTINCT coalesce(payment_type_id, -1)) AS codes, count(DISTINCT {_LABEL}) AS labels,
+    count(DISTINCT CASE WHEN {_CLOSED} THEN {_BIN} ELSE -1 END) AS bins FROM clean)
+SELECT 'trip_panels' AS mart, CAST(hours + codes + bins AS BIGINT) AS rows FROM sizes
 UNION ALL SELECT 'kpi', 1
-UNION ALL SELECT 'hourly_counts', count(DISTINCT hour) FROM cube
-UNION ALL SELECT 'payment_counts', count(*) FROM (SELECT DISTINCT payment_type_id FROM cube)
-UNION ALL SELECT 'payment_labels', count(*) FROM (SELECT DISTINCT {_LABEL} FROM cube)
+UNION ALL SELECT 'hourly_counts', hours FROM sizes
+UNION ALL SELECT 'payment_counts', codes FROM sizes
+UNION ALL SELECT 'payment_labels', labels FROM sizes
 UNION ALL SELECT 'amount_histogram', 50
 UNION ALL SELECT 'sample_amounts', least(count(*), 100000) FROM clean WHERE {_CLOSED}
 UNION ALL SELECT 'sample_scatter', least(count(*), 10000) FROM clean WHERE {_OPEN}
@@ -289,16 +293,12 @@ UNION ALL SELECT 'not_null:payment_type_id', t = 0, t FROM n
 UNION ALL SELECT 'numeric:passenger_count', true, 0
 UNION ALL SELECT 'numeric:rate_code_id', true, 0
 UNION ALL SELECT 'numeric:payment_type_id', true, 0""",
-    "text_bounds": f"""WITH n AS (
-  SELECT count(*) AS n, CAST(count(*) - count(o_totalprice) AS BIGINT) AS p,
-         CAST(count(*) FILTER (WHERE length(o_orderstatus) > 5) AS BIGINT) AS s,
-         CAST(count(*) FILTER (WHERE length(o_orderpriority) > 8) AS BIGINT) AS o FROM orders)
-SELECT 'not_empty' AS rule, n > 0 AS ok, {_VALID} FROM n
-UNION ALL SELECT 'present:o_totalprice', true, 0
-UNION ALL SELECT 'not_null:o_totalprice', p = 0, p FROM n
-UNION ALL SELECT 'numeric:o_totalprice', true, 0
-UNION ALL SELECT 'max_length:o_orderstatus<=5', s = 0, s FROM n
-UNION ALL SELECT 'max_length:o_orderpriority<=8', o = 0, o FROM n""",
+    "text_bounds": """SELECT 'max_length:o_orderstatus<=5' AS rule,
+  count(*) FILTER (WHERE length(o_orderstatus) > 5) = 0 AS ok,
+  CAST(count(*) FILTER (WHERE length(o_orderstatus) > 5) AS BIGINT) AS bad_rows FROM orders
+UNION ALL
+SELECT 'max_length:o_orderpriority<=8', count(*) FILTER (WHERE length(o_orderpriority) > 8) = 0,
+  CAST(count(*) FILTER (WHERE length(o_orderpriority) > 8) AS BIGINT) FROM orders""",
     "fk_orphans": f"""WITH {_DIMS}, {_CLEAN}
 SELECT 'fk_payment' AS rule, trip_id FROM clean
 WHERE payment_type_id NOT IN (SELECT payment_type_id FROM dim_payment_type)

@@ -310,30 +310,30 @@ def quantity_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def trip_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(marts.trip_cube(clean(spark, sf_dir)), amount_sum=4, distance_sum=4)
+def trip_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(marts.trip_panels(clean(spark, sf_dir)), amount_sum=4, distance_sum=4)
 
 
 @query
-def cube_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = marts.kpi_of_cube(marts.trip_cube(clean(spark, sf_dir)))
+def panel_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = marts.kpi_of_panels(marts.trip_panels(clean(spark, sf_dir)))
     return rounded(report, total_revenue=4, avg_distance=6)
 
 
 @query
-def cube_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.hourly_of_cube(marts.trip_cube(clean(spark, sf_dir)))
+def panel_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.hourly_of_panels(marts.trip_panels(clean(spark, sf_dir)))
 
 
 @query
-def cube_payment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = marts.payment_of_cube(marts.trip_cube(clean(spark, sf_dir)))
+def panel_payment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = marts.payment_of_panels(marts.trip_panels(clean(spark, sf_dir)))
     return rounded(marts.payment_labels(counts), share=6)
 
 
 @query
-def cube_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.histogram_of_cube(marts.trip_cube(clean(spark, sf_dir)))
+def panel_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.histogram_of_panels(marts.trip_panels(clean(spark, sf_dir)))
 
 
 @query
@@ -345,6 +345,7 @@ def mart_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(name).alias("mart"), "rows"
         )
         for name, path in paths.items()
+        if name != "sample_candidates"
     ]
     return reduce(DataFrame.unionByName, sizes)
 
@@ -410,8 +411,8 @@ def quality_report_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def text_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts against a bound that holds and one that does not."""
-    return Q.validate(
-        X.table(spark, sf_dir, "orders"), ["o_totalprice"], {"o_orderstatus": 5, "o_orderpriority": 8}
+    return Q.text_report(
+        X.table(spark, sf_dir, "orders"), {"o_orderstatus": 5, "o_orderpriority": 8}
     )
 
 

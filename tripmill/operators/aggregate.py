@@ -101,10 +101,11 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
 
 
 def fill_bins(found: DataFrame, low: float, high: float, bins: int) -> DataFrame:
-    """Complete a (bin, counts) table to all ``bins`` bins, in order."""
+    """Complete a (bin, counts) table to all ``bins`` bins, in order. The table
+    has at most ``bins`` rows, so it can always be broadcast."""
     every = found.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return (
-        every.join(found, "bin", "left")
+        every.join(F.broadcast(found), "bin", "left")
         .select(
             "bin",
             X.bin_edge(F.col("bin"), low, high, bins).alias("bin_low"),

@@ -11,13 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.errors import ConstraintError, QualityError
+from tripmill.errors import QualityError
 from tripmill.functions import predicates as P
 
 
-def validation_metrics(
-    df: DataFrame, required: Sequence[str], text_bounds: Mapping[str, int] | None = None
-) -> list[Column]:
+def validation_metrics(df: DataFrame, required: Sequence[str]) -> list[Column]:
     """The aggregates behind :func:`validate`, for use in any global aggregation."""
     fields = {field.name.lower(): field for field in df.schema.fields}
     metrics = [F.count(F.lit(1)).alias("n_rows")]
@@ -26,15 +24,10 @@ def validation_metrics(
         if field is not None:
             floating = isinstance(field.dataType, (T.DoubleType, T.FloatType))
             metrics.append(F.count_if(P.is_missing(name, floating)).alias(f"missing_{name}"))
-    for name, bound in (text_bounds or {}).items():
-        if name.lower() in fields:
-            metrics.append(F.count_if(F.length(name) > bound).alias(f"too_long_{name}"))
     return metrics
 
 
-def validation_rules(
-    df: DataFrame, required: Sequence[str], text_bounds: Mapping[str, int] | None = None
-) -> list[tuple[str, Column, Column]]:
+def validation_rules(df: DataFrame, required: Sequence[str]) -> list[tuple[str, Column, Column]]:
     """(rule, ok, bad_rows) over a row of :func:`validation_metrics`, in the order
     in which a failing rule stops the job."""
     fields = {field.name.lower(): field for field in df.schema.fields}
@@ -51,10 +44,6 @@ def validation_rules(
     for name in known:
         numeric = F.lit(isinstance(fields[name.lower()].dataType, T.NumericType))
         rules.append((f"numeric:{name}", numeric, F.when(numeric, zero).otherwise(every)))
-    for name, bound in (text_bounds or {}).items():
-        if name.lower() in fields:
-            bad = F.col(f"too_long_{name}")
-            rules.append((f"max_length:{name}<={bound}", bad == 0, bad))
     return rules
 
 
@@ -67,16 +56,23 @@ def rules_as_rows(metrics: DataFrame, rules: Sequence[tuple[str, Column, Column]
     return metrics.select(F.inline(F.array(*rows)))
 
 
-def validate(
-    df: DataFrame, required: Sequence[str], text_bounds: Mapping[str, int] | None = None
-) -> DataFrame:
+def validate(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Check that the frame has rows, has the required columns, and that those
-    hold numbers without NULL or NaN; optionally that texts fit their bound.
+    hold numbers without NULL or NaN, in one pass: rule, ok, bad_rows."""
+    metrics = df.agg(*validation_metrics(df, required))
+    return rules_as_rows(metrics, validation_rules(df, required))
 
-    One pass over the columns concerned: rule, ok, bad_rows.
-    """
-    metrics = df.agg(*validation_metrics(df, required, text_bounds))
-    return rules_as_rows(metrics, validation_rules(df, required, text_bounds))
+
+def text_report(df: DataFrame, bounds: Mapping[str, int]) -> DataFrame:
+    """Texts longer than their column allows, in one pass: rule, ok, bad_rows."""
+    metrics = df.agg(
+        *[F.count_if(F.length(name) > bound).alias(name) for name, bound in bounds.items()]
+    )
+    rules = [
+        (f"max_length:{name}<={bound}", F.col(name) == 0, F.col(name))
+        for name, bound in bounds.items()
+    ]
+    return rules_as_rows(metrics, rules)
 
 
 def require(report: DataFrame, error: type[Exception] = QualityError) -> None:
@@ -124,11 +120,6 @@ def fk_report(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> D
     return report
 
 
-def require_foreign_keys(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> None:
-    """Raise before anything is written if a foreign key has orphans."""
-    require(fk_report(checks), ConstraintError)
-
-
 def pk_duplicates(df: DataFrame, *key: str) -> DataFrame:
     """The keys that occur more than once, with their number of rows."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)

@@ -1,53 +1,80 @@
-"""Random samples of an exact size."""
+"""Random samples of an exact size.
+
+A sample is the ``n`` rows with the smallest digest of their key (then of the key,
+then of the columns), so it depends on the data alone.
+
+A plain top-n hands up to ``n`` rows of *every* task to one reducer, which at a
+hundred thousand tasks is most of the table. Here a first pass counts the rows
+per magnitude class of the digest (60 classes at most), and a second one lets
+through only the classes needed to reach ``n``: about ``2 * n`` rows, whatever
+the size of the input. The result is exact, not approximate.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions import keys as K
 
-_DIGEST = "__digest"
 _CLASS = "__class"
 
 
-def sample_n(
+def sample_candidates(
     df: DataFrame,
-    n: int,
+    wanted: Sequence[tuple[int, Column]],
     key: Sequence[str],
     columns: Sequence[str],
     seed: int = 42,
 ) -> DataFrame:
-    """``columns`` of ``n`` random rows, or of all rows if there are fewer.
-
-    The sample is the ``n`` rows with the smallest digest of ``key`` (then of the
-    key, then of the columns), so it depends on the data alone.
-
-    A plain top-n hands up to ``n`` rows of *every* task to one reducer. Here a
-    first pass counts the rows per magnitude class of the digest (60 classes at
-    most), and only the classes that are needed to reach ``n`` go on: about
-    ``2 * n`` rows at worst, whatever the size of the input. The result is exact.
-    """
-    keyed = df.select(
-        *dict.fromkeys([*key, *columns]), K.digest(key, seed).alias(_DIGEST)
+    """Rows that hold, for each ``(n, condition)``, the sample of ``n`` rows that
+    meet the condition, and few others. All samples share the two passes."""
+    rows = df.select(*dict.fromkeys([*key, *columns]))
+    magnitude = K.magnitude(K.digest(key, seed))
+    classes = rows.groupBy(magnitude.alias(_CLASS)).agg(
+        *[F.count_if(condition).alias(f"rows_{i}") for i, (_, condition) in enumerate(wanted)]
     )
-    magnitude = K.magnitude(F.col(_DIGEST))
-    classes = keyed.groupBy(magnitude.alias(_CLASS)).agg(F.count(F.lit(1)).alias("rows"))
-    # The window runs over those 60 rows.
+    # The window runs over those 60 rows. A sum that never reaches n keeps all.
+    upward = Window.orderBy(_CLASS)
     running = classes.select(
-        _CLASS, F.sum("rows").over(Window.orderBy(_CLASS)).alias("rows")
+        _CLASS, *[F.sum(f"rows_{i}").over(upward).alias(f"rows_{i}") for i in range(len(wanted))]
     )
-    needed = running.filter(F.col("rows") >= n).agg(F.min(_CLASS)).scalar()
+    bounds = running.agg(
+        *[
+            F.coalesce(
+                F.min(F.when(F.col(f"rows_{i}") >= n, F.col(_CLASS))), F.lit(K.RANK_BITS)
+            ).alias(f"bound_{i}")
+            for i, (n, _) in enumerate(wanted)
+        ]
+    )
+    needed = F.lit(False)
+    for i, (_, condition) in enumerate(wanted):
+        needed = needed | (condition & (magnitude <= bounds.select(f"bound_{i}").scalar()))
+    return rows.filter(needed)
+
+
+def take_sample(
+    candidates: DataFrame, n: int, key: Sequence[str], columns: Sequence[str], seed: int = 42
+) -> DataFrame:
+    """``columns`` of the first ``n`` candidates in digest order."""
     return (
-        keyed.filter(magnitude <= F.coalesce(needed, F.lit(K.RANK_BITS)))
-        .orderBy(_DIGEST, *key, *columns)
+        candidates.select("*", K.digest(key, seed).alias("__digest"))
+        .orderBy("__digest", *key, *columns)
         .limit(n)
         .select(*columns)
     )
 
 
+def sample_n(
+    df: DataFrame, n: int, key: Sequence[str], columns: Sequence[str], seed: int = 42
+) -> DataFrame:
+    """``columns`` of ``n`` random rows, or of all rows if there are fewer."""
+    candidates = sample_candidates(df, [(n, F.lit(True))], key, columns, seed)
+    return take_sample(candidates, n, key, columns, seed)
+
+
 def sample_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42) -> DataFrame:
     """About ``fraction`` of the rows in one pass, without a shuffle."""
     return df.filter(K.in_fraction(key, fraction, seed))

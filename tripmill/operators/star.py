@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,12 +15,14 @@ def to_warehouse(
     df: DataFrame,
     names: Mapping[str, str] = WAREHOUSE_NAMES,
     schema: T.StructType = FACT_TRIPS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rename to the warehouse's names and types, in the order of its table.
 
     A fractional value going to an integer column is rounded to the nearest even,
     as the database does on insert; an overflow is an error under ANSI mode.
-    A generated key that the frame lacks is left to the sink.
+    A generated key that the frame lacks is left to the sink. ``keep`` passes
+    further columns through.
     """
     renamed = df.withColumnsRenamed(dict(names))
     types = {field.name.lower(): field.dataType for field in renamed.schema.fields}
@@ -37,7 +39,7 @@ def to_warehouse(
                 column = F.rint(column)
             column = column.cast(field.dataType)
         columns.append(column.alias(field.name))
-    return renamed.select(*columns)
+    return renamed.select(*columns, *keep)
 
 
 def with_surrogate_key(df: DataFrame, name: str = "trip_id", start: int = 0) -> DataFrame:

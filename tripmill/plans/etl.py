@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.operators.clean import clean_trips
 from tripmill.operators.star import to_warehouse
-from tripmill.sources.parquet import read_file, read_months, row_count, write_lake
+from tripmill.sources.parquet import (
+    base_name,
+    read_file,
+    read_months,
+    replace_batches,
+    write_lake,
+)
 
 
 def run_etl(
@@ -16,16 +23,28 @@ def run_etl(
     paths: Sequence[str],
     lake: str,
     warehouse: Callable[[DataFrame], None] | None = None,
+    batch_column: str | None = None,
 ) -> int:
     """Read, standardise, union and clean the months, write them to ``lake`` and
     hand the warehouse rows to ``warehouse``. Returns the number of clean rows.
 
+    The lake is replaced as a whole, or with ``batch_column`` only the parts that
+    came from files of the same names, so that single months can be run again.
+
     The first half is one narrow job. The two sinks do not share a cache: the
     lake table itself feeds the warehouse, so a lost executor costs no rework and
     the clean rows need not fit in memory. The count reads its footers.
     """
-    write_lake(clean_trips(read_months(spark, paths)), lake)
-    rows = row_count(spark, lake)
+    months = clean_trips(read_months(spark, paths, batch_column=batch_column))
+    if batch_column is None:
+        write_lake(months, lake)
+        clean, keep = read_file(spark, lake), []
+    else:
+        names = [base_name(path) for path in paths]
+        replace_batches(months, lake, batch_column, names)
+        clean = read_file(spark, lake).filter(F.col(batch_column).isin(names))
+        keep = [batch_column]
+    rows = clean.count()
     if warehouse is not None:
-        warehouse(to_warehouse(read_file(spark, lake)))
+        warehouse(to_warehouse(clean, keep=keep))
     return rows

@@ -1,9 +1,4 @@
-"""The report tables of a fact.
-
-A fact of any size becomes one small cube in one pass, and the KPI, hour, payment
-and histogram tables come from the cube. Its rows number at most
-25 hours x payment codes x (bins + 1).
-"""
+"""The report tables of a fact."""
 
 from __future__ import annotations
 
@@ -15,7 +10,7 @@ from pyspark.sql import functions as F
 from tripmill.functions import expressions as X
 from tripmill.functions import predicates as P
 from tripmill.operators import aggregate as A
-from tripmill.operators.sample import sample_n
+from tripmill.operators import sample as S
 from tripmill.sources.parquet import read_file, write_lake
 
 # The report's histogram range and its sample sizes.
@@ -26,40 +21,63 @@ AMOUNT_SAMPLE = 100_000
 SCATTER_SAMPLE = 10_000
 
 
-def trip_cube(
+def trip_panels(
     fact: DataFrame,
     ts: str = "tpep_pickup_datetime",
     payment: str = "payment_type_id",
     amount: str = "total_amount",
     distance: str = "trip_distance",
 ) -> DataFrame:
-    """Everything the report tables need, per hour, payment code and amount bin."""
-    return fact.groupBy(
+    """What all aggregate panels need, in one pass over four columns of the fact.
+
+    The grouping sets (hour), (payment code) and (amount bin) are separate rows,
+    told apart by ``panel``: a task sends some 90 rows to the shuffle, where one
+    group-by of the three together would send thousands.
+    """
+    narrow = fact.select(
         A.hour_of_day(ts).alias("hour"),
         F.col(payment).alias("payment_type_id"),
-        X.bin_index(F.col(amount), AMOUNT_LOW, AMOUNT_HIGH, AMOUNT_BINS).alias("amount_bin"),
-    ).agg(
+        X.bin_index(F.col(amount), AMOUNT_LOW, AMOUNT_HIGH, AMOUNT_BINS).alias("bin"),
+        F.col(amount).alias("amount"),
+        F.col(distance).alias("distance"),
+    )
+    hour, code, bin_ = F.col("hour"), F.col("payment_type_id"), F.col("bin")
+    return narrow.groupingSets([[hour], [code], [bin_]], hour, code, bin_).agg(
+        F.when(F.grouping("hour") == 0, F.lit("hour"))
+        .when(F.grouping("payment_type_id") == 0, F.lit("payment"))
+        .otherwise(F.lit("bin"))
+        .alias("panel"),
         F.count(F.lit(1)).alias("counts"),
-        F.sum(amount).alias("amount_sum"),
-        F.sum(distance).alias("distance_sum"),
-        F.count(distance).alias("distance_counts"),
+        F.sum("amount").alias("amount_sum"),
+        F.sum("distance").alias("distance_sum"),
+        F.count("distance").alias("distance_counts"),
     )
 
 
-def kpi_of_cube(cube: DataFrame) -> DataFrame:
-    return cube.agg(
+def _panel(panels: DataFrame, name: str) -> DataFrame:
+    return panels.filter(F.col("panel") == name)
+
+
+def kpi_of_panels(panels: DataFrame) -> DataFrame:
+    """The KPI row; the hours together are all trips."""
+    return _panel(panels, "hour").agg(
         F.sum("amount_sum").alias("total_revenue"),
         F.try_divide(F.sum("distance_sum"), F.sum("distance_counts")).alias("avg_distance"),
         F.coalesce(F.sum("counts"), F.lit(0).cast("long")).alias("total_trips"),
     )
 
 
-def hourly_of_cube(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("hour").agg(F.sum("counts").alias("counts")).orderBy("hour")
+def hourly_of_panels(panels: DataFrame) -> DataFrame:
+    return _panel(panels, "hour").select("hour", "counts").orderBy("hour")
 
 
-def payment_of_cube(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("payment_type_id").agg(F.sum("counts").alias("counts"))
+def payment_of_panels(panels: DataFrame) -> DataFrame:
+    return _panel(panels, "payment").select("payment_type_id", "counts")
+
+
+def histogram_of_panels(panels: DataFrame) -> DataFrame:
+    found = _panel(panels, "bin").filter(F.col("bin").isNotNull()).select("bin", "counts")
+    return A.fill_bins(found, AMOUNT_LOW, AMOUNT_HIGH, AMOUNT_BINS)
 
 
 def payment_labels(counts: DataFrame) -> DataFrame:
@@ -67,20 +85,12 @@ def payment_labels(counts: DataFrame) -> DataFrame:
     return A.share_of_total(A.roll_up(A.label_counts(counts)))
 
 
-def histogram_of_cube(cube: DataFrame) -> DataFrame:
-    found = (
-        cube.filter(F.col("amount_bin").isNotNull())
-        .groupBy(F.col("amount_bin").alias("bin"))
-        .agg(F.sum("counts").alias("counts"))
-    )
-    return A.fill_bins(found, AMOUNT_LOW, AMOUNT_HIGH, AMOUNT_BINS)
-
-
 def sample_amounts(
     fact: DataFrame, key: Sequence[str], n: int = AMOUNT_SAMPLE, amount: str = "total_amount"
 ) -> DataFrame:
     """Random amounts within the histogram's range."""
-    return sample_n(fact.filter(P.within_closed(amount, AMOUNT_LOW, AMOUNT_HIGH)), n, key, [amount])
+    kept = fact.filter(P.within_closed(amount, AMOUNT_LOW, AMOUNT_HIGH))
+    return S.sample_n(kept, n, key, [amount])
 
 
 def sample_scatter(
@@ -91,29 +101,39 @@ def sample_scatter(
     amount: str = "total_amount",
 ) -> DataFrame:
     """Random (distance, amount) pairs of the trips without outliers."""
-    return sample_n(fact.filter(P.standard_trip(distance, amount)), n, key, [distance, amount])
+    return S.sample_n(fact.filter(P.standard_trip(distance, amount)), n, key, [distance, amount])
 
 
 def build_marts(fact: DataFrame, root: str, key: Sequence[str] = ("trip_id",)) -> dict[str, str]:
     """Write one table per report panel below ``root``; returns their paths. Eager.
 
-    The fact is read once for the cube and twice for each sample.
+    The fact is read three times: once for all aggregates, and twice for both
+    samples together. Every other step reads the small tables written before.
     """
     spark = fact.sparkSession
     paths: dict[str, str] = {}
 
-    def write(name: str, frame: DataFrame) -> None:
+    def write(name: str, frame: DataFrame) -> DataFrame:
         paths[name] = f"{root.rstrip('/')}/{name}"
         write_lake(frame, paths[name])
-
-    write("trip_cube", trip_cube(fact))
-    cube = read_file(spark, paths["trip_cube"])
-    write("kpi", kpi_of_cube(cube))
-    write("hourly_counts", hourly_of_cube(cube).coalesce(1))
-    write("payment_counts", A.label_counts(payment_of_cube(cube)).coalesce(1))
-    write("payment_labels", payment_labels(payment_of_cube(cube)).coalesce(1))
-    write("amount_histogram", histogram_of_cube(cube).coalesce(1))
-    write("sample_amounts", sample_amounts(fact, key))
-    write("sample_scatter", sample_scatter(fact, key))
+        return read_file(spark, paths[name])
+
+    panels = write("trip_panels", trip_panels(fact))
+    write("kpi", kpi_of_panels(panels))
+    write("hourly_counts", hourly_of_panels(panels).coalesce(1))
+    payments = write("payment_counts", A.label_counts(payment_of_panels(panels)).coalesce(1))
+    write("payment_labels", payment_labels(payments).coalesce(1))
+    write("amount_histogram", histogram_of_panels(panels).coalesce(1))
+
+    closed = P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)
+    trimmed = P.standard_trip()
+    columns = ["trip_distance", "total_amount"]
+    wanted = [(AMOUNT_SAMPLE, closed), (SCATTER_SAMPLE, trimmed)]
+    drawn = write("sample_candidates", S.sample_candidates(fact, wanted, key, columns))
+    write(
+        "sample_amounts",
+        S.take_sample(drawn.filter(closed), AMOUNT_SAMPLE, key, ["total_amount"]),
+    )
+    write("sample_scatter", S.take_sample(drawn.filter(trimmed), SCATTER_SAMPLE, key, columns))
     write("preview", A.preview(fact))
     return paths

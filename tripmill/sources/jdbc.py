@@ -6,8 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.operators.quality import require_foreign_keys
-from tripmill.sources.warehouse import FACT, foreign_keys
+from tripmill.sources.warehouse import FACT, require_constraints
 
 
 @dataclass(frozen=True)
@@ -40,11 +39,10 @@ def append_fact(
 ) -> None:
     """Write the fact over JDBC; the database numbers its rows. Eager.
 
-    The foreign keys are checked first: the database would reject single
-    partitions and leave the others in place. ``append`` is not idempotent;
-    ``overwrite`` empties the table and keeps its definition.
+    The constraints are checked first. ``append`` is not idempotent; ``overwrite``
+    empties the table and keeps its definition.
     """
-    require_foreign_keys(foreign_keys(df))
+    require_constraints(df)
     (
         df.write.format("jdbc")
         .options(**target.options())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -97,6 +98,24 @@ def write_lake(
     writer.parquet(path)
 
 
+def replace_batches(df: DataFrame, path: str, column: str, names: Sequence[str]) -> None:
+    """Write a directory partitioned by ``column``, replacing the partitions of
+    ``names`` and no other. A batch that has no rows any more is emptied."""
+    strange = [name for name in names if not re.fullmatch(r"[\w.+-]+", name)]
+    if strange:
+        raise ValueError(f"not usable as a directory name: {strange}")
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column)
+        .parquet(path)
+    )
+    for name in names:
+        batch = df.filter(F.col(column) == name)
+        if batch.isEmpty():
+            write_lake(batch.drop(column), f"{path.rstrip('/')}/{column}={name}")
+
+
 def row_count(spark: SparkSession, path: str) -> int:
     """Rows of a written directory. No column is read, only footers."""
     return read_file(spark, path).count()

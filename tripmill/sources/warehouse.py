@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.errors import MissingInputError
-from tripmill.operators.quality import require, require_foreign_keys, pk_report
+from tripmill.errors import ConstraintError, MissingInputError
+from tripmill.operators.quality import fk_report, pk_report, require, text_report
 from tripmill.operators.star import with_surrogate_key
+from tripmill.schema import TEXT_BOUNDS
 from tripmill.sources import dimensions as D
-from tripmill.sources.parquet import read_file, write_lake
+from tripmill.sources.parquet import read_file, replace_batches, write_lake
 
 FACT = "fact_trips"
 DIMENSIONS = {
@@ -23,11 +26,16 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def _bounds(df: DataFrame) -> dict[str, int]:
+    return {name: bound for name, bound in TEXT_BOUNDS.items() if name in df.columns}
+
+
 def create_dimensions(spark: SparkSession, root: str) -> DataFrame:
     """Write the seeded dimensions, after checking their keys; returns the status row."""
     for table, (key, make) in DIMENSIONS.items():
         frame = make(spark)
-        require(pk_report(frame, key, rule=f"{table}.{key} is a key"))
+        require(pk_report(frame, key, rule=f"{table}.{key} is a key"), ConstraintError)
+        require(text_report(frame, _bounds(frame)), ConstraintError)
         write_lake(frame.coalesce(1), table_path(root, table))
     return D.status_row(spark, "Star schema ready; code 0 is present.")
 
@@ -54,6 +62,16 @@ def foreign_keys(fact: DataFrame) -> list[tuple[str, DataFrame, str, DataFrame,
     ]
 
 
+def require_constraints(fact: DataFrame) -> None:
+    """Raise before anything is written if a foreign key has orphans or a text is
+    too long. A database would reject single partitions and keep the others."""
+    report = fk_report(foreign_keys(fact))
+    bounds = _bounds(fact)
+    if bounds:
+        report = report.unionByName(text_report(fact, bounds))
+    require(report, ConstraintError)
+
+
 def next_trip_id(spark: SparkSession, root: str, key: str = "trip_id") -> int:
     """One more than the largest key of the stored fact, 0 if there is none."""
     try:
@@ -64,26 +82,24 @@ def next_trip_id(spark: SparkSession, root: str, key: str = "trip_id") -> int:
 
 
 def write_fact(
-    df: DataFrame, root: str, mode: str = "append", batch_column: str | None = None
+    df: DataFrame,
+    root: str,
+    mode: str = "append",
+    batch_column: str | None = None,
+    batches: Sequence[str] = (),
 ) -> None:
-    """Check the foreign keys, number the rows and write the fact. Eager.
+    """Check the constraints, number the rows and write the fact. Eager.
 
-    Nothing is written if a key has orphans. ``append`` adds rows each time it
-    runs; ``overwrite`` replaces the table. With ``batch_column`` the table is
-    partitioned by it and only the batches at hand are replaced, so a job can be
-    run again for the months it failed on.
+    ``append`` adds rows each time it runs; ``overwrite`` replaces the table. With
+    ``batch_column`` the table is partitioned by it and only ``batches`` are
+    replaced, so a job can be run again for the months it failed on.
     """
-    require_foreign_keys(foreign_keys(df))
+    require_constraints(df)
     spark = df.sparkSession
     path = table_path(root, FACT)
     if batch_column:
         numbered = with_surrogate_key(df, start=next_trip_id(spark, root))
-        (
-            numbered.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(batch_column)
-            .parquet(path)
-        )
+        replace_batches(numbered, path, batch_column, batches)
         return
     start = next_trip_id(spark, root) if mode == "append" else 0
     write_lake(with_surrogate_key(df, start=start), path, mode=mode)
