@@ -7,6 +7,7 @@ from tripmill.bindings import fixture as X
 from tripmill.bindings.queries import clean
 from tripmill.errors import ConstraintError
 from tripmill.operators import quality as Q
+from tripmill.operators.aggregate import hourly_counts
 from tripmill.operators.star import to_warehouse
 from tripmill.plans.etl import run_etl
 from tripmill.plans.lifecycle import run_lifecycle
@@ -136,6 +137,17 @@ def test_star_schema_as_views(spark, raw, tmp_path):
         " USING (payment_type_id) GROUP BY payment_name"
     )
     assert {r["payment_name"] for r in named.collect()} >= {"Cash", "Voided trip", None}
+    fact = warehouse.read_table(spark, root, warehouse.FACT)
+    hours = spark.sql(
+        "SELECT extract(HOUR FROM tpep_pickup_datetime) AS hour, count(*) AS counts"
+        " FROM fact_trips GROUP BY hour ORDER BY hour"
+    )
+    assert [tuple(r) for r in hours.collect()] == [tuple(r) for r in hourly_counts(fact).collect()]
+    sampled = spark.sql(
+        "SELECT total_amount FROM fact_trips WHERE total_amount BETWEEN 0 AND 200"
+        " ORDER BY random() LIMIT 100"
+    )
+    assert sampled.count() == 100
     for view in ("fact_trips", *warehouse.DIMENSIONS):
         spark.catalog.dropTempView(view)
 

@@ -110,7 +110,7 @@ def test_pipeline_validates_first(spark, tmp_path):
 
 def test_failed_gate_still_stores_the_model(spark, sf_dir, tmp_path):
     path = str(tmp_path / "model")
-    model = train_fare_model(clean(spark, sf_dir), path, key=TRIP_KEY, threshold=3.0).first()
+    model = train_fare_model(clean(spark, sf_dir), path, key=TRIP_KEY, threshold=3.0, method="md5").first()
     stored = load_model(spark, path).first()
     assert not model["passed"] and stored == model
     assert math.isclose(stored["rmse"], 3.184546, abs_tol=1e-6)

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.bindings import fixture as X
-from tripmill.bindings.queries import QUERIES
 from tripmill.operators import aggregate as A
 from tripmill.operators import quality as Q
 from tripmill.operators import regression as R
@@ -49,16 +48,6 @@ def test_widened_columns_still_push_their_filter(spark, plan, tmp_path):
     assert df.count() == 9
 
 
-def test_no_python_in_any_query(spark, sf_dir, plan):
-    for name in QUERIES:
-        if name in {"land_files", "lifecycle_summary", "mart_tables"}:
-            continue  # jobs; what they run are operators of the other queries
-        text = plan(QUERIES[name](spark, sf_dir))
-        assert "Python" not in text and "MapInPandas" not in text, name
-        assert "CartesianProduct" not in text, name
-        assert "BroadcastNestedLoopJoin" not in text, name
-
-
 def test_grouped_report_has_one_combined_shuffle(stored, plan):
     text = plan(A.counts_by(stored[1], "payment_type_id"))
     assert exchanges(text) == 1 and "partial_count" in text

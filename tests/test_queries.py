@@ -19,8 +19,12 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_query(name, spark, sf_dir, duck):
-    assert differences(QUERIES[name](spark, sf_dir), duck, ORACLE[name]) == []
+def test_query(name, spark, sf_dir, duck, plan):
+    df = QUERIES[name](spark, sf_dir)
+    assert differences(df, duck, ORACLE[name]) == []
+    text = plan(df)
+    for slow in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert slow not in text
 
 
 def test_entry(spark):

@@ -90,7 +90,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _select(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return frame.select(*[F.expr(text).alias(name) for name, text in columns.items()])
+    return frame.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

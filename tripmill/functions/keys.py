@@ -1,8 +1,11 @@
-"""Reproducible pseudo-random keys.
+"""Reproducible pseudo-random ranks.
 
-``rand(seed)`` depends on how the rows are partitioned; a digest of the row's key
-does not, so samples and splits stay the same after a repartition, a retry on
-another executor, or in another engine.
+``rand(seed)`` depends on how the rows are partitioned; a hash of the row's key
+does not, so samples and splits stay the same after a repartition or a retry on
+another executor. Two hashes:
+
+``md5``       of ``seed:key1:key2...``, as hex text: the same in any engine
+``xxhash64``  of the typed values, as a number: several times cheaper
 """
 
 from __future__ import annotations
@@ -12,31 +15,66 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A digest's rank below is its first 15 hex digits: 60 bits, so it fits a long.
-RANK_DIGITS = 15
-RANK_BITS = 4 * RANK_DIGITS
+# Classes of magnitude below the largest one. The smallest class of a table with
+# 2**40 rows holds about one row.
+CLASSES = 40
+
+# Bits kept of the 64: the number is never negative and can be exceeded.
+_LONG_BITS = 62
+
 
+def rank(key: Sequence[str], seed: int = 42, method: str = "md5") -> Column:
+    """The pseudo-random place of a row among all rows."""
+    if method == "md5":
+        parts = [F.lit(f"{seed}")]
+        for name in key:
+            parts += [F.lit(":"), F.coalesce(F.col(name).cast("string"), F.lit(""))]
+        return F.md5(F.concat(*parts))
+    if method == "xxhash64":
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 64 - _LONG_BITS)
+    raise ValueError(f"no such hash: {method}")
 
-def digest(key: Sequence[str], seed: int = 42) -> Column:
-    """md5 of ``seed:key1:key2...`` as hex text."""
-    parts = [F.col(name).cast("string") for name in key]
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
+def _floors(method: str) -> list[str]:
+    """SQL literals: the smallest rank of each class 1..CLASSES, and what exceeds
+    every rank."""
+    if method == "xxhash64":
+        return [f"{2**bit}L" for bit in range(_LONG_BITS - CLASSES, _LONG_BITS + 1)]
+    texts = []
+    for number in range(1, CLASSES + 1):
+        zeros, place = divmod(CLASSES - number, 4)
+        texts.append("0" * zeros + format(8 >> place, "x"))
+    return [f"'{text}'" for text in [*texts, "g"]]
 
-def magnitude(hex_digest: Column) -> Column:
-    """Bit length of the digest's 60-bit rank, 1..60.
 
-    It never decreases along the digest order, and every class holds about as
-    many rows as all the classes below it together.
+def magnitude(name: str, method: str = "md5") -> Column:
+    """Class 0..CLASSES of the rank in column ``name``, by its leading zero bits.
+
+    It never decreases along the ranks, and every class holds about as many rows
+    as all the classes below it together. Half of the rows are done after one
+    comparison.
     """
-    rank = F.conv(F.substring(hex_digest, 1, RANK_DIGITS), 16, 10).cast("long")
-    return F.length(F.bin(rank))
+    floors = _floors(method)
+    cases = [
+        f"WHEN `{name}` >= {floors[number - 1]} THEN {number}" for number in range(CLASSES, 0, -1)
+    ]
+    return F.expr(f"CASE {' '.join(cases)} ELSE 0 END")
+
+
+def ceiling(number: Column, method: str = "md5") -> Column:
+    """The smallest rank above a class."""
+    return F.element_at(F.expr(f"array({', '.join(_floors(method))})"), number + 1)
 
 
-def in_fraction(key: Sequence[str], fraction: float, seed: int = 42) -> Column:
-    """True for about ``fraction`` of the keys: the first 32 bits of the digest
-    lie below ``fraction * 2**32``."""
+def in_fraction(
+    key: Sequence[str], fraction: float, seed: int = 42, method: str = "md5"
+) -> Column:
+    """True for about ``fraction`` of the keys: those whose rank lies below that
+    fraction of all ranks (of its first 32 bits, for the text)."""
     if not 0.0 < fraction < 1.0:
         raise ValueError(f"fraction must lie between 0 and 1, got {fraction}")
-    bound = format(int(fraction * 2**32), "08x")
-    return F.substring(digest(key, seed), 1, 8) < F.lit(bound)
+    if method == "xxhash64":
+        bound = F.lit(int(fraction * 2**_LONG_BITS)).cast("long")
+    else:
+        bound = F.lit(format(int(fraction * 2**32), "08x"))
+    return rank(key, seed, method) < bound

@@ -17,10 +17,14 @@ from tripmill.functions import keys as K
 
 
 def split(
-    df: DataFrame, key: Sequence[str], test_fraction: float = 0.2, seed: int = 42
+    df: DataFrame,
+    key: Sequence[str],
+    test_fraction: float = 0.2,
+    seed: int = 42,
+    method: str = "md5",
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test), by digest of the key. The fraction holds on average."""
-    test = K.in_fraction(key, test_fraction, seed)
+    """(train, test), by hash of the key. The fraction holds on average."""
+    test = K.in_fraction(key, test_fraction, seed, method)
     return df.filter(~test), df.filter(test)
 
 
@@ -58,9 +62,7 @@ def fit(df: DataFrame, x: str = "trip_distance", y: str = "total_amount") -> Dat
     )
 
 
-def split_moments(
-    x: str, y: str, keep: Column, test: Column
-) -> list[Column]:
+def split_moments(x: str, y: str, keep: Column, test: Column) -> list[Column]:
     """Aggregates over the kept rows, for train and test side at once."""
     train_y = F.when(keep & ~test, F.col(y))
     test_y = F.when(keep & test, F.col(y))
@@ -105,11 +107,13 @@ def fit_and_score(
     test_fraction: float = 0.2,
     seed: int = 42,
     threshold: float = 10.0,
+    method: str = "md5",
 ) -> DataFrame:
     """Split, fit on train and score on test in one pass over the data:
     coef, intercept, n_train, n_test, rmse, passed."""
     kept = F.lit(True) if keep is None else keep
-    moments = df.agg(*split_moments(x, y, kept, K.in_fraction(key, test_fraction, seed)))
+    test = K.in_fraction(key, test_fraction, seed, method)
+    moments = df.agg(*split_moments(x, y, kept, test))
     return model_of_moments(moments, threshold)
 
 

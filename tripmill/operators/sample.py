@@ -1,13 +1,14 @@
 """Random samples of an exact size.
 
-A sample is the ``n`` rows with the smallest digest of their key (then of the key,
-then of the columns), so it depends on the data alone.
+A sample is the ``n`` rows with the smallest rank of their key (then the smallest
+key, then the smallest columns), so it depends on the data alone.
 
 A plain top-n hands up to ``n`` rows of *every* task to one reducer, which at a
 hundred thousand tasks is most of the table. Here a first pass counts the rows
-per magnitude class of the digest (60 classes at most), and a second one lets
-through only the classes needed to reach ``n``: about ``2 * n`` rows, whatever
-the size of the input. The result is exact, not approximate.
+per magnitude class of the rank (41 classes), and a second one lets through only
+the classes needed to reach ``n``: about ``2 * n`` rows, whatever the size of the
+input. Copies of a row share its rank, so there may be any number of them; they
+are counted, not carried, up to the last step. The result is exact.
 """
 
 from __future__ import annotations
@@ -19,8 +20,6 @@ from pyspark.sql import functions as F
 
 from tripmill.functions import keys as K
 
-_CLASS = "__class"
-
 
 def sample_candidates(
     df: DataFrame,
@@ -28,53 +27,72 @@ def sample_candidates(
     key: Sequence[str],
     columns: Sequence[str],
     seed: int = 42,
+    method: str = "md5",
 ) -> DataFrame:
     """Rows that hold, for each ``(n, condition)``, the sample of ``n`` rows that
     meet the condition, and few others. All samples share the two passes."""
+    rank = K.rank(key, seed, method)
     rows = df.select(*dict.fromkeys([*key, *columns]))
-    magnitude = K.magnitude(K.digest(key, seed))
-    classes = rows.groupBy(magnitude.alias(_CLASS)).agg(
+    ranked = rows.withColumn("__rank", rank)
+    classes = ranked.groupBy(K.magnitude("__rank", method).alias("class")).agg(
         *[F.count_if(condition).alias(f"rows_{i}") for i, (_, condition) in enumerate(wanted)]
     )
-    # The window runs over those 60 rows. A sum that never reaches n keeps all.
-    upward = Window.orderBy(_CLASS)
+    # The window runs over those 41 rows. A sum that never reaches n keeps all.
+    upward = Window.orderBy("class")
     running = classes.select(
-        _CLASS, *[F.sum(f"rows_{i}").over(upward).alias(f"rows_{i}") for i in range(len(wanted))]
-    )
-    bounds = running.agg(
-        *[
-            F.coalesce(
-                F.min(F.when(F.col(f"rows_{i}") >= n, F.col(_CLASS))), F.lit(K.RANK_BITS)
-            ).alias(f"bound_{i}")
-            for i, (n, _) in enumerate(wanted)
-        ]
+        "class", *[F.sum(f"rows_{i}").over(upward).alias(f"rows_{i}") for i in range(len(wanted))]
     )
+    reached = [
+        F.min(F.when(F.col(f"rows_{i}") >= n, F.col("class"))) for i, (n, _) in enumerate(wanted)
+    ]
     needed = F.lit(False)
-    for i, (_, condition) in enumerate(wanted):
-        needed = needed | (condition & (magnitude <= bounds.select(f"bound_{i}").scalar()))
+    for (_, condition), number in zip(wanted, reached):
+        bound = running.agg(K.ceiling(F.coalesce(number, F.lit(K.CLASSES)), method)).scalar()
+        needed = needed | (condition & (rank < bound))
     return rows.filter(needed)
 
 
 def take_sample(
-    candidates: DataFrame, n: int, key: Sequence[str], columns: Sequence[str], seed: int = 42
+    candidates: DataFrame,
+    n: int,
+    key: Sequence[str],
+    columns: Sequence[str],
+    seed: int = 42,
+    method: str = "md5",
 ) -> DataFrame:
-    """``columns`` of the first ``n`` candidates in digest order."""
+    """``columns`` of the first ``n`` candidates in rank order."""
+    names = list(dict.fromkeys([*key, *columns]))
+    order = ["__rank", *names]
+    distinct = candidates.groupBy(*names).agg(F.count(F.lit(1)).alias("__copies"))
+    first = distinct.select("*", K.rank(key, seed, method).alias("__rank")).orderBy(*order).limit(n)
+    # The window runs over those n rows.
+    before = F.sum("__copies").over(
+        Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    room = F.lit(n) - F.coalesce(before, F.lit(0))
     return (
-        candidates.select("*", K.digest(key, seed).alias("__digest"))
-        .orderBy("__digest", *key, *columns)
-        .limit(n)
+        first.withColumn("__taken", F.least(F.col("__copies"), room).cast("int"))
+        .filter(F.col("__taken") > 0)
+        .select(*columns, F.explode(F.array_repeat(F.lit(1), F.col("__taken"))))
         .select(*columns)
     )
 
 
 def sample_n(
-    df: DataFrame, n: int, key: Sequence[str], columns: Sequence[str], seed: int = 42
+    df: DataFrame,
+    n: int,
+    key: Sequence[str],
+    columns: Sequence[str],
+    seed: int = 42,
+    method: str = "md5",
 ) -> DataFrame:
     """``columns`` of ``n`` random rows, or of all rows if there are fewer."""
-    candidates = sample_candidates(df, [(n, F.lit(True))], key, columns, seed)
-    return take_sample(candidates, n, key, columns, seed)
+    candidates = sample_candidates(df, [(n, F.lit(True))], key, columns, seed, method)
+    return take_sample(candidates, n, key, columns, seed, method)
 
 
-def sample_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42) -> DataFrame:
+def sample_fraction(
+    df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42, method: str = "md5"
+) -> DataFrame:
     """About ``fraction`` of the rows in one pass, without a shuffle."""
-    return df.filter(K.in_fraction(key, fraction, seed))
+    return df.filter(K.in_fraction(key, fraction, seed, method))

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.schema import TRIP_CASTS, TRIP_DEFAULTS
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def standardize(
@@ -33,7 +33,7 @@ def standardize(
     """
     spelling = {name.lower(): name for name in [*casts, *defaults]}
     present: set[str] = set()
-    columns: list[Column] = []
+    columns: list[str] = []
     for field in df.schema.fields:
         name = spelling.get(field.name.lower(), field.name)
         if name.lower() in present:
@@ -42,13 +42,15 @@ def standardize(
         column = _quoted(field.name)
         target = casts.get(name)
         if target is not None and field.dataType != target:
-            column = column.try_cast(target)
-        columns.append(column.alias(name))
-    for name, value in defaults.items():
-        if name.lower() not in present:
-            column = F.lit(value)
-            columns.append((column.cast(casts[name]) if name in casts else column).alias(name))
-    return df.select(*columns)
+            column = f"try_cast({column} AS {target.simpleString()})"
+        columns.append(f"{column} AS {_quoted(name)}")
+    absent = {
+        name: F.lit(value).cast(casts[name]) if name in casts else F.lit(value)
+        for name, value in defaults.items()
+        if name.lower() not in present
+    }
+    out = df.selectExpr(*columns)
+    return out.withColumns(absent) if absent else out
 
 
 def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

@@ -33,13 +33,13 @@ def to_warehouse(
             if field.nullable:
                 raise ValueError(f"column {field.name} is missing")
             continue
-        column = F.col(field.name)
+        column = field.name
         if source != field.dataType:
             if isinstance(field.dataType, T.IntegralType) and isinstance(source, T.FractionalType):
-                column = F.rint(column)
-            column = column.cast(field.dataType)
-        columns.append(column.alias(field.name))
-    return renamed.select(*columns, *keep)
+                column = f"rint({column})"
+            column = f"CAST({column} AS {field.dataType.simpleString()})"
+        columns.append(f"{column} AS {field.name}")
+    return renamed.selectExpr(*columns, *[f"`{name}`" for name in keep])
 
 
 def with_surrogate_key(df: DataFrame, name: str = "trip_id", start: int = 0) -> DataFrame:

@@ -86,11 +86,15 @@ def payment_labels(counts: DataFrame) -> DataFrame:
 
 
 def sample_amounts(
-    fact: DataFrame, key: Sequence[str], n: int = AMOUNT_SAMPLE, amount: str = "total_amount"
+    fact: DataFrame,
+    key: Sequence[str],
+    n: int = AMOUNT_SAMPLE,
+    amount: str = "total_amount",
+    method: str = "md5",
 ) -> DataFrame:
     """Random amounts within the histogram's range."""
     kept = fact.filter(P.within_closed(amount, AMOUNT_LOW, AMOUNT_HIGH))
-    return S.sample_n(kept, n, key, [amount])
+    return S.sample_n(kept, n, key, [amount], method=method)
 
 
 def sample_scatter(
@@ -99,12 +103,16 @@ def sample_scatter(
     n: int = SCATTER_SAMPLE,
     distance: str = "trip_distance",
     amount: str = "total_amount",
+    method: str = "md5",
 ) -> DataFrame:
     """Random (distance, amount) pairs of the trips without outliers."""
-    return S.sample_n(fact.filter(P.standard_trip(distance, amount)), n, key, [distance, amount])
+    kept = fact.filter(P.standard_trip(distance, amount))
+    return S.sample_n(kept, n, key, [distance, amount], method=method)
 
 
-def build_marts(fact: DataFrame, root: str, key: Sequence[str] = ("trip_id",)) -> dict[str, str]:
+def build_marts(
+    fact: DataFrame, root: str, key: Sequence[str] = ("trip_id",), method: str = "xxhash64"
+) -> dict[str, str]:
     """Write one table per report panel below ``root``; returns their paths. Eager.
 
     The fact is read three times: once for all aggregates, and twice for both
@@ -125,15 +133,17 @@ def build_marts(fact: DataFrame, root: str, key: Sequence[str] = ("trip_id",)) -
     write("payment_labels", payment_labels(payments).coalesce(1))
     write("amount_histogram", histogram_of_panels(panels).coalesce(1))
 
-    closed = P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)
-    trimmed = P.standard_trip()
     columns = ["trip_distance", "total_amount"]
-    wanted = [(AMOUNT_SAMPLE, closed), (SCATTER_SAMPLE, trimmed)]
-    drawn = write("sample_candidates", S.sample_candidates(fact, wanted, key, columns))
-    write(
-        "sample_amounts",
-        S.take_sample(drawn.filter(closed), AMOUNT_SAMPLE, key, ["total_amount"]),
+    samples = {
+        "sample_amounts": (AMOUNT_SAMPLE, P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)),
+        "sample_scatter": (SCATTER_SAMPLE, P.standard_trip()),
+    }
+    drawn = write(
+        "sample_candidates",
+        S.sample_candidates(fact, list(samples.values()), key, columns, method=method),
     )
-    write("sample_scatter", S.take_sample(drawn.filter(trimmed), SCATTER_SAMPLE, key, columns))
+    for name, (n, condition) in samples.items():
+        taken = columns if name == "sample_scatter" else ["total_amount"]
+        write(name, S.take_sample(drawn.filter(condition), n, key, taken, method=method))
     write("preview", A.preview(fact))
     return paths

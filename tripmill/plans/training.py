@@ -13,14 +13,9 @@ from tripmill.operators import quality as Q
 from tripmill.operators import regression as R
 from tripmill.sources.models import save_model
 
-# What tells trips apart in the lake, where they have no key of their own.
-LAKE_KEY = (
-    "tpep_pickup_datetime",
-    "tpep_dropoff_datetime",
-    "PULocationID",
-    "DOLocationID",
-    "total_amount",
-)
+# What tells trips apart in the lake, where they have no key of their own. Trips
+# equal in all of it fall on the same side. Two of the columns are read anyway.
+LAKE_KEY = ("tpep_pickup_datetime", "PULocationID", "trip_distance", "total_amount")
 
 
 def train_fare_model(
@@ -32,6 +27,7 @@ def train_fare_model(
     test_fraction: float = 0.2,
     seed: int = 42,
     threshold: float = 10.0,
+    method: str = "xxhash64",
 ) -> DataFrame:
     """Train on ``trips`` and store the model at ``path``. Eager.
 
@@ -50,7 +46,7 @@ def train_fare_model(
     metrics = trips.agg(
         *Q.validation_metrics(trips, required),
         *R.split_moments(
-            x, y, keep=P.standard_trip(x, y), test=K.in_fraction(key, test_fraction, seed)
+            x, y, keep=P.standard_trip(x, y), test=K.in_fraction(key, test_fraction, seed, method)
         ),
     )
     row = trips.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
