@@ -23,7 +23,7 @@ def test_query(name, spark, sf_dir, duck, plan):
     df = QUERIES[name](spark, sf_dir)
     assert differences(df, duck, ORACLE[name]) == []
     text = plan(df)
-    for slow in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for slow in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoopJoin"):
         assert slow not in text
 
 

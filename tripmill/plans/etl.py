@@ -11,8 +11,8 @@ from tripmill.operators.clean import clean_trips
 from tripmill.operators.star import to_warehouse
 from tripmill.sources.parquet import (
     base_name,
-    read_file,
     read_months,
+    read_written,
     replace_batches,
     write_lake,
 )
@@ -38,11 +38,11 @@ def run_etl(
     months = clean_trips(read_months(spark, paths, batch_column=batch_column))
     if batch_column is None:
         write_lake(months, lake)
-        clean, keep = read_file(spark, lake), []
+        clean, keep = read_written(months, lake), []
     else:
         names = [base_name(path) for path in paths]
         replace_batches(months, lake, batch_column, names)
-        clean = read_file(spark, lake).filter(F.col(batch_column).isin(names))
+        clean = read_written(months, lake).filter(F.col(batch_column).isin(names))
         keep = [batch_column]
     rows = clean.count()
     if warehouse is not None:

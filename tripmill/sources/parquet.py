@@ -38,6 +38,11 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
 
 
+def read_written(df: DataFrame, path: str) -> DataFrame:
+    """What was just written from ``df``, without a look at its footers for the schema."""
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_months(
     spark: SparkSession,
     paths: Sequence[str],
