@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripmill.bindings import fixture as X
 from tripmill.bindings.queries import clean
-from tripmill.errors import ConstraintError
+from tripmill.errors import ConstraintError, MissingInputError
 from tripmill.operators import quality as Q
 from tripmill.operators.aggregate import hourly_counts
 from tripmill.operators.star import to_warehouse
@@ -69,6 +69,7 @@ def test_etl_replaces_single_months(spark, raw, tmp_path):
     assert 0 < second < total
     fact = warehouse.read_table(spark, root, warehouse.FACT)
     assert parquet.row_count(spark, lake) == fact.count() == total
+    assert parquet.read_parts(spark, lake).count() == total
     assert Q.pk_report(fact, "trip_id").first()["ok"]
 
     # The same file, now without a clean row, leaves nothing of its old rows.
@@ -79,14 +80,26 @@ def test_etl_replaces_single_months(spark, raw, tmp_path):
     assert parquet.row_count(spark, lake) == fact.count() == total - second
 
 
-def test_appending_the_fact_twice_duplicates_rows_but_no_key(spark, raw, tmp_path):
+def test_appending_the_fact_again_duplicates_rows_but_no_key(spark, raw, tmp_path):
     root = str(tmp_path / "warehouse")
     fact = to_warehouse(parquet.read_months(spark, raw[:1]))
-    warehouse.write_fact(fact, root)
-    warehouse.write_fact(fact, root)
+    for _ in range(3):
+        warehouse.write_fact(fact, root)
     stored = warehouse.read_table(spark, root, warehouse.FACT)
-    assert stored.count() == 2 * fact.count()
+    assert stored.count() == 3 * fact.count()
     assert Q.pk_report(stored, "trip_id").first()["ok"]
+    largest = stored.agg(F.max("trip_id")).first()[0]
+    assert warehouse.next_trip_id(spark, root) == largest + 1
+
+
+def test_next_key_without_or_after_a_record(spark, raw, tmp_path):
+    root = str(tmp_path / "warehouse")
+    assert warehouse.next_trip_id(spark, root) == 0
+    spark.range(5).withColumnRenamed("id", "trip_id").write.parquet(f"{root}/{warehouse.FACT}")
+    assert warehouse.next_trip_id(spark, root) == 5
+    # A write that recorded its first key and then failed.
+    spark.range(9, 10).withColumnRenamed("id", "start").write.parquet(f"{root}/{warehouse.FACT_KEYS}")
+    assert warehouse.next_trip_id(spark, root) == 9
 
 
 def orphaned(spark, sf_dir):
@@ -165,6 +178,12 @@ def test_lifecycle(spark, raw, tmp_path):
     assert spark.read.parquet(str(tmp_path / "model")).count() == 1
 
 
+def test_lifecycle_stops_when_a_file_did_not_land(spark, raw, tmp_path):
+    with pytest.raises(MissingInputError):
+        run_lifecycle(spark, [*raw[:1], str(tmp_path / "absent.parquet")], str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "lake").exists()
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, other = scratch.scratch_dir(spark, "x"), scratch.scratch_dir(spark, "x")

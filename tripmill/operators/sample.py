@@ -8,7 +8,8 @@ hundred thousand tasks is most of the table. Here a first pass counts the rows
 per magnitude class of the rank (41 classes), and a second one lets through only
 the classes needed to reach ``n``: about ``2 * n`` rows, whatever the size of the
 input. Copies of a row share its rank, so there may be any number of them; they
-are counted, not carried, up to the last step. The result is exact.
+are counted, not carried, up to the last step. The result is exact; ``n`` rows
+have to fit one task.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ from tripmill.sources import dimensions as D
 from tripmill.sources.parquet import read_file, replace_batches, write_lake
 
 FACT = "fact_trips"
+FACT_KEYS = "fact_trips_keys"
 DIMENSIONS = {
     "dim_payment_type": ("payment_type_id", D.dim_payment_type),
     "dim_rate_code": ("rate_code_id", D.dim_rate_code),
@@ -72,13 +73,30 @@ def require_constraints(fact: DataFrame) -> None:
     require(report, ConstraintError)
 
 
-def next_trip_id(spark: SparkSession, root: str, key: str = "trip_id") -> int:
-    """One more than the largest key of the stored fact, 0 if there is none."""
+def next_trip_id(spark: SparkSession, root: str) -> int:
+    """One more than the largest key of the stored fact, 0 if there is none.
+
+    The first key of the last write is on record, and keys only grow: row groups
+    of earlier writes are skipped by their statistics. Without a record all keys
+    are read.
+    """
     try:
-        largest = read_table(spark, root, FACT).agg(F.max(key)).first()[0]
+        fact = read_table(spark, root, FACT)
     except MissingInputError:
         return 0
-    return 0 if largest is None else largest + 1
+    try:
+        last = read_table(spark, root, FACT_KEYS).agg(F.max("start")).first()[0]
+    except MissingInputError:
+        last = 0
+    largest = fact.filter(F.col("trip_id") >= last).agg(F.max("trip_id")).first()[0]
+    return last if largest is None else largest + 1
+
+
+def _number(df: DataFrame, root: str, start: int) -> DataFrame:
+    """Record ``start`` and number the rows from it."""
+    record = df.sparkSession.range(start, start + 1, numPartitions=1).withColumnRenamed("id", "start")
+    write_lake(record, table_path(root, FACT_KEYS))
+    return with_surrogate_key(df, start=start)
 
 
 def write_fact(
@@ -98,8 +116,8 @@ def write_fact(
     spark = df.sparkSession
     path = table_path(root, FACT)
     if batch_column:
-        numbered = with_surrogate_key(df, start=next_trip_id(spark, root))
+        numbered = _number(df, root, next_trip_id(spark, root))
         replace_batches(numbered, path, batch_column, batches)
         return
     start = next_trip_id(spark, root) if mode == "append" else 0
-    write_lake(with_surrogate_key(df, start=start), path, mode=mode)
+    write_lake(_number(df, root, start), path, mode=mode)
