@@ -80,6 +80,19 @@ def test_two_samples_from_one_pair_of_passes(frame):
         assert together == alone
 
 
+def test_two_samples_count_their_classes_once(spark, frame):
+    context = spark.sparkContext
+
+    def jobs(wanted):
+        group = f"samples-{len(wanted)}"
+        context.setJobGroup(group, group)
+        S.sample_candidates(frame, wanted, ["id"], ["v"]).collect()
+        return len(context.statusTracker().getJobIdsForGroup(group))
+
+    one, other = (50, F.col("v") < 10), (20, F.col("v") > 5)
+    assert jobs([one, other]) == jobs([one])
+
+
 @pytest.mark.parametrize("method", ["md5", "xxhash64"])
 def test_magnitude_follows_the_ranks(frame, method):
     rank = K.rank(["id"], method=method)

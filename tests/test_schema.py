@@ -123,6 +123,12 @@ def test_months_with_their_file_name(spark, tmp_path):
     }
 
 
+def test_months_of_one_name_are_refused_as_batches(spark, tmp_path):
+    paths = drifting_files(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="same name"):
+        parquet.read_months(spark, [paths[0], paths[0]], batch_column="batch")
+
+
 def test_a_month_without_a_required_column_stops_the_union(spark, tmp_path):
     paths = drifting_files(spark, str(tmp_path))
     spark.read.parquet(paths[0]).drop("tip_amount").write.parquet(f"{tmp_path}/m5.parquet")

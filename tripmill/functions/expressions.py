@@ -23,7 +23,7 @@ def bin_edge(index: Column, low: float, high: float, bins: int) -> Column:
 
 def label(code: Column, labels: Mapping[int, str], default: str) -> Column:
     """The text of a code; ``default`` for any other code and for NULL."""
-    out = F
+    out = F.when(F.lit(False), F.lit(default))
     for key, text in labels.items():
         out = out.when(code == F.lit(key), F.lit(text))
     return out.otherwise(F.lit(default))

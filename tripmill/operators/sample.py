@@ -43,14 +43,22 @@ def sample_candidates(
     running = classes.select(
         "class", *[F.sum(f"rows_{i}").over(upward).alias(f"rows_{i}") for i in range(len(wanted))]
     )
-    reached = [
-        F.min(F.when(F.col(f"rows_{i}") >= n, F.col("class"))) for i, (n, _) in enumerate(wanted)
-    ]
+    bounds = running.agg(
+        F.struct(
+            *[
+                K.ceiling(
+                    F.coalesce(F.min(F.when(F.col(f"rows_{i}") >= n, F.col("class"))), F.lit(K.CLASSES)),
+                    method,
+                ).alias(f"bound_{i}")
+                for i, (n, _) in enumerate(wanted)
+            ]
+        )
+    )
     needed = F.lit(False)
-    for (_, condition), number in zip(wanted, reached):
-        bound = running.agg(K.ceiling(F.coalesce(number, F.lit(K.CLASSES)), method)).scalar()
-        needed = needed | (condition & (rank < bound))
-    return rows.filter(needed)
+    for i, (_, condition) in enumerate(wanted):
+        needed = needed | (condition & (F.col("__rank") < F.col(f"__bounds.bound_{i}")))
+    bounded = ranked.withColumn("__bounds", bounds.scalar())
+    return bounded.filter(needed).drop("__rank", "__bounds")
 
 
 def take_sample(

@@ -65,6 +65,8 @@ def read_months(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         schemas = list(pool.map(lambda path: read_file(spark, path).schema, paths))
     if batch_column:
+        if len({base_name(path) for path in paths}) < len(paths):
+            raise ValueError("two inputs have the same name")
         frames = [
             transform(spark.read.schema(schema).parquet(path)).withColumn(
                 batch_column, F.lit(base_name(path))
