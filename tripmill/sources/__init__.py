@@ -1 +1 @@
-"""Reads and writes: parquet, JDBC, the reference tables and stored models."""
+"""Reads and writes: parquet, JDBC, the dimensions and stored models."""
