@@ -1,0 +1,217 @@
+"""Secrets in source code, configuration and prose.
+
+Three fixed patterns find assignments, access keys and long hex strings wherever they
+stand. On top of them, lines that assign are lexed into pairs of a name and a literal:
+``name = "literal"``, ``"name": "literal"``, ``name: literal``, ``NAME=literal``,
+``name := "a" + "b"``. A constant that is stored under a harmless name and handed on
+(``x = "..."``, later ``client_secret = x``) is followed to its literal. A pair is
+reported when its target name is sensitive and its literal looks like a value.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator
+from itertools import accumulate
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from tripmill.llm.common import column, in_batches, map_arrow
+
+# The kinds, in the order in which spans at one place are listed.
+KINDS = ("assign", "access", "hex", "named")
+
+# The base patterns and the least lengths of what they find.
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    re.IGNORECASE | re.ASCII,
+)
+ASSIGN_LEAST = 6
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")
+
+# How much a part of a name tells that its value is secret.
+NAME_WEIGHTS = {
+    "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "passcode": 1.0,
+    "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9,
+    "bearer": 0.9, "auth": 0.6, "authorization": 0.7, "private": 0.6, "key": 0.5,
+    "api": 0.4, "access": 0.4, "signing": 0.5, "signature": 0.5, "encryption": 0.5,
+    "client": 0.2, "session": 0.4, "salt": 0.4, "cert": 0.4, "pin": 0.3, "login": 0.3,
+}
+
+# Parts that say the value is something about a secret rather than one.
+NAME_EXCUSES = {"length", "len", "count", "size", "type", "name", "path", "file", "url", "field", "id"}
+
+# Literals that stand for a value to be filled in.
+PLACEHOLDER = re.compile(
+    r"(?i)(?:.*(?:example|changeme|change_me|placeholder|your[_-]|redacted|dummy).*"
+    r"|true|false|null|none|undefined|x+|\*+|\$\{.*|\$\(.*|<.*>|\{\{.*|%.*%)\Z"
+)
+
+_WORD = r"[A-Za-z_$@][\w.$@-]{0,79}"
+_TERM = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s"'`;,(){}\[\]<>#+&|=:]+)"""
+PAIR = re.compile(
+    rf"""(?<![\w$@.-])(?P<quote>["']?)(?P<name>{_WORD})(?P=quote)\x20*(?:=>|:=|=(?!=)|:(?!:))\x20*"""
+    rf"(?P<value>{_TERM}(?:\x20*[+.]\x20*{_TERM})*)"
+)
+TERM = re.compile(_TERM)
+NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+
+# Names count as sensitive, and pairs are reported, from these scores on.
+LEAST_SCORE = 0.6
+LEAST_PAIR = 0.45
+LEAST_LENGTH = 6
+
+
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) by the fixed patterns, leftmost first, without overlap within
+    a kind; assignments of too short a value are dropped after matching."""
+    found = []
+    if "=" in text or ":" in text:
+        found += [
+            (m.start(), m.end(), "assign")
+            for m in ASSIGN.finditer(text)
+            if len(m[2]) >= ASSIGN_LEAST
+        ]
+    found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
+    found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
+    return found
+
+
+def name_score(name: str) -> float:
+    """0 to 1: how sure a name's parts make it that the value is secret."""
+    parts = [part.lower() for part in NAME_PARTS.findall(name)]
+    if not parts or parts[-1] in NAME_EXCUSES:
+        return 0.0
+    harmless = 1.0
+    for part in parts:
+        harmless *= 1.0 - NAME_WEIGHTS.get(part, 0.0)
+    return 1.0 - harmless
+
+
+def literal_score(literal: str) -> float:
+    """0 to 1: how much a literal looks like a value, by length, variety and kinds of
+    characters; a placeholder or prose is none."""
+    if len(literal) < LEAST_LENGTH or PLACEHOLDER.match(literal) or " " in literal:
+        return 0.0
+    counts = Counter(literal)
+    total = sum(counts.values())
+    entropy = -sum(n / total * math.log2(n / total) for n in counts.values())
+    kinds = sum(
+        any(test(c) for c in counts)
+        for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum())
+    )
+    return min(1.0, entropy / 4.0) * min(1.0, 0.55 + 0.15 * kinds)
+
+
+def assigning_lines(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every line that holds a separator, once each."""
+    end = -1
+    for found in re.finditer("[=:]", text):
+        if found.start() < end:
+            continue
+        start = text.rfind("\n", max(end, 0), found.start()) + 1 or max(end, 0)
+        end = text.find("\n", found.start())
+        end = len(text) if end < 0 else end
+        yield start, end
+
+
+def literals_of(value: list) -> list[tuple[int, int]]:
+    """The literals a value is made of, in order and once each. A value's parts are
+    literals, as (start, end), or other values, as lists: what a name stood for."""
+    found: dict[tuple[int, int], None] = {}
+    seen = {id(value)}
+    waiting = [iter(value)]
+    while waiting:
+        part = next(waiting[-1], None)
+        if part is None:
+            waiting.pop()
+        elif isinstance(part, tuple):
+            found[part] = None
+        elif id(part) not in seen:
+            seen.add(id(part))
+            waiting.append(iter(part))
+    return list(found)
+
+
+def named_spans(text: str) -> list[tuple[int, int, str, float]]:
+    """(start, end, name, score) of literals that reach a sensitive name, directly or
+    through other names. Each is listed once, with its best score."""
+    if "=" not in text and ":" not in text:
+        return []
+    constants: dict[str, list] = {}
+    found: dict[tuple[int, int], tuple[str, float]] = {}
+    for start, end in assigning_lines(text):
+        for pair in PAIR.finditer(text, start, end):
+            value: list = []
+            for term in TERM.finditer(text, pair.start("value"), pair.end("value")):
+                if term[0][0] in "\"'`":
+                    value.append((term.start() + 1, term.end() - 1))
+                else:
+                    value.append(constants.get(term[0], term.span()))
+            name = pair["name"]
+            constants[name] = value
+            sensitive = name_score(name)
+            if sensitive < LEAST_SCORE:
+                continue
+            literals = literals_of(value)
+            score = sensitive * literal_score("".join(text[a:b] for a, b in literals))
+            if score >= LEAST_PAIR:
+                for span in literals:
+                    if span[1] > span[0] and score > found.get(span, ("", 0.0))[1]:
+                        found[span] = (name, score)
+    return [(a, b, name, score) for (a, b), (name, score) in found.items()]
+
+
+def secret_spans(text: str) -> list[tuple[str, int, int, str | None, float | None]]:
+    """(kind, start, end, name, score) of all spans by start, kind and end. A literal
+    that lies within a base span is not listed again."""
+    base = base_spans(text)
+    starts = sorted((a, b) for a, b, _ in base)
+    reach = list(accumulate((b for _, b in starts), max))
+    out = [(a, KINDS.index(kind), b, None, None) for a, b, kind in base]
+    for a, b, name, score in named_spans(text):
+        before = bisect_right(starts, (a, len(text)))
+        if not before or reach[before - 1] < b:
+            out.append((a, KINDS.index("named"), b, name, score))
+    out.sort(key=lambda span: span[:3])
+    return [(KINDS[kind], a, b, name, score) for a, kind, b, name, score in out]
+
+
+SPAN = "array<struct<kind string, start long, end long, name string, score double>>"
+
+
+def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """All secrets of every whole text: ``key`` and ``spans``, an array of (kind, start,
+    end, name, score) in code points, the end exclusive; name and score only for kind
+    ``named``. Narrow: one row in, one row out, no shuffle.
+
+    A NULL text counts as empty and has no spans; a NULL or repeated key is passed
+    through; other columns are not looked at, whatever their names; an empty table gives
+    an empty one. Texts of any length are scanned whole and in linear time; finished rows
+    leave the task in batches of bounded size.
+    """
+    key_type = docs.schema[key].dataType
+    spans_type = T.DataType.fromDDL(SPAN)
+    result = T.StructType([T.StructField(key, key_type), T.StructField("spans", spans_type)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(result)
+        names = ("kind", "start", "end", "name", "score")
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for number, value in zip(batch.column(0), batch.column(1)):
+                    found = secret_spans(value.as_py() or "")
+                    yield number.as_py(), [dict(zip(names, span)) for span in found]
+
+        yield from in_batches(rows(), schema, size=lambda row: 64 + 64 * len(row[1]))
+
+    return map_arrow(docs.select(column(key), column(text).cast("string")), run, result)
