@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, langid, secrets, token_counts
+from tripmill.llm import bpe, langid, secret_scan, token_counts
 from tripmill.llm.common import table
 
 # Which vocabularies the registered queries use.
@@ -27,7 +27,7 @@ def _joined(spans: Column) -> Column:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
     def count(kind: str) -> Column:
         of_kind = F.filter("spans", lambda s: s.kind == kind)
@@ -35,7 +35,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select(
         "doc_id",
-        *map(count, secrets.KINDS),
+        *map(count, secret_scan.KINDS),
         _sha256(_joined(F.filter("spans", lambda s: s.kind != "named"))).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
     )
