@@ -13,9 +13,11 @@ white space that a longer text would hand to the next piece, and inside a contra
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
+from os.path import commonprefix
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,6 @@ from tripmill.llm.bpe import (
     BLANK,
     KNOWN_SCRIPTS,
     LETTERS,
-    REMEMBERED,
     Vocabulary,
     character_class,
 )
@@ -35,6 +36,11 @@ from tripmill.llm.common import column, in_batches, map_arrow
 # Pieces up to this many characters are remembered; their counts fit a byte.
 SHORT_PIECE = 60
 
+# Characters of texts learned from together, and pieces remembered per Python worker
+# (some 200 MB).
+CHARACTERS_TOGETHER = 4_000_000
+PIECES_REMEMBERED = 1_000_000
+
 # All white space. A longer run before other text is split by the
 # tokenizer; a prefix that ends with the run is not.
 SPACE = BLANK + "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -51,6 +57,17 @@ def piece_pattern() -> str:
     )
 
 
+class Part(NamedTuple):
+    """A stretch of text and, after its first ``own`` characters, all but the last one of
+    the special token it ends with, if any: a prefix that stops there holds plain text."""
+
+    text: str
+    own: int
+    special: bool
+    pieces: list[str]
+    runs: list[tuple[int, int]]
+
+
 class PrefixCounter:
     """Counts the tokens of all prefixes, with one byte-level tokenizer file."""
 
@@ -63,8 +80,13 @@ class PrefixCounter:
         special = sorted(self.vocabulary.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.pieces = re.compile(piece_pattern())
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | np.ndarray] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        # token -> (rank, left, right) of the merge that makes it
+        self.made: dict[str, tuple[int, str, str]] = {}
+        for (left, right), (rank, token) in self.vocabulary.merges.items():
+            if self.made.setdefault(token, (rank, left, right))[0] != rank:
+                raise ValueError(f"two merges make {token!r}")
 
     def split(self, text: str) -> list[str]:
         if text.isascii() or max(text) < chr(KNOWN_SCRIPTS):
@@ -73,76 +95,114 @@ class PrefixCounter:
 
     def stays(self, left: str, right: str) -> bool:
         """Whether the two tokens, encoded together, stay these two; with an empty
-        ``left``, whether ``right`` is what its own letters are encoded to."""
+        ``left``, whether ``right`` is what its own letters are encoded to.
+
+        Merges are undone from the last on, on either side of the seam. A merge across it
+        that ranks before the one just undone would have come first.
+        """
         found = self.pairs.get((left, right))
         if found is None:
-            ids = self.vocabulary.ids
-            wanted = [ids[left], ids[right]] if left else [ids[right]]
-            found = self.vocabulary.merge(list(left + right)) == wanted
-            if len(self.pairs) >= REMEMBERED:
+            if left:
+                found = self.stays("", right) and self.seam_holds(left, right)
+            else:
+                found = self.vocabulary.merge(list(right)) == [self.vocabulary.ids[right]]
+            if len(self.pairs) >= PIECES_REMEMBERED:
                 self.pairs.clear()
             self.pairs[left, right] = found
         return found
 
-    def piece(self, piece: str) -> list[int]:
-        """Tokens of the first 1, 2, ... characters of a piece."""
-        letters = "".join([LETTERS[byte] for byte in piece.encode()])
-        counts, last = [0], [""]
+    def seam_holds(self, left: str, right: str) -> bool:
+        merges, made = self.vocabulary.merges, self.made
+        limit = len(merges)
+        while True:
+            across = merges.get((left, right))
+            if across and across[0] < limit:
+                return False
+            last_left, last_right = made.get(left), made.get(right)
+            if last_left and (not last_right or last_left[0] > last_right[0]):
+                limit, left = last_left[0], last_left[2]
+            elif last_right:
+                limit, right = last_right[0] + 1, last_right[1]
+            else:
+                return True
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Remember the counts of pieces. In sorted order each shares its first letters
+        with the one before, and so what was found for them."""
         tokens, pairs, longest = self.vocabulary.ids, self.pairs, self.longest
-        for end in range(1, len(letters) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = letters[start:end]
-                if token in tokens:
-                    stays = pairs.get((last[start], token))
-                    if stays or (stays is None and self.stays(last[start], token)):
-                        counts.append(counts[start] + 1)
-                        last.append(token)
-                        break
+        before, counts, last = "", [0], [""]
+        for piece in sorted(pieces):
+            letters = "".join([LETTERS[byte] for byte in piece.encode()])
+            same = len(commonprefix((before, letters)))
+            before = letters
+            del counts[same + 1 :], last[same + 1 :]
+            for end in range(same + 1, len(letters) + 1):
+                for start in range(end - longest if end > longest else 0, end):
+                    token = letters[start:end]
+                    if token in tokens:
+                        stays = pairs.get((last[start], token))
+                        if stays or (stays is None and self.stays(last[start], token)):
+                            counts.append(counts[start] + 1)
+                            last.append(token)
+                            break
+                else:
+                    raise ValueError(f"the vocabulary cannot spell {letters[:end]!r}")
+            if len(letters) == len(piece):
+                found = counts[1:]
             else:
-                raise ValueError(f"the vocabulary cannot spell {letters[:end]!r}")
-        if piece in ("'re", "'ve", "'ll"):
-            counts[2] = 2  # cut after its letter, the apostrophe stands alone
-        if len(letters) == len(piece):
-            return counts[1:]
-        ends = accumulate(len(c.encode()) for c in piece)
-        return [counts[end] for end in ends]
-
-    def table(self, piece: str) -> bytes:
-        """The counts of a short piece, a byte each, from memory or for the first time."""
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[piece] = found = bytes(self.piece(piece))
-        return found
+                found = [counts[end] for end in accumulate(len(c.encode()) for c in piece)]
+            if piece in ("'re", "'ve", "'ll"):
+                found[1] = 2  # cut after its letter, the apostrophe stands alone
+            self.known[piece] = bytes(found) if len(piece) <= SHORT_PIECE else np.array(found)
+
+    def parts(self, text: str) -> list[Part]:
+        """The text cut after its special tokens."""
+        found = self.special.split(text) if self.special else [text]
+        out = []
+        for number in range(0, len(found), 2):
+            special = found[number + 1] if number + 1 < len(found) else ""
+            part = found[number] + special[:-1]
+            runs = [run.span() for run in BLANK_RUN.finditer(part)]
+            out.append(Part(part, len(found[number]), bool(special), self.split(part), runs))
+        return out
 
-    def plain(self, text: str) -> np.ndarray:
-        """Counts of the prefixes of a text without special tokens."""
-        pieces = self.split(text)
-        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        known = self.known
+    def prepare(self, texts: Sequence[str]) -> list[list[Part]]:
+        """Split texts and learn what they need, together. What was remembered before is
+        given up when it is too much."""
+        if len(self.known) >= PIECES_REMEMBERED:
+            self.known.clear()
+        prepared = [self.parts(text) for text in texts]
+        needed: set[str] = set()
+        for part in chain.from_iterable(prepared):
+            needed.update(part.pieces)
+            needed.update(part.text[start:end] for start, end in part.runs)
+        self.learn(needed.difference(self.known))
+        return prepared
+
+    def plain(self, part: Part) -> np.ndarray:
+        """Counts of the prefixes of a part, as if it held no special token."""
+        sizes = np.fromiter(map(len, part.pieces), dtype=np.int64, count=len(part.pieces))
+        tables = map(self.known.__getitem__, part.pieces)
         if sizes.max(initial=0) <= SHORT_PIECE:
-            joined = np.frombuffer(b"".join([known.get(p) or self.table(p) for p in pieces]), np.uint8)
+            joined = np.frombuffer(b"".join(tables), np.uint8).astype(np.int64)
         else:
-            joined = np.array([count for p in pieces for count in known.get(p) or self.piece(p)])
-        joined = joined.astype(np.int64)
+            joined = np.array([count for table in tables for count in table])
         totals = joined[np.cumsum(sizes) - 1]
         out = joined + np.repeat(np.cumsum(totals) - totals, sizes)
-        for run in BLANK_RUN.finditer(text):
-            before = int(out[run.start() - 1]) if run.start() else 0
-            out[run.end() - 1] = before + self.piece(run[0])[-1]
+        for start, end in part.runs:
+            before = int(out[start - 1]) if start else 0
+            out[end - 1] = before + int(self.known[part.text[start:end]][-1])
         return out
 
-    def prefixes(self, text: str) -> np.ndarray:
-        """Tokens of ``text[:0]``, ``text[:1]``, ... up to the whole text."""
+    def prefixes(self, parts: Sequence[Part]) -> np.ndarray:
+        """Tokens of the first 0, 1, 2, ... characters of a prepared text."""
         out = [np.zeros(1, dtype=np.int64)]
         base = 0
-        parts = self.special.split(text) if self.special else [text]
-        for number in range(0, len(parts), 2):
-            special = parts[number + 1] if number + 1 < len(parts) else ""
-            counts = self.plain(parts[number] + special[:-1])
+        for part in parts:
+            counts = self.plain(part)
             out.append(base + counts)
-            if special:
-                own = counts[len(parts[number]) - 1] if parts[number] else 0
-                base += int(own) + 1
+            if part.special:
+                base += int(counts[part.own - 1] if part.own else 0) + 1
                 out.append(np.array([base]))
         return np.concatenate(out)
 
@@ -153,6 +213,21 @@ def longest_prefix(counts: np.ndarray, budget: int) -> int:
     return int(np.flatnonzero(counts <= budget)[-1])
 
 
+def together(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts of a batch in groups of bounded size."""
+    numbers: list = []
+    texts: list[str] = []
+    held = 0
+    for number, value in zip(batch.column(0), batch.column(1)):
+        numbers.append(number)
+        texts.append(value.as_py() or "")
+        held += len(texts[-1])
+        if held >= CHARACTERS_TOGETHER:
+            yield numbers, texts
+            numbers, texts, held = [], [], 0
+    yield numbers, texts
+
+
 @lru_cache(maxsize=4)
 def counter(path: str) -> PrefixCounter:
     """One counter per file and Python worker."""
@@ -197,12 +272,12 @@ def token_counts(
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for number, value in zip(batch.column(0), batch.column(1)):
-                    words = value.as_py() or ""
-                    counts = own.prefixes(words)
-                    row = (number.as_py(), len(words.encode()), int(counts[-1]))
-                    row += tuple(longest_prefix(counts, budget) for budget in budgets)
-                    yield (*row, counts.astype(np.int32)) if prefixes else row
+                for numbers, texts in together(batch):
+                    for number, words, parts in zip(numbers, texts, own.prepare(texts)):
+                        counts = own.prefixes(parts)
+                        row = (number.as_py(), len(words.encode()), int(counts[-1]))
+                        row += tuple(longest_prefix(counts, budget) for budget in budgets)
+                        yield (*row, counts.astype(np.int32)) if prefixes else row
 
         yield from in_batches(
             rows(), schema, size=lambda row: 64 + (4 * len(row[-1]) if prefixes else 0)
