@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, langid, secret_scan, token_counts
+from tripmill.llm import (
+    bpe,
+    langid,
+    line_dedup,
+    near_dup,
+    secret_scan,
+    sharding,
+    token_counts,
+    url_filter,
+)
 from tripmill.llm.common import table
 
 # Which vocabularies the registered queries use.
@@ -16,6 +25,19 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 
+# Shards of the registered query, and what a record costs besides its text.
+SHARDS = 40
+RECORD_BYTES = 16
+
+# The registered query's rules on URLs.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
 
 def _sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
@@ -41,6 +63,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"), "text"
+    )
+
+
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train_language_model(docs.filter(~langid.is_held_out()))
@@ -59,6 +93,27 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+    )
+    placed = sharding.assign_shards(
+        records, [1.0] * SHARDS, added=1.0, order=["text_crc32", "size"]
+    )
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, rules).select("page_id", "judged.*")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(
         table(spark, sf_dir, "documents"), BYTE_VOCABULARY, budgets=[TOKEN_LIMIT]
@@ -74,7 +129,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_language_id": op4_language_id,
     "op6_bpe": op6_bpe,
+    "op7_sharding": op7_sharding,
+    "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
 }
