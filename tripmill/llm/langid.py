@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import column, in_batches, map_arrow
+from tripmill.llm.common import column, map_arrow
 
 UNKNOWN = "und"
 
@@ -234,7 +234,7 @@ def train_language_model(
 def identify_language(
     docs: DataFrame, model: LanguageModel, text: str = "text", keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """``keep`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` of every whole
+    """``keep`` with ``__lang_pred``, ``__score`` (0 to 1) and ``__ambiguous`` of every whole
     text, read from nothing but the text. Narrow: no shuffle; the model, of a size that
     depends on bins and bits alone, travels with the tasks.
 
@@ -247,8 +247,8 @@ def identify_language(
     fields = [docs.schema[name] for name in keep]
     result = T.StructType(
         [T.StructField(f.name, f.dataType) for f in fields]
-        + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-           T.StructField("ambiguous", T.BooleanType())]
+        + [T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType()),
+           T.StructField("__ambiguous", T.BooleanType())]
     )
     shared = spark.sparkContext.broadcast(model)
 
@@ -258,21 +258,20 @@ def identify_language(
         schema = to_arrow_schema(result)
         own = shared.value
 
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for *kept, value in zip(*batch.columns):
-                    words = value.as_py()
-                    kept = [item.as_py() for item in kept]
-                    if not own.languages or not words or not has_letter(words):
-                        yield (*kept, UNKNOWN, 0.0, False)
-                        continue
-                    name, score, second = decode(own, margins(words, own.weights))
-                    yield (*kept, name, score, second >= AMBIGUOUS * score)
-
-        size = lambda row: 64 + sum(len(x) for x in row[:-3] if isinstance(x, (str, bytes)))
-        yield from in_batches(rows(), schema, size=size)
-
-    return map_arrow(docs.select(*map(column, keep), column(text).cast("string").alias("__text")), run, result)
+        def answer(words: str | None) -> tuple[str, float, bool]:
+            if not own.languages or not words or not has_letter(words):
+                return UNKNOWN, 0.0, False
+            name, score, second = decode(own, margins(words, own.weights))
+            return name, score, second >= AMBIGUOUS * score
+
+        for batch in batches:
+            if len(batch):
+                said = zip(*[answer(value.as_py()) for value in batch.columns[-1]])
+                added = [pa.array(x, f.type) for x, f in zip(said, list(schema)[-3:])]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=schema.names)
+
+    given = docs.select(*map(column, keep), column(text).cast("string").alias("__text"))
+    return map_arrow(given, run, result)
 
 
 def is_held_out(key: str = "doc_id") -> Column:

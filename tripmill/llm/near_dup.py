@@ -21,7 +21,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -314,3 +314,36 @@ def _with_components(signed: DataFrame, classes: DataFrame, found: DataFrame, ke
     return joined.select(
         id_, "text_key", "n_shingles", "root", component.alias("component_id")
     ).withColumn("kept", id_.eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row, with all columns, of each group of near copies: that with the smallest key,
+    then the smallest text hash; of rows equal in both, any one. Rows without words are in
+    no group and all stay. A group without any key keeps a row as well. Eager.
+
+    Only keys and hashes are grouped; the texts are shuffled once at most, to meet what goes.
+    """
+    found = near_duplicates(docs, text, key)
+    rows = (
+        found.filter(F.col("root").isNotNull())
+        .groupBy("root", column(key).alias("__id"), F.col("text_key").alias("__text"))
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    place = F.struct(F.col("__id").isNull().alias("none"), "__id", "__text")
+    first = rows.groupBy("root").agg(F.min(place).alias("first"))
+    ranked = rows.join(first, "root").select(
+        "__id", "__text", "times", place.eqNullSafe(F.col("first")).alias("stays")
+    )
+    ranked = written(ranked.filter("NOT stays OR times > 1"), "rows-to-go")
+    body = F.xxhash64(column(text).cast("string"))
+
+    def same(others: DataFrame) -> Column:
+        return (body == others["__text"]) & column(key).eqNullSafe(others["__id"])
+
+    go = ranked.filter("NOT stays").select("__id", "__text")
+    kept = docs.join(go, same(go), "left_anti")
+    again = ranked.filter("stays").select("__id", "__text")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, same(again)).dropDuplicates(["__id", "__text"])
+    return kept.join(again, same(again), "left_anti").unionByName(once.select(*map(column, docs.columns)))

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import (
     bpe,
+    decontaminate,
     langid,
     line_dedup,
     near_dup,
     secret_scan,
     sharding,
+    spot_signatures,
     token_counts,
     url_filter,
 )
@@ -79,10 +81,18 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train_language_model(docs.filter(~langid.is_held_out()))
     return langid.identify_language(docs, model).select(
-        "doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score", "ambiguous"
+        "doc_id",
+        langid.is_held_out().alias("held_out"),
+        F.col("__lang_pred").alias("lang_pred"),
+        F.col("__score").alias("score"),
+        F.col("__ambiguous").alias("ambiguous"),
     )
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.bpe_encode(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
     return tokens.select(
@@ -127,13 +137,24 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return leaks.select(
+        "doc_id", "item_id", F.col("same").alias("same_words"), F.col("at").alias("at_word")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_language_id": op4_language_id,
+    "op5_fingerprints": op5_fingerprints,
     "op6_bpe": op6_bpe,
     "op7_sharding": op7_sharding,
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
