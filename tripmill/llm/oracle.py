@@ -1,5 +1,216 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
+
+Each states the result plainly, without the operator's way to it: exact counts instead of
+sketches, all pairs that share a shingle instead of signatures. The secret scan's lexer, the
+language model and the tokenizers are tested against brute force instead.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from tripmill.llm.decontaminate import LEAST_WORDS, REPLACED, WINDOW
+from tripmill.llm.line_dedup import LEAST_SITES
+from tripmill.llm.near_dup import PERCENT, SHINGLE
+from tripmill.llm.queries import RECORD_BYTES, SHARDS, URL_RULES
+from tripmill.llm.sharding import DIGITS as DRAW_DIGITS
+from tripmill.llm.spot_signatures import ANCHORS, CHAIN, DIGITS, REACH
+from tripmill.llm.url_filter import LOWER, UPPER
+
+_BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+
+LINE_DEDUP = f"""
+WITH split AS (
+    SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+    SELECT doc_id, source, unnest(parts) AS raw, unnest(range(len(parts))) AS place FROM split
+), solid AS (
+    SELECT doc_id, source, place, trim(raw, {_BLANKS}) AS line FROM lines
+    WHERE trim(raw, {_BLANKS}) <> ''
+), common AS (
+    SELECT line FROM solid GROUP BY line HAVING count(DISTINCT source) >= {LEAST_SITES}
+), hits AS (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY line ORDER BY doc_id, place) AS turn
+    FROM solid JOIN common USING (line)
+), gone AS (SELECT doc_id, place FROM hits WHERE turn > 1),
+rest AS (
+    SELECT doc_id, string_agg(raw, chr(10) ORDER BY place) AS text
+    FROM lines ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+), counted AS (SELECT doc_id, count(*) AS n FROM solid GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_lines, coalesce(r.n, 0) AS n_removed,
+    CASE WHEN r.n IS NULL THEN d.text ELSE coalesce(rest.text, '') END AS text
+FROM documents d LEFT JOIN counted c USING (doc_id) LEFT JOIN removed r USING (doc_id)
+LEFT JOIN rest USING (doc_id)
+"""
+
+MINHASH_DEDUP = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(
+        string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'),
+        lambda w: w <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {SHINGLE}
+        THEN list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: list_aggregate(w[i:i + {SHINGLE - 1}], 'string_agg', ' '))
+        ELSE [list_aggregate(w, 'string_agg', ' ')] END) AS s
+    FROM words WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= {PERCENT} * (x.n + y.n - shared.n)
+), neighbours AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+    SELECT doc_id AS node, doc_id AS other FROM documents
+    UNION
+    SELECT node, neighbours.b FROM reached JOIN neighbours ON neighbours.a = reached.other
+), roots AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id,
+    d.doc_id = r.component_id AS kept
+FROM documents d JOIN roots r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+_ANCHORS = "[" + ", ".join(f"'{word}'" for word in ANCHORS) + "]"
+
+
+def _spots(text: str) -> str:
+    """The sorted spot hashes of a text, as a list."""
+    words = f"list_filter(string_split_regex(lower({text}), '[^\\pL\\pN]+'), lambda x: x <> '')"
+    return f"""(
+    SELECT list_sort(list_distinct(list_transform(
+        CASE WHEN len(spots) > 0 THEN spots
+             WHEN {text} = '' THEN CAST([] AS VARCHAR[])
+             WHEN len(w) = 0 THEN ['=' || {text}]
+             WHEN len(w) <= {CHAIN} THEN ['=:' || array_to_string(w, ':')]
+             ELSE list_transform(range(1, len(w) - {CHAIN - 1}), lambda i: '=:' || array_to_string(w[i:i + {CHAIN}], ':'))
+        END, lambda s: CAST('0x' || substr(md5(s), 1, {DIGITS}) AS INTEGER))))
+    FROM (SELECT w, list_filter(list_transform(
+        list_filter(range(1, len(w) + 1), lambda i: list_contains({_ANCHORS}, w[i])),
+        lambda i: array_to_string(list_concat([w[i]], list_slice(
+            list_filter(w[i + 1:i + {REACH}], lambda x: NOT list_contains({_ANCHORS}, x)), 1, {CHAIN})), ':')),
+        lambda s: contains(s, ':')) AS spots
+    FROM (SELECT {words} AS w)))"""
+
+
+def _likeness(a: str, b: str) -> str:
+    shared = f"len(list_intersect({a}, {b}))"
+    return (
+        f"CASE WHEN len({a}) = 0 AND len({b}) = 0 THEN 1.0::DOUBLE WHEN len({a}) = 0 OR len({b}) = 0 "
+        f"THEN 0.0::DOUBLE ELSE {shared}::DOUBLE / (len({a}) + len({b}) - {shared}) END"
+    )
+
+
+FINGERPRINTS = f"""
+WITH ordered AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+        coalesce(lead(coalesce(text, '')) OVER later,
+            first_value(coalesce(text, '')) OVER later) AS following
+    FROM documents WINDOW later AS (ORDER BY doc_id DESC)
+), edits AS (
+    SELECT *, substr(text, 1, n - n // 3) || substr(following, 1, n // 3) AS edited FROM ordered
+), printed AS (
+    SELECT doc_id, n, edited, {_spots("text")} AS a, {_spots("edited")} AS b, {_spots("following")} AS c
+    FROM edits
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
+    array_to_string(a, ',') AS fingerprint, array_to_string(b, ',') AS edited_fingerprint,
+    {_likeness("a", "b")} AS near_edited, {_likeness("a", "c")} AS near_next
+FROM printed
+"""
+
+# The checksum is the usual one with the reversed polynomial 0xEDB88320, a byte at a time.
+SHARDING = f"""
+WITH steps AS (
+    SELECT list(value ORDER BY byte) AS t FROM (
+        SELECT byte, list_reduce(range(8), lambda a, i: CASE WHEN a & 1 = 1
+            THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, byte) AS value
+        FROM (SELECT unnest(range(256)) AS byte))
+), records AS (
+    SELECT doc_id, strlen(coalesce(text, '')) + {RECORD_BYTES} AS size,
+        hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), summed AS (
+    SELECT doc_id, size, xor(list_reduce(
+        list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+    FROM records, steps
+), draws AS (
+    SELECT doc_id, size, text_crc32, s AS shard, -ln((CAST('0x' || substr(
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || s), 1, {DRAW_DIGITS}) AS BIGINT) + 0.5)
+        / {16**DRAW_DIGITS}.0::DOUBLE) AS cost
+    FROM summed, range({SHARDS + 1}) AS r(s)
+), placed AS (
+    SELECT doc_id, any_value(size) AS size, any_value(text_crc32) AS text_crc32,
+        CAST(arg_min(shard, cost) FILTER (shard < {SHARDS}) AS INTEGER) AS shard,
+        CAST(arg_min(shard, cost) AS INTEGER) AS grown_shard
+    FROM draws GROUP BY doc_id
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard
+FROM placed
+"""
+
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+URL_FILTER = f"""
+WITH rules(host, path, verdict) AS (VALUES {_RULES}),
+rest AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r
+    FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+), fits AS (
+    SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+        row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC,
+            length(r.host) DESC, r.verdict DESC) AS turn
+    FROM parts p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host))
+        AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE turn = 1
+"""
+
+# Items shorter than the window would have to occur as a whole; the tables hold none.
+DECONTAMINATION = f"""
+WITH docs AS (
+    SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda x: x <> '') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda x: x <> '') AS w
+    FROM benchmark
+), doc_runs AS (
+    SELECT doc_id, unnest(range(1, len(w) - 2)) AS i,
+        unnest(list_transform(range(1, len(w) - 2), lambda p: array_to_string(w[p:p + 3], ' '))) AS run
+    FROM docs WHERE len(w) >= {LEAST_WORDS}
+), item_runs AS (
+    SELECT item_id, unnest(range(1, len(w) - 2)) AS j,
+        unnest(list_transform(range(1, len(w) - 2), lambda p: array_to_string(w[p:p + 3], ' '))) AS run
+    FROM items WHERE len(w) >= {WINDOW}
+), shifts AS (SELECT DISTINCT doc_id, item_id, i - j AS shift FROM doc_runs JOIN item_runs USING (run)),
+equal AS (
+    SELECT doc_id, item_id, shift, p, len(x.w) AS n,
+        CASE WHEN p + shift >= 1 AND p + shift <= len(d.w) AND x.w[p] = d.w[p + shift] THEN 1 ELSE 0 END AS same
+    FROM shifts JOIN docs d USING (doc_id) JOIN items x USING (item_id),
+        unnest(range(1, len(x.w) + 1)) AS u(p)
+), stretches AS (
+    SELECT doc_id, item_id, n, p, greatest(p + shift - 1, 0) AS at_word, sum(same) OVER (
+        PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING
+    ) AS same_words
+    FROM equal
+)
+SELECT doc_id, item_id, CAST(max(same_words) AS BIGINT) AS same_words,
+    CAST(arg_min(at_word, (-same_words, at_word)) AS BIGINT) AS at_word
+FROM stretches WHERE p <= n - {WINDOW - 1} AND same_words >= {WINDOW - REPLACED}
+GROUP BY doc_id, item_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": LINE_DEDUP,
+    "op3_minhash_dedup": MINHASH_DEDUP,
+    "op5_fingerprints": FINGERPRINTS,
+    "op7_sharding": SHARDING,
+    "op8_url_filter": URL_FILTER,
+    "op10_decontamination": DECONTAMINATION,
+}
