@@ -5,15 +5,18 @@ from pyspark.sql import functions as F
 
 from tripmill.bindings import fixture as X
 from tripmill.bindings.queries import clean
-from tripmill.errors import ConstraintError, MissingInputError
+from tripmill.errors import ConstraintError, MissingInputError, SchemaConflictError
 from tripmill.operators import quality as Q
 from tripmill.operators.aggregate import hourly_counts
+from tripmill.operators.clean import clean_trips
+from tripmill.operators.standardize import standardize
 from tripmill.operators.star import to_warehouse
 from tripmill.plans.etl import run_etl
+from tripmill.plans import marts
 from tripmill.plans.lifecycle import run_lifecycle
 from tripmill.sources import dimensions as D
 from tripmill.sources import jdbc, landing, parquet, scratch, warehouse
-from tripmill.session import s3a_conf, scale_conf
+from tripmill.session import s3a_conf
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +46,62 @@ def test_landing_reports_bad_files_and_goes_on(spark, tmp_path):
     assert parquet.row_count(spark, str(tmp_path / "lake/good.parquet")) == 10
 
 
+def test_an_error_without_a_message_is_reported(spark, monkeypatch):
+    def broken(*_):
+        raise RuntimeError
+
+    monkeypatch.setattr(landing, "read_file", broken)
+    assert landing.land_file(spark, "a.parquet", "x")[3] == "RuntimeError: "
+
+
+@pytest.mark.parametrize("late", range(5))
+@pytest.mark.parametrize("reader", ["read_parts", "read_months", "read_file"])
+def test_no_column_of_a_directory_is_lost(spark, tmp_path, late, reader):
+    path = str(tmp_path / f"parts-{late}")
+    one, two = spark.range(3), spark.range(3, 6).withColumn("extra", F.lit(late))
+    for frame in (one, two) if late % 2 else (two, one):
+        frame.coalesce(1).write.mode("append").parquet(path)
+    if reader == "read_months":
+        df = parquet.read_months(spark, [path], transform=lambda month: month)
+    else:
+        df = getattr(parquet, reader)(spark, path)
+    assert set(df.columns) == {"id", "extra"}
+    assert df.filter("extra IS NOT NULL").count() == 3 and df.count() == 6
+
+
+def test_conflicting_types_within_a_directory_name_it(spark, tmp_path):
+    path = str(tmp_path / "mixed")
+    spark.range(3).coalesce(1).write.parquet(path)
+    spark.range(3).selectExpr("CAST(id AS STRING) AS id").coalesce(1).write.mode("append").parquet(path)
+    for read in (
+        lambda: parquet.read_parts(spark, path),
+        lambda: parquet.read_months(spark, [path]),
+    ):
+        with pytest.raises(SchemaConflictError, match="mixed"):
+            read()
+
+
+def test_batch_names_stay_texts(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    df = spark.range(4).withColumn("batch", F.when(F.col("id") < 2, "007").otherwise("1e3"))
+    parquet.replace_batches(df, path, "batch", ["007", "1e3", "none"])
+    for back in (parquet.read_parts(spark, path), parquet.read_file(spark, path)):
+        assert {r["batch"] for r in back.collect()} == {"007", "1e3"}
+    parquet.replace_batches(df.filter("batch = '007'"), path, "batch", ["007", "1e3"])
+    assert {r["batch"] for r in parquet.read_parts(spark, path).collect()} == {"007"}
+
+
+def test_batches_are_read_by_one_scan_per_schema(spark, tmp_path, plan):
+    paths = [f"{tmp_path}/in {i}+%/m{i}.parquet" for i in range(6)]
+    for i, path in enumerate(paths):
+        frame = spark.range(2).withColumn("v", F.lit(i) if i < 4 else F.lit(str(i)))
+        frame.write.parquet(path)
+    cast = lambda month: month.withColumn("v", F.col("v").cast("long"))
+    df = parquet.read_months(spark, paths, transform=cast, batch_column="batch")
+    assert plan(df).count("Location: InMemoryFileIndex") == 2
+    assert {(r["v"], r["batch"]) for r in df.collect()} == {(i, f"m{i}.parquet") for i in range(6)}
+
+
 def test_landing_refuses_two_files_of_one_name(spark, tmp_path):
     with pytest.raises(ValueError):
         landing.land_files(spark, ["a/x.parquet", "b/x.parquet"], str(tmp_path))
@@ -102,6 +161,42 @@ def test_next_key_without_or_after_a_record(spark, raw, tmp_path):
     assert warehouse.next_trip_id(spark, root) == 9
 
 
+@pytest.fixture(scope="module")
+def keyed(spark, sf_dir):
+    """Trips with keys of their own that meet all constraints."""
+    fact = to_warehouse(clean_trips(standardize(X.raw_trips(spark, sf_dir))))
+    for _, _, fk, dim, pk in warehouse.foreign_keys(fact):
+        fact = Q.fk_accepted(fact, fk, dim, pk)
+    return fact
+
+
+def test_source_keys_are_kept_and_checked(spark, keyed, tmp_path):
+    root = str(tmp_path / "warehouse")
+    some = keyed.filter("trip_id % 10 = 3")
+    copies = some.unionByName(some.limit(1))
+    unknown = some.withColumn("trip_id", F.when(F.col("trip_id") > 13, F.col("trip_id")))
+    for bad in (copies, unknown):
+        with pytest.raises(ConstraintError, match="is a key"):
+            warehouse.write_fact(bad, root)
+    assert not (tmp_path / "warehouse").exists()
+    warehouse.write_fact(some, root)
+    with pytest.raises(ConstraintError, match="is new"):
+        warehouse.write_fact(keyed.filter("trip_id IN (13, 14, 15)"), root)
+    warehouse.write_fact(keyed.filter("trip_id % 10 = 4"), root)
+    stored = warehouse.read_table(spark, root, warehouse.FACT)
+    expected = keyed.filter("trip_id % 10 IN (3, 4)")
+    assert sorted(r[0] for r in stored.select("trip_id").collect()) == sorted(
+        r[0] for r in expected.select("trip_id").collect()
+    )
+    assert not (tmp_path / "warehouse" / warehouse.FACT_KEYS).exists()
+    # A batch that is written again replaces its own keys.
+    other = str(tmp_path / "batches")
+    batch = some.withColumn("batch", F.lit("a"))
+    for _ in range(2):
+        warehouse.write_fact(batch, other, batch_column="batch", batches=["a"])
+    assert warehouse.read_table(spark, other, warehouse.FACT).count() == some.count()
+
+
 def orphaned(spark, sf_dir):
     months = X.raw_months(spark, sf_dir)
     return to_warehouse(parquet.standardize(months[0]))
@@ -134,8 +229,20 @@ def test_jdbc_options(spark):
     }
     assert jdbc.JdbcTarget("u").options() == {"url": "u"}
     assert "secret" not in repr(target)
-    with pytest.raises(ValueError, match="bound"):
-        jdbc.read_table(spark, jdbc.JdbcTarget("jdbc:none://nowhere/db"), partition_column="trip_id")
+    with pytest.raises(ValueError, match="partition_column"):
+        jdbc.read_table(spark, jdbc.JdbcTarget("jdbc:none://nowhere/db"))
+
+
+def test_jdbc_bounds():
+    assert jdbc.bounds_query("t", "c") == "SELECT min(c) AS lower_bound, max(c) AS upper_bound FROM t"
+    assert jdbc._bounds(None, None, 3, 90) == (3, 90)
+    assert jdbc._bounds(5, None, 3, 90) == (5, 90)
+    assert jdbc._bounds(None, 7, 3, 90) == (3, 7)
+    assert jdbc._bounds(None, None, None, None) == (0, 1)
+    assert jdbc._bounds(None, None, 4, 4) == (4, 5)
+    assert jdbc.partition_options("c", 1, 9, 4) == {
+        "partitionColumn": "c", "lowerBound": "1", "upperBound": "9", "numPartitions": "4",
+    }
 
 
 def test_star_schema_as_views(spark, raw, tmp_path):
@@ -190,26 +297,17 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one.startswith(shared) and one != other
 
 
-class FakeConf:
-    def __init__(self, **values):
-        self.values = values
-
-    def get(self, key, default=None):
-        return self.values.get(key.rsplit(".", 1)[-1], default)
+def test_scratch_is_in_a_folder_all_executors_share():
+    class Session:
+        def __init__(self, shared):
+            self.conf = self
+            self.values = {"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": "hdfs:/wh"}
 
+        def get(self, key, default=None):
+            return self.values[key] or default
 
-class FakeSession:
-    def __init__(self, **values):
-        self.conf = FakeConf(**values)
-
-
-def test_scratch_on_a_cluster_needs_the_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.scratch_dir(FakeSession(master="yarn"), "x")
-    assert scratch.scratch_dir(FakeSession(master="local[2]"), "x")
-    assert scratch.scratch_dir(FakeSession(master="yarn", dir="s3a://b/ck/"), "x").startswith(
-        "s3a://b/ck/tripmill/x-"
-    )
+    assert scratch.scratch_dir(Session("s3a://b/ck/"), "x").startswith("s3a://b/ck/tripmill/x-")
+    assert scratch.scratch_dir(Session(None), "x").startswith("hdfs:/wh/tripmill/x-")
 
 
 def test_session_settings():
@@ -218,10 +316,24 @@ def test_session_settings():
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert not any("key" in name for name in conf)
     assert any("secret" in name for name in s3a_conf(access_key="a", secret_key="b"))
-    assert scale_conf(100 << 40, 8000)["spark.sql.shuffle.partitions"] == "100000"
-    assert scale_conf(1 << 30, 16)["spark.sql.shuffle.partitions"] == "32"
 
 
 def test_clean_rows_at_other_scales(spark):
     assert clean(spark, "/root/testdata/sf0.001").count() == 854
     assert clean(spark, "/root/testdata/sf0.1").count() == 85_805
+
+
+def test_samples_do_not_depend_on_file_layout(spark, raw, tmp_path):
+    fact = to_warehouse(parquet.read_months(spark, raw))
+    found = []
+    for parts in (1, 3):
+        path = str(tmp_path / f"fact-{parts}")
+        warehouse.with_surrogate_key(fact.repartition(parts)).write.parquet(path)
+        paths = marts.build_marts(spark.read.parquet(path), str(tmp_path / f"marts-{parts}"))
+        found.append(
+            [
+                sorted(map(tuple, spark.read.parquet(paths[name]).collect()))
+                for name in ("sample_amounts", "sample_scatter")
+            ]
+        )
+    assert found[0] == found[1]

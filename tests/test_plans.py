@@ -10,10 +10,11 @@ from tripmill.operators import regression as R
 from tripmill.operators.clean import clean_trips
 from tripmill.operators.sample import sample_n
 from tripmill.operators.standardize import standardize, union_by_name
-from tripmill.operators.star import enrich_trips
+from tripmill.operators.star import enrich_trips, to_warehouse
 from tripmill.plans import marts
 from tripmill.sources import dimensions as D
 from tripmill.sources import parquet
+from tripmill.sources.warehouse import foreign_keys
 
 
 @pytest.fixture(scope="module")
@@ -139,6 +140,19 @@ def test_training_is_one_scan(stored, plan):
     assert text.count("Scan parquet") == 2 and exchanges(text) == 1
 
 
+def test_constraints_scan_the_fact_once(spark, sf_dir, plan, tmp_path):
+    X.raw_trips(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
+    fact = to_warehouse(standardize(spark.read.parquet(str(tmp_path / "raw"))))
+    foreign = [(rule, fk, dim, pk) for rule, _, fk, dim, pk in foreign_keys(fact)]
+    report = Q.constraint_report(fact, foreign, {"store_and_fwd_flag": 1})
+    assert plan(report).count("Location: InMemoryFileIndex") == 1
+    separate = Q.fk_report(foreign_keys(fact)).unionByName(
+        Q.text_report(fact, {"store_and_fwd_flag": 1})
+    )
+    assert report.collect() == separate.collect()
+    assert [row["bad_rows"] > 0 for row in report.collect()] == [True, True, False]
+
+
 def test_union_prunes_columns(spark, sf_dir, plan):
     months = [standardize(m) for m in X.raw_months(spark, sf_dir)]
     text = plan(union_by_name(months).select("VendorID"))

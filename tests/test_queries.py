@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
-
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from tripmill.bindings.oracle import ORACLE
+from tripmill.bindings.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLE.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -126,3 +126,20 @@ def test_fraction(frame):
     for bad in (0.0, 1.0):
         with pytest.raises(ValueError):
             K.in_fraction(["id"], bad)
+
+
+def test_small_fractions_select_something():
+    for method, bits in (("md5", 128), ("xxhash64", 62)):
+        bound = K.fraction_bound(1e-10, method)
+        number = int(bound, 16) if method == "md5" else bound
+        assert 0 < number and abs(number / 2**bits - 1e-10) < 1e-18
+        with pytest.raises(ValueError, match="below"):
+            K.in_fraction(["id"], 2.0 ** -(bits + 1), method=method)
+    assert len(K.fraction_bound(1e-10)) == 32
+
+
+def test_rows_of_one_hot_key_are_spread_by_their_columns(spark):
+    df = spark.range(20_000, numPartitions=4).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    few = S.sample_candidates(df, [(50, F.lit(True))], ["k"], ["v"], method="xxhash64")
+    assert 50 <= few.count() <= 300
+    assert S.sample_n(df, 50, ["k"], ["v"], method="xxhash64").distinct().count() == 50

@@ -201,3 +201,12 @@ def test_surrogate_key_is_unique_across_partitions(spark):
     keyed = with_surrogate_key(spark.range(1000, numPartitions=7), "key", start=10)
     keys = [row["key"] for row in keyed.collect()]
     assert len(set(keys)) == 1000 and min(keys) == 10
+
+
+def test_whole_numbers_written_as_decimals(spark):
+    rows = [("1.0", "2.0", "263.0"), ("n/a", "", "7"), ("-3.9", " 4 ", "9007199254740993.0")]
+    df = spark.createDataFrame(rows, "VendorID string, payment_type string, PULocationID string")
+    got = standardize(df).select("VendorID", "payment_type", "PULocationID").collect()
+    assert [tuple(r) for r in got] == [
+        (1, 2, 263), (None, None, 7), (-3, 4, 9007199254740993),
+    ]

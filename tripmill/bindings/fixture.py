@@ -97,6 +97,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "events"), TRIPS)
 
 
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in a monthly file's layout, with their own key."""
+    return _select(table(spark, sf_dir, "events"), {"trip_id": "event_id", **RAW})
+
+
 def _month(events: DataFrame, number: int) -> DataFrame:
     ts = F.col("ts")
     bounds = [F.to_timestamp_ntz(F.lit(day)) for day in STARTS]
@@ -119,7 +124,9 @@ def raw_months(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         .withColumnRenamed("airport_fee", "Airport_fee")
     )
     second = second.select(*reversed(second.columns))
-    third = third.drop("airport_fee")
+    third = third.drop("airport_fee").withColumns(
+        {name: F.concat(F.col(name).cast("string"), F.lit(".0")) for name in ("VendorID", "PULocationID")}
+    )
     fourth = fourth.withColumnRenamed("airport_fee", "AIRPORT_FEE").withColumn(
         "tip_amount", F.coalesce(F.col("tip_amount").cast("string"), F.lit("n/a"))
     )

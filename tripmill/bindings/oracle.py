@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripmill.bindings.fixture import RAW, STARTS, TRIPS, sql
+from tripmill.functions.keys import fraction_bound
 
 _TRIPS = f"trips AS (SELECT {sql(TRIPS)} FROM events)"
 
@@ -14,7 +15,7 @@ clean AS (
 
 _STANDARD = f"""{_CLEAN},
 standard AS (
-  SELECT *, substr(md5(concat('42:', CAST(trip_id AS VARCHAR))), 1, 8) < '33333333' AS is_test
+  SELECT *, md5(concat('42:', CAST(trip_id AS VARCHAR))) < '{fraction_bound(0.2)}' AS is_test
   FROM clean
   WHERE trip_distance > 0 AND trip_distance < 100 AND total_amount > 0 AND total_amount < 200
 )"""
@@ -54,19 +55,19 @@ lake AS (
   WHERE trip_distance > 0 AND total_amount >= 0 AND coalesce(passenger_count, 1) > 0
 )"""
 
-_FACT = f"""{_MONTHS},
-fact AS (
-  SELECT CAST(VendorID AS INTEGER) AS vendor_id, tpep_pickup_datetime, tpep_dropoff_datetime,
+_FACT_COLUMNS = """CAST(VendorID AS INTEGER) AS vendor_id, tpep_pickup_datetime, tpep_dropoff_datetime,
          CAST(round_even(passenger_count, 0) AS INTEGER) AS passenger_count, trip_distance,
          CAST(round_even(RatecodeID, 0) AS INTEGER) AS rate_code_id, store_and_fwd_flag,
          CAST(PULocationID AS INTEGER) AS pulocationid,
          CAST(DOLocationID AS INTEGER) AS dolocationid,
          CAST(payment_type AS INTEGER) AS payment_type_id,
          fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
-         total_amount, congestion_surcharge, airport_fee
-  FROM lake
-)"""
+         total_amount, congestion_surcharge, airport_fee"""
 
+_FACT = f"""{_MONTHS},
+fact AS (SELECT {_FACT_COLUMNS} FROM lake)"""
+
+# The rows of the three dimensions.
 _PAYMENT_TYPES = """dim_payment_type(payment_type_id, payment_name) AS (VALUES
   (0, 'Unknown / System Error'), (1, 'Credit card'), (2, 'Cash'), (3, 'No charge'),
   (4, 'Dispute'), (5, 'Unknown'), (6, 'Voided trip'))"""
@@ -81,6 +82,7 @@ _ACCEPTED = """(payment_type_id IS NULL OR payment_type_id IN
     (SELECT payment_type_id FROM dim_payment_type))
   AND (rate_code_id IS NULL OR rate_code_id IN (SELECT rate_code_id FROM dim_rate_code))"""
 
+# The chart's labels.
 _LABEL = """CASE WHEN payment_type_id = 1 THEN 'Credit Card' WHEN payment_type_id = 2 THEN 'Cash'
   WHEN payment_type_id = 3 THEN 'No Charge' WHEN payment_type_id = 4 THEN 'Dispute'
   WHEN payment_type_id IN (0, 5) THEN 'Unknown' ELSE 'Autre' END"""
@@ -168,10 +170,14 @@ SELECT trip_id, trip_distance, total_amount FROM clean WHERE {_OPEN}""",
 WHERE l_quantity BETWEEN 10 AND 40 AND l_discount > 0 AND l_discount < CAST(0.05 AS DOUBLE)
 GROUP BY 1""",
     "land_files": " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file, true AS ok, CAST(count(*) AS BIGINT) AS rows FROM {t}"
-        for t in ("events", "orders", "customer", "lineitem", "nation")
+        f"SELECT '{t}.parquet' AS file, true AS ok, CAST(count(*) AS BIGINT) AS rows,"
+        f" CAST(sum({c}) AS BIGINT) AS content FROM {t}"
+        for t, c in (
+            ("events", "event_id"), ("orders", "o_custkey"), ("customer", "c_nationkey"),
+            ("lineitem", "l_partkey"), ("nation", "n_regionkey"),
+        )
     )
-    + " UNION ALL SELECT 'no_such_table.parquet', false, NULL",
+    + " UNION ALL SELECT 'no_such_table.parquet', false, NULL, NULL",
     "etl_roundtrip": f"WITH {_MONTHS} SELECT * FROM lake",
     "lifecycle_summary": f"""WITH {_DIMS}, {_MONTHS},
 accepted AS (
@@ -191,6 +197,16 @@ FROM kept""",
     "surrogate_key": f"""WITH {_CLEAN}
 SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS keys FROM clean""",
     "warehouse_roundtrip": f"WITH {_DIMS}, {_FACT} SELECT * FROM fact WHERE {_ACCEPTED}",
+    "warehouse_source_key": f"""WITH {_DIMS}, raw AS (SELECT event_id, {sql(RAW)} FROM events),
+lake AS (
+  SELECT * REPLACE (coalesce(passenger_count, 1) AS passenger_count) FROM raw
+  WHERE trip_distance > 0 AND total_amount >= 0 AND coalesce(passenger_count, 1) > 0
+),
+fact AS (SELECT CAST(event_id AS BIGINT) AS trip_id, {_FACT_COLUMNS} FROM lake)
+SELECT * FROM fact WHERE {_ACCEPTED}""",
+    "warehouse_status": f"""WITH {_CLEAN}
+SELECT 'Star schema ready; code 0 is present.' AS status, CAST(count(*) AS BIGINT) AS counts
+FROM clean WHERE payment_type_id = 0""",
     "enrich_trips": f"""WITH {_DIMS}, {_CLEAN}
 SELECT clean.*, payment_name, rate_description, vendor_name FROM clean
 LEFT JOIN dim_payment_type USING (payment_type_id)
@@ -245,19 +261,31 @@ FROM narrow GROUP BY GROUPING SETS ((hour), (payment_type_id), (bin))""",
     "panel_hourly": _HOURLY,
     "panel_payment_labels": _PAYMENT_SHARE,
     "panel_histogram": _HISTOGRAM,
-    "mart_tables": f"""WITH {_CLEAN}, sizes AS (
-  SELECT count(DISTINCT extract(hour FROM tpep_pickup_datetime)) AS hours,
-    count(DISTINCT coalesce(payment_type_id, -1)) AS codes, count(DISTINCT {_LABEL}) AS labels,
-    count(DISTINCT CASE WHEN {_CLOSED} THEN {_BIN} ELSE -1 END) AS bins FROM clean)
-SELECT 'trip_panels' AS mart, CAST(hours + codes + bins AS BIGINT) AS rows FROM sizes
-UNION ALL SELECT 'kpi', 1
-UNION ALL SELECT 'hourly_counts', hours FROM sizes
-UNION ALL SELECT 'payment_counts', codes FROM sizes
-UNION ALL SELECT 'payment_labels', labels FROM sizes
-UNION ALL SELECT 'amount_histogram', 50
-UNION ALL SELECT 'sample_amounts', least(count(*), 100000) FROM clean WHERE {_CLOSED}
-UNION ALL SELECT 'sample_scatter', least(count(*), 10000) FROM clean WHERE {_OPEN}
-UNION ALL SELECT 'preview', least(count(*), 5) FROM clean""",
+    "mart_tables": f"""WITH {_CLEAN}, narrow AS (
+  SELECT CAST(extract(hour FROM tpep_pickup_datetime) AS BIGINT) AS hour, payment_type_id,
+    CASE WHEN {_CLOSED} THEN {_BIN} END AS bin, total_amount, trip_distance FROM clean),
+found AS (SELECT bin, count(*) AS counts FROM narrow WHERE bin IS NOT NULL GROUP BY 1),
+amounts AS (SELECT total_amount FROM clean WHERE {_CLOSED}
+  ORDER BY md5(concat('42:', CAST(trip_id AS VARCHAR))), trip_id LIMIT 100000),
+scatter AS (SELECT total_amount, trip_distance FROM clean WHERE {_OPEN}
+  ORDER BY md5(concat('42:', CAST(trip_id AS VARCHAR))), trip_id LIMIT 10000)
+SELECT 'trip_panels' AS mart,
+  concat_ws(':', CASE WHEN grouping(hour) = 0 THEN 'hour' WHEN grouping(payment_type_id) = 0
+    THEN 'payment' ELSE 'bin' END, CAST(coalesce(hour, payment_type_id, bin) AS VARCHAR)) AS key,
+  {_COUNTS}, round(sum(total_amount), 4) AS a, round(sum(trip_distance), 4) AS b
+FROM narrow GROUP BY GROUPING SETS ((hour), (payment_type_id), (bin))
+UNION ALL SELECT 'kpi', 'all', count(*), round(sum(total_amount), 4), round(avg(trip_distance), 6) FROM clean
+UNION ALL SELECT 'hourly_counts', CAST(hour AS VARCHAR), count(*), NULL, NULL FROM narrow GROUP BY hour
+UNION ALL SELECT 'payment_counts', concat_ws(':', CAST(payment_type_id AS VARCHAR), {_LABEL}),
+  count(*), NULL, NULL FROM clean GROUP BY payment_type_id
+UNION ALL SELECT 'payment_labels', {_LABEL}, count(*),
+  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clean), 6), NULL FROM clean GROUP BY 2
+UNION ALL SELECT 'amount_histogram', CAST(every.bin AS VARCHAR), coalesce(found.counts, 0),
+  every.bin * CAST(4 AS DOUBLE), NULL
+  FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(50)) every LEFT JOIN found USING (bin)
+UNION ALL SELECT 'sample_amounts', 'row', NULL, total_amount, NULL FROM amounts
+UNION ALL SELECT 'sample_scatter', 'row', NULL, total_amount, trip_distance FROM scatter
+UNION ALL SELECT 'preview', 'rows', least(count(*), 5), NULL, NULL FROM clean""",
     "sample_amounts": _sample("total_amount", _CLOSED, 100_000),
     "sample_scatter": _sample("trip_distance, total_amount", _OPEN, 10_000),
     "sample_amounts_500": _sample("total_amount", _CLOSED, 500),
@@ -265,8 +293,8 @@ UNION ALL SELECT 'preview', least(count(*), 5) FROM clean""",
     "sample_lineitem": """SELECT l_quantity, l_extendedprice FROM lineitem
 ORDER BY md5(concat('42:', l_orderkey, ':', l_linenumber, ':', l_partkey, ':', l_suppkey)),
   l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice LIMIT 10000""",
-    "sample_fraction": """SELECT o_orderkey, o_totalprice FROM orders
-WHERE substr(md5(concat('42:', o_orderkey)), 1, 8) < '19999999'""",
+    "sample_fraction": f"""SELECT o_orderkey, o_totalprice FROM orders
+WHERE md5(concat('42:', o_orderkey)) < '{fraction_bound(0.1)}'""",
     "preview": f"WITH {_CLEAN} SELECT * FROM clean ORDER BY trip_id LIMIT 5",
     "quality_report": f"""WITH {_CLEAN}, n AS (
   SELECT count(*) AS n, CAST(count(*) - count(trip_distance) AS BIGINT) AS d,

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.bindings import fixture as X
+from tripmill.functions import keys as K
 from tripmill.functions import predicates as P
 from tripmill.operators import aggregate as A
 from tripmill.operators import clean as C
@@ -78,7 +79,7 @@ def concat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("ts") >= F.to_timestamp_ntz(F.lit(X.STARTS[1]))
     events.filter(~late).select("event_id", "value").write.parquet(path)
     events.filter(late).select("event_id", "value", "event_type").write.mode("append").parquet(path)
-    return parquet.read_parts(spark, path, merge=True)
+    return parquet.read_parts(spark, path)
 
 
 @query
@@ -130,12 +131,23 @@ def range_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def land_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five tables and one that does not exist; the missing one is only reported."""
-    names = ["events", "orders", "customer", "lineitem", "no_such_table", "nation"]
-    sources = [f"{sf_dir}/{name}.parquet" for name in names]
-    return landing.land_files(spark, sources, scratch_dir(spark, "landing")).select(
-        "file", "ok", "rows"
-    )
+    """Five tables and one that does not exist; the missing one is only reported. Each
+    landed copy is summed up over a column."""
+    columns = {
+        "events": "event_id", "orders": "o_custkey", "customer": "c_nationkey",
+        "lineitem": "l_partkey", "no_such_table": None, "nation": "n_regionkey",
+    }
+    root = scratch_dir(spark, "landing")
+    sources = [f"{sf_dir}/{name}.parquet" for name in columns]
+    status = landing.land_files(spark, sources, root).select("file", "ok", "rows")
+    sums = [
+        parquet.read_file(spark, f"{root}/{name}.parquet")
+        .agg(F.sum(F.col(column).cast("long")).alias("content"))
+        .select(F.lit(f"{name}.parquet").alias("file"), "content")
+        for name, column in columns.items()
+        if column
+    ]
+    return status.join(reduce(DataFrame.unionByName, sums), "file", "left")
 
 
 @query
@@ -204,6 +216,27 @@ def warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_table(spark, root, warehouse.FACT).drop("trip_id")
 
 
+@query
+def warehouse_source_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips that bring their own key, written in two appends and read back."""
+    root = scratch_dir(spark, "warehouse")
+    raw = X.raw_trips(spark, sf_dir)
+    fact = star.to_warehouse(C.clean_trips(Z.standardize(raw)))
+    for _, _, fk, dim, pk in warehouse.foreign_keys(fact):
+        fact = Q.fk_accepted(fact, fk, dim, pk)
+    for side in (F.col("trip_id") % 2 == 0, F.col("trip_id") % 2 == 1):
+        warehouse.write_fact(fact.filter(side), root)
+    return warehouse.read_table(spark, root, warehouse.FACT)
+
+
+@query
+def warehouse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status row of the written dimensions, with the trips of code 0."""
+    status = warehouse.create_dimensions(spark, scratch_dir(spark, "warehouse"))
+    trips = clean(spark, sf_dir).filter("payment_type_id = 0")
+    return status.withColumn("counts", trips.agg(F.count(F.lit(1))).scalar())
+
+
 @query
 def enrich_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.enrich_trips(
@@ -338,16 +371,38 @@ def panel_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mart_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All report tables, written, and how many rows each has."""
-    paths = marts.build_marts(clean(spark, sf_dir), scratch_dir(spark, "marts"), TRIP_KEY)
-    sizes = [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("mart"), "rows"
-        )
-        for name, path in paths.items()
-        if name != "sample_candidates"
-    ]
-    return reduce(DataFrame.unionByName, sizes)
+    """The rows of all report tables, written and read back, in one layout: mart, key,
+    counts, and two values. Of the preview's rows, how many are trips."""
+    trips = clean(spark, sf_dir)
+    paths = marts.build_marts(trips, scratch_dir(spark, "marts"), TRIP_KEY, method="md5")
+    none = F.lit(None)
+    layouts = {
+        "trip_panels": (
+            F.concat_ws(":", "panel", F.coalesce("hour", "payment_type_id", "bin")),
+            F.col("counts"), F.round("amount_sum", 4), F.round("distance_sum", 4),
+        ),
+        "kpi": (
+            F.lit("all"), F.col("total_trips"), F.round("total_revenue", 4), F.round("avg_distance", 6),
+        ),
+        "hourly_counts": (F.col("hour"), F.col("counts"), none, none),
+        "payment_counts": (F.concat_ws(":", "payment_type_id", "payment_name"), F.col("counts"), none, none),
+        "payment_labels": (F.col("payment_name"), F.col("counts"), F.round("share", 6), none),
+        "amount_histogram": (F.col("bin"), F.col("counts"), F.col("bin_low"), none),
+        "sample_amounts": (F.lit("row"), none, F.col("total_amount"), none),
+        "sample_scatter": (F.lit("row"), none, F.col("total_amount"), F.col("trip_distance")),
+    }
+
+    def laid_out(frame: DataFrame, name: str, key: Column, counts: Column, a: Column, b: Column) -> DataFrame:
+        return frame.select(
+            F.lit(name).alias("mart"), key.cast("string").alias("key"), counts.cast("long").alias("counts"),
+            a.cast("double").alias("a"), b.cast("double").alias("b"),
+        )
+
+    frames = [laid_out(spark.read.parquet(paths[name]), name, *layout) for name, layout in layouts.items()]
+    shown = spark.read.parquet(paths["preview"]).join(trips, trips.columns, "left_semi")
+    shown = shown.agg(F.count(F.lit(1)).alias("n"))
+    frames.append(laid_out(shown, "preview", F.lit("rows"), F.col("n"), none, none))
+    return reduce(DataFrame.unionByName, frames)
 
 
 # --- samples
@@ -478,12 +533,8 @@ def fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = R.split(standard(spark, sf_dir), TRIP_KEY)
-    sides = [
-        side.agg(F.count(F.lit(1)).alias("counts")).select(F.lit(name).alias("side"), "counts")
-        for name, side in (("train", train), ("test", test))
-    ]
-    return reduce(DataFrame.unionByName, sides)
+    side = F.when(K.in_fraction(TRIP_KEY, 0.2), "test").otherwise("train")
+    return A.counts_by(standard(spark, sf_dir).withColumn("side", side), "side")
 
 
 @query

@@ -9,6 +9,10 @@ class MissingInputError(TripmillError):
     """An input path is absent or holds no data files."""
 
 
+class SchemaConflictError(TripmillError):
+    """The part files of one directory have a column in types that do not go together."""
+
+
 class QualityError(TripmillError):
     """A validation rule does not hold."""
 

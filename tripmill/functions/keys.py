@@ -11,6 +11,7 @@ another executor. Two hashes:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ CLASSES = 40
 
 # Bits kept of the 64: the number is never negative and can be exceeded.
 _LONG_BITS = 62
+_TEXT_BITS = 128
 
 
 def rank(key: Sequence[str], seed: int = 42, method: str = "md5") -> Column:
@@ -66,15 +68,22 @@ def ceiling(number: Column, method: str = "md5") -> Column:
     return F.element_at(F.expr(f"array({', '.join(_floors(method))})"), number + 1)
 
 
+def fraction_bound(fraction: float, method: str = "md5") -> int | str:
+    """The smallest rank above the lowest ``fraction`` of all ranks, of their full width.
+    A fraction no rank lies below is an error, not an empty sample."""
+    if not 0.0 < fraction < 1.0:
+        raise ValueError(f"fraction must lie between 0 and 1, got {fraction}")
+    bits = _LONG_BITS if method == "xxhash64" else _TEXT_BITS
+    bound = int(Fraction(fraction) * 2**bits)
+    if bound == 0:
+        raise ValueError(f"no {method} rank lies below the fraction {fraction}")
+    return bound if method == "xxhash64" else format(bound, f"0{bits // 4}x")
+
+
 def in_fraction(
     key: Sequence[str], fraction: float, seed: int = 42, method: str = "md5"
 ) -> Column:
     """True for about ``fraction`` of the keys: those whose rank lies below that
-    fraction of all ranks (of its first 32 bits, for the text)."""
-    if not 0.0 < fraction < 1.0:
-        raise ValueError(f"fraction must lie between 0 and 1, got {fraction}")
-    if method == "xxhash64":
-        bound = F.lit(int(fraction * 2**_LONG_BITS)).cast("long")
-    else:
-        bound = F.lit(format(int(fraction * 2**32), "08x"))
-    return rank(key, seed, method) < bound
+    fraction of all ranks."""
+    bound = F.lit(fraction_bound(fraction, method))
+    return rank(key, seed, method) < (bound.cast("long") if method == "xxhash64" else bound)

@@ -120,6 +120,73 @@ def fk_report(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> D
     return report
 
 
+def constraint_report(
+    fact: DataFrame,
+    foreign: Sequence[tuple[str, str, DataFrame, str]],
+    bounds: Mapping[str, int] = {},
+) -> DataFrame:
+    """Foreign keys to small dimensions, and text bounds, in one pass over the fact:
+    rule, ok, bad_rows.
+
+    A check is (rule, fk, dim, pk). The pass counts rows per distinct key, a grouping set
+    for each foreign key; only those few counts are joined with the dimensions' keys. For
+    two tables that both are large, :func:`fk_report` joins key by key.
+    """
+    if not foreign:
+        return text_report(fact, bounds)
+    known, keys = None, []
+    for i, (rule, fk, dim, pk) in enumerate(foreign):
+        ours, theirs = fact.schema[fk].dataType, dim.schema[pk].dataType
+        common = _key_type(ours, theirs)
+        keys.append(F.col(fk).cast(common).cast("string").alias(f"key_{i}"))
+        part = dim.select(F.lit(rule).alias("rule"), F.col(pk).cast(common).cast("string").alias("key"))
+        known = part if known is None else known.unionByName(part)
+    too_long = [(F.length(name) > bound).alias(f"long_{j}") for j, (name, bound) in enumerate(bounds.items())]
+    narrow = fact.select(*keys, *too_long)
+    names = [f"key_{i}" for i in range(len(keys))]
+    label = F.lit(None).cast("string")
+    for i, (rule, *_) in enumerate(foreign):
+        label = F.when(F.grouping(f"key_{i}") == 0, F.lit(rule)).otherwise(label)
+    counted = narrow.groupingSets([[F.col(name)] for name in names], *map(F.col, names)).agg(
+        label.alias("rule"),
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(f"long_{j}").alias(f"long_{j}") for j in range(len(bounds))],
+    )
+    counted = counted.withColumn("key", F.coalesce(*names))
+    known = known.distinct().withColumn("known", F.lit(True))
+    joined = counted.join(known, ["rule", "key"], "left")
+    orphan = F.col("key").isNotNull() & F.col("known").isNull()
+    first = F.col("rule") == foreign[0][0]
+    zero = F.lit(0).cast("long")
+    metrics = joined.agg(
+        *[
+            F.coalesce(F.sum(F.when(orphan & (F.col("rule") == rule), F.col("rows"))), zero).alias(f"fk_{i}")
+            for i, (rule, *_) in enumerate(foreign)
+        ],
+        *[
+            F.coalesce(F.sum(F.when(first, F.col(f"long_{j}"))), zero).alias(f"text_{j}")
+            for j in range(len(bounds))
+        ],
+    )
+    rules = [(rule, F.col(f"fk_{i}") == 0, F.col(f"fk_{i}")) for i, (rule, *_) in enumerate(foreign)]
+    rules += [
+        (f"max_length:{name}<={bound}", F.col(f"text_{j}") == 0, F.col(f"text_{j}"))
+        for j, (name, bound) in enumerate(bounds.items())
+    ]
+    return rules_as_rows(metrics, rules)
+
+
+def _key_type(one: T.DataType, other: T.DataType) -> T.DataType:
+    """A type in which two keys are equal as texts if they are equal."""
+    if one == other:
+        return one
+    if isinstance(one, T.IntegralType) and isinstance(other, T.IntegralType):
+        return T.LongType()
+    if isinstance(one, T.NumericType) and isinstance(other, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
 def pk_duplicates(df: DataFrame, *key: str) -> DataFrame:
     """The keys that occur more than once, with their number of rows."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)

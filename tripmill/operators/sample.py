@@ -1,7 +1,9 @@
 """Random samples of an exact size.
 
 A sample is the ``n`` rows with the smallest rank of their key (then the smallest
-key, then the smallest columns), so it depends on the data alone.
+key, then the smallest columns), so it depends on the data alone. With ``xxhash64`` the
+rank is that of key and columns together, so that rows which share a key, but not their
+columns, are spread as well; ``md5`` ranks by the key alone, which should tell rows apart.
 
 A plain top-n hands up to ``n`` rows of *every* task to one reducer, which at a
 hundred thousand tasks is most of the table. Here a first pass counts the rows
@@ -32,7 +34,7 @@ def sample_candidates(
 ) -> DataFrame:
     """Rows that hold, for each ``(n, condition)``, the sample of ``n`` rows that
     meet the condition, and few others. All samples share the two passes."""
-    rank = K.rank(key, seed, method)
+    rank = K.rank(_ranked_by(key, columns, method), seed, method)
     rows = df.select(*dict.fromkeys([*key, *columns]))
     ranked = rows.withColumn("__rank", rank)
     classes = ranked.groupBy(K.magnitude("__rank", method).alias("class")).agg(
@@ -61,6 +63,10 @@ def sample_candidates(
     return bounded.filter(needed).drop("__rank", "__bounds")
 
 
+def _ranked_by(key: Sequence[str], columns: Sequence[str], method: str) -> list[str]:
+    return list(dict.fromkeys([*key, *columns] if method == "xxhash64" else key))
+
+
 def take_sample(
     candidates: DataFrame,
     n: int,
@@ -68,12 +74,17 @@ def take_sample(
     columns: Sequence[str],
     seed: int = 42,
     method: str = "md5",
+    ranked_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``columns`` of the first ``n`` candidates in rank order."""
+    """``columns`` of the first ``n`` candidates in rank order. ``ranked_by`` names the
+    columns of :func:`sample_candidates` if those were more."""
     names = list(dict.fromkeys([*key, *columns]))
     order = ["__rank", *names]
-    distinct = candidates.groupBy(*names).agg(F.count(F.lit(1)).alias("__copies"))
-    first = distinct.select("*", K.rank(key, seed, method).alias("__rank")).orderBy(*order).limit(n)
+    ranked = _ranked_by(key, ranked_by or columns, method)
+    distinct = candidates.groupBy(*dict.fromkeys([*names, *ranked])).agg(
+        F.count(F.lit(1)).alias("__copies")
+    )
+    first = distinct.select("*", K.rank(ranked, seed, method).alias("__rank")).orderBy(*order).limit(n)
     # The window runs over those n rows.
     before = F.sum("__copies").over(
         Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

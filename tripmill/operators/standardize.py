@@ -42,6 +42,9 @@ def standardize(
         column = _quoted(field.name)
         target = casts.get(name)
         if target is not None and field.dataType != target:
+            if isinstance(target, T.IntegralType) and isinstance(field.dataType, T.StringType):
+                # "1.0" is a whole number too; the fraction of others is cut off.
+                column = f"try_cast({column} AS DECIMAL(38, 18))"
             column = f"try_cast({column} AS {target.simpleString()})"
         columns.append(f"{column} AS {_quoted(name)}")
     absent = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tripmill.functions import expressions as X
 from tripmill.functions import predicates as P
 from tripmill.operators import aggregate as A
 from tripmill.operators import sample as S
-from tripmill.sources.parquet import read_written, write_lake
+from tripmill.sources.parquet import at_once, read_written, write_lake
 
 # The report's histogram range, sample sizes and preview size.
 AMOUNT_LOW = 0.0
@@ -21,6 +22,10 @@ AMOUNT_SAMPLE = 100_000
 SCATTER_SAMPLE = 10_000
 PREVIEW_ROWS = 5
 
+# Columns of a trip that rank it in the samples; the trips' generated key depends on how
+# they were stored.
+SAMPLE_KEY = ("tpep_pickup_datetime", "trip_distance", "total_amount")
+
 
 def trip_panels(
     fact: DataFrame,
@@ -112,40 +117,63 @@ def sample_scatter(
 
 
 def build_marts(
-    fact: DataFrame, root: str, key: Sequence[str] = ("trip_id",), method: str = "xxhash64"
+    fact: DataFrame, root: str, key: Sequence[str] = SAMPLE_KEY, method: str = "xxhash64"
 ) -> dict[str, str]:
     """Write one table per report panel below ``root``; returns their paths. Eager.
 
     The fact is read three times: once for all aggregates, and twice for both
-    samples together. Every other step reads the small tables written before.
+    samples together. Every other step reads the small tables written before. Steps
+    that do not wait for each other run at once. The samples are ranked by columns of
+    the rows, so they do not depend on how the fact is stored.
     """
     spark = fact.sparkSession
-    paths: dict[str, str] = {}
+    names = [
+        "trip_panels", "kpi", "hourly_counts", "payment_counts", "payment_labels",
+        "amount_histogram", "sample_candidates", "sample_amounts", "sample_scatter", "preview",
+    ]
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in names}
 
     def write(name: str, frame: DataFrame) -> DataFrame:
-        paths[name] = f"{root.rstrip('/')}/{name}"
         write_lake(frame, paths[name])
         return read_written(frame, paths[name])
 
-    panels = write("trip_panels", trip_panels(fact))
-    write("kpi", kpi_of_panels(panels))
-    write("hourly_counts", hourly_of_panels(panels).coalesce(1))
-    payments = write("payment_counts", A.label_counts(payment_of_panels(panels)).coalesce(1))
-    write("payment_labels", payment_labels(payments).coalesce(1))
-    write("amount_histogram", histogram_of_panels(panels).coalesce(1))
-
-    columns = ["trip_distance", "total_amount"]
-    samples = {
-        "sample_amounts": (AMOUNT_SAMPLE, P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)),
-        "sample_scatter": (SCATTER_SAMPLE, P.standard_trip()),
-    }
-    drawn = write(
-        "sample_candidates",
-        S.sample_candidates(fact, list(samples.values()), key, columns, method=method),
-    )
-    for name, (n, condition) in samples.items():
-        taken = columns if name == "sample_scatter" else ["total_amount"]
-        write(name, S.take_sample(drawn.filter(condition), n, key, taken, method=method))
-    # A limit would open every file of the fact for its five rows; take stops early.
-    write("preview", spark.createDataFrame(fact.take(PREVIEW_ROWS), fact.schema).coalesce(1))
+    def reports() -> None:
+        panels = write("trip_panels", trip_panels(fact))
+        payments = A.label_counts(payment_of_panels(panels))
+        small = {
+            "kpi": kpi_of_panels(panels),
+            "hourly_counts": hourly_of_panels(panels),
+            "payment_counts": payments,
+            "payment_labels": payment_labels(payments),
+            "amount_histogram": histogram_of_panels(panels),
+        }
+        at_once(*[partial(write, name, frame.coalesce(1)) for name, frame in small.items()])
+
+    def samples() -> None:
+        columns = ["trip_distance", "total_amount"]
+        closed = P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)
+        wanted = {
+            "sample_amounts": (AMOUNT_SAMPLE, closed, ["total_amount"]),
+            "sample_scatter": (SCATTER_SAMPLE, P.standard_trip(), columns),
+        }
+        drawn = S.sample_candidates(
+            fact, [(n, kept) for n, kept, _ in wanted.values()], key, columns, method=method
+        )
+        drawn = write("sample_candidates", drawn)
+        at_once(
+            *[
+                partial(
+                    write,
+                    name,
+                    S.take_sample(drawn.filter(kept), n, key, taken, method=method, ranked_by=columns),
+                )
+                for name, (n, kept, taken) in wanted.items()
+            ]
+        )
+
+    def preview() -> None:
+        # A limit would open every file of the fact for its five rows; take stops early.
+        write("preview", spark.createDataFrame(fact.take(PREVIEW_ROWS), fact.schema).coalesce(1))
+
+    at_once(reports, samples, preview)
     return paths

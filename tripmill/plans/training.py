@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tripmill.errors import QualityError
 from tripmill.functions import keys as K
 from tripmill.functions import predicates as P
 from tripmill.operators import quality as Q
@@ -41,8 +42,11 @@ def train_fare_model(
     """
     required = [x, y]
     types = {field.name.lower(): field.dataType for field in trips.schema.fields}
-    if not all(isinstance(types.get(name.lower()), T.NumericType) for name in required):
-        Q.require(Q.validate(trips, required))
+    for name in required:  # known without a look at the data
+        if name.lower() not in types:
+            raise QualityError(f"present:{name} does not hold")
+        if not isinstance(types[name.lower()], T.NumericType):
+            raise QualityError(f"numeric:{name} does not hold")
     metrics = trips.agg(
         *Q.validation_metrics(trips, required),
         *R.split_moments(

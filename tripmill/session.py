@@ -17,20 +17,6 @@ BASE_CONF: dict[str, str] = {
 }
 
 
-def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
-    """Settings for a large input: tasks of 512 MB instead of 128 MB, and enough
-    shuffle partitions that one of them, were all input shuffled, is about 256 MB.
-    Adaptive execution joins those that turn out small.
-    """
-    shuffle = min(max(2 * cores, input_bytes // (256 << 20)), 100_000)
-    return {
-        "spark.sql.files.maxPartitionBytes": "512m",
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-
-
 def s3a_conf(
     endpoint: str | None = None,
     *,

@@ -68,8 +68,11 @@ def read_table(
     """A table; filters and columns are pushed to the database.
 
     Without ``partition_column`` the whole table comes through one task, which is
-    right for a dimension and wrong for a fact.
+    right for a dimension; for the fact it is refused. Without bounds the database
+    is asked for the column's least and largest value.
     """
+    if partition_column is None and table == FACT:
+        raise ValueError(f"name a partition_column to read {FACT}: one task would read it all")
     reader = (
         spark.read.format("jdbc")
         .options(**target.options())
@@ -78,16 +81,32 @@ def read_table(
     )
     if partition_column:
         if lower is None or upper is None:
-            raise ValueError("a partitioned read needs its lower and upper bound")
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", lower)
-            .option("upperBound", upper)
-            .option("numPartitions", partitions)
-        )
+            found = read_query(spark, target, bounds_query(table, partition_column)).first()
+            lower, upper = _bounds(lower, upper, found[0], found[1])
+        reader = reader.options(**partition_options(partition_column, lower, upper, partitions))
     return reader.load()
 
 
+def bounds_query(table: str, column: str) -> str:
+    return f"SELECT min({column}) AS lower_bound, max({column}) AS upper_bound FROM {table}"
+
+
+def _bounds(lower: int | None, upper: int | None, least: int | None, most: int | None) -> tuple[int, int]:
+    """What the caller gave, or else what the table has; an empty table has 0 and 1."""
+    lower = lower if lower is not None else (least if least is not None else 0)
+    upper = upper if upper is not None else (most if most is not None else lower + 1)
+    return lower, max(upper, lower + 1)
+
+
+def partition_options(column: str, lower: int, upper: int, partitions: int) -> dict[str, str]:
+    return {
+        "partitionColumn": column,
+        "lowerBound": str(lower),
+        "upperBound": str(upper),
+        "numPartitions": str(partitions),
+    }
+
+
 def read_query(spark: SparkSession, target: JdbcTarget, query: str) -> DataFrame:
     """The result of a query the database runs, e.g. an aggregate."""
     return spark.read.format("jdbc").options(**target.options()).option("query", query).load()

@@ -23,7 +23,8 @@ def land_file(spark: SparkSession, source: str, target: str) -> tuple[str, bool,
     except TripmillError as error:
         return name, False, None, str(error)
     except Exception as error:  # a broken file must not stop the others
-        return name, False, None, f"{type(error).__name__}: {str(error).splitlines()[0]}"
+        first = str(error).partition("\n")[0]
+        return name, False, None, f"{type(error).__name__}: {first}"
 
 
 def land_files(

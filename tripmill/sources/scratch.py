@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,12 +9,9 @@ from pyspark.sql import SparkSession
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder the session names in
-    ``spark.checkpoint.dir``. A local session without one gets a temporary folder;
-    a cluster without one is an error, as its machines share no such folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tripmill-")
+    ``spark.checkpoint.dir``, or else below its warehouse folder, which all executors
+    share as well."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/tripmill/{name}-{uuid.uuid4().hex}"

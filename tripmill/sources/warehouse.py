@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.errors import ConstraintError, MissingInputError
-from tripmill.operators.quality import fk_report, pk_report, require, text_report
+from tripmill.operators.quality import constraint_report, pk_report, require, text_report
 from tripmill.operators.star import with_surrogate_key
 from tripmill.schema import TEXT_BOUNDS
 from tripmill.sources import dimensions as D
-from tripmill.sources.parquet import read_file, replace_batches, write_lake
+from tripmill.sources.parquet import at_once, read_file, replace_batches, write_lake
 
 FACT = "fact_trips"
+KEY = "trip_id"
 FACT_KEYS = "fact_trips_keys"
 DIMENSIONS = {
     "dim_payment_type": ("payment_type_id", D.dim_payment_type),
@@ -33,11 +35,18 @@ def _bounds(df: DataFrame) -> dict[str, int]:
 
 def create_dimensions(spark: SparkSession, root: str) -> DataFrame:
     """Write the seeded dimensions, after checking their keys; returns the status row."""
-    for table, (key, make) in DIMENSIONS.items():
-        frame = make(spark)
-        require(pk_report(frame, key, rule=f"{table}.{key} is a key"), ConstraintError)
-        require(text_report(frame, _bounds(frame)), ConstraintError)
-        write_lake(frame.coalesce(1), table_path(root, table))
+    frames = {table: make(spark) for table, (_, make) in DIMENSIONS.items()}
+    reports = []
+    for table, (key, _) in DIMENSIONS.items():
+        reports.append(pk_report(frames[table], key, rule=f"{table}.{key} is a key"))
+        reports.append(text_report(frames[table], _bounds(frames[table])))
+    require(reduce(DataFrame.unionByName, reports), ConstraintError)
+    at_once(
+        *[
+            partial(write_lake, frame.coalesce(1), table_path(root, table))
+            for table, frame in frames.items()
+        ]
+    )
     return D.status_row(spark, "Star schema ready; code 0 is present.")
 
 
@@ -63,13 +72,27 @@ def foreign_keys(fact: DataFrame) -> list[tuple[str, DataFrame, str, DataFrame,
     ]
 
 
-def require_constraints(fact: DataFrame) -> None:
-    """Raise before anything is written if a foreign key has orphans or a text is
-    too long. A database would reject single partitions and keep the others."""
-    report = fk_report(foreign_keys(fact))
-    bounds = _bounds(fact)
-    if bounds:
-        report = report.unionByName(text_report(fact, bounds))
+def require_constraints(fact: DataFrame, stored: DataFrame | None = None) -> None:
+    """Raise before anything is written if a foreign key has orphans, a text is too long,
+    or a key that the rows bring with them is NULL, repeated or ``stored`` already. A
+    database would reject single partitions and keep the others.
+
+    Foreign keys and texts take one pass over the fact, and a source key one more.
+    """
+    foreign = [(rule, fk, dim, pk) for rule, _, fk, dim, pk in foreign_keys(fact)]
+    report = constraint_report(fact, foreign, _bounds(fact))
+    if KEY in fact.columns:
+        report = report.unionByName(pk_report(fact, KEY, rule=f"{FACT}.{KEY} is a key"))
+        if stored is not None:
+            known = stored.select(KEY).join(fact.select(KEY).distinct(), KEY, "left_semi")
+            bad = known.agg(F.count(F.lit(1)).alias("bad_rows"))
+            report = report.unionByName(
+                bad.select(
+                    F.lit(f"{FACT}.{KEY} is new").alias("rule"),
+                    (F.col("bad_rows") == 0).alias("ok"),
+                    "bad_rows",
+                )
+            )
     require(report, ConstraintError)
 
 
@@ -110,14 +133,25 @@ def write_fact(
 
     ``append`` adds rows each time it runs; ``overwrite`` replaces the table. With
     ``batch_column`` the table is partitioned by it and only ``batches`` are
-    replaced, so a job can be run again for the months it failed on.
+    replaced, so a job can be run again for the months it failed on. Rows that bring
+    their key (``trip_id``) keep it.
     """
-    require_constraints(df)
     spark = df.sparkSession
     path = table_path(root, FACT)
+    keyed = KEY in df.columns
+    stored = None
+    if keyed and (mode == "append" or batch_column):
+        try:
+            stored = read_table(spark, root, FACT)
+        except MissingInputError:
+            stored = None
+        if stored is not None and batch_column:
+            stored = stored.filter(~F.col(batch_column).isin(list(batches)))
+    require_constraints(df, stored)
     if batch_column:
-        numbered = _number(df, root, next_trip_id(spark, root))
+        numbered = df if keyed else _number(df, root, next_trip_id(spark, root))
         replace_batches(numbered, path, batch_column, batches)
         return
-    start = next_trip_id(spark, root) if mode == "append" else 0
-    write_lake(_number(df, root, start), path, mode=mode)
+    if not keyed:
+        df = _number(df, root, next_trip_id(spark, root) if mode == "append" else 0)
+    write_lake(df, path, mode=mode)
