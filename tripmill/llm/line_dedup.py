@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import column, written
+from tripmill.llm.common import column, packed, unpacked, written
 
 # A line on this many sites is boilerplate.
 LEAST_SITES = 10
@@ -103,29 +103,32 @@ def dedup_lines(
         "line-hits",
     )
     at = F.struct("id", "doc_a", "doc_b", "place")
-    first = hits.groupBy("line_a", "line_b").agg(F.min(at).alias("first"))
+    # Written, so that its size is known and the join need not deal out a hot line's rows.
+    first = written(
+        hits.groupBy("line_a", "line_b").agg(F.min(at).alias("first")), "line-owners"
+    )
     removed = (
         hits.join(first, ["line_a", "line_b"])
         .filter(~at.eqNullSafe(F.col("first")))
         .groupBy("doc_a", "doc_b")
-        .agg(F.collect_set("place").alias("__places"))
+        .agg(F.collect_set("place").alias("places"))
     )
+    removed = written(removed, "line-removals")
     body = column(text).cast("string")
     hash_a, hash_b = document_hashes(column(key), body)
-    hashed = docs.withColumns({"__doc_a": hash_a, "__doc_b": hash_b})
-    removed = written(removed, "line-removals").withColumnsRenamed(
-        {"doc_a": "__doc_a", "doc_b": "__doc_b"}
+    joined = packed(docs, doc_a=hash_a, doc_b=hash_b, body=body).join(
+        removed, ["doc_a", "doc_b"], "left"
     )
-    joined = hashed.join(removed, ["__doc_a", "__doc_b"], "left")
-    every = lines_of(body)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("__places"))
+    every, places = lines_of(F.col("body")), F.col("places")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), places)
     cleaned = F.array_join(F.transform(stay, lambda i: F.get(every, i)), "\n")
     solid = F.filter(every, lambda line: F.trim(line, F.lit(BLANKS)) != "")
-    return joined.select(
-        *[
-            (F.when(F.col("__places").isNull(), body).otherwise(cleaned) if name == text else column(name)).alias(name)
-            for name in docs.columns
-        ],
-        F.size(solid).cast("long").alias("__lines"),
-        F.coalesce(F.size("__places"), F.lit(0)).cast("long").alias("__removed"),
+    return unpacked(
+        joined,
+        docs,
+        **{
+            text: F.when(places.isNull(), F.col("body")).otherwise(cleaned),
+            "__lines": F.size(solid).cast("long"),
+            "__removed": F.coalesce(F.size(places), F.lit(0)).cast("long"),
+        },
     )
