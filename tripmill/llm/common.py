@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from tripmill.sources.parquet import read_written, write_lake
 from tripmill.sources.scratch import scratch_dir
 
-# What separates words, as in ``[^\x20\x09-\x0D]+``.
-SPACES = " \t\n\x0b\x0c\r"
+# Bytes per Arrow batch that goes to a Python worker.
+BATCH_BYTES = 16 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,20 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """All columns of ``docs`` as one struct ``row``, so that no name of theirs can clash
+    with one an operator uses, and ``more`` columns beside it."""
+    whole = F.struct(*[column(name).alias(name) for name in docs.columns]).alias("row")
+    return docs.select(whole, *[value.alias(name) for name, value in more.items()])
+
+
+def unpacked(df: DataFrame, docs: DataFrame, **added: Column) -> DataFrame:
+    """The columns of ``docs`` out of ``row`` again, with ``added`` columns: in the place
+    of a column of that name, or else after the others."""
+    own = {name: F.col("row").getField(name) for name in docs.columns}
+    return df.select(*[value.alias(name) for name, value in {**own, **added}.items()])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per Spark application, as
     ``--py-files`` would: the operators' functions are loaded from it there."""
@@ -44,9 +59,27 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` with this package at hand in the workers, batches of bounded size
+    (the session's bound is lowered to :data:`BATCH_BYTES` if it is larger), and memory
+    given back when a task ends: workers live on."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if _bytes(spark.conf.get(_BATCH_CONF)) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
+def _bytes(text: str) -> int:
+    """A size setting as a number; without a bound it is as good as infinite."""
+    digits = text.rstrip("bBkKmMgG")
+    unit = text[len(digits) :].lower().rstrip("b")
+    size = int(digits) << {"": 0, "k": 10, "m": 20, "g": 30}[unit]
+    return size if size > 0 else 1 << 62
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

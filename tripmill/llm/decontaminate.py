@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import column, written
+from tripmill.llm.common import column, packed, unpacked, written
 from tripmill.llm.spot_signatures import words_of
 
 # The places a seed hashes.
@@ -174,11 +174,11 @@ def decontaminate(
     also for NULLs, repeated rows and empty tables. Every copy of a leaking row goes."""
     found = written(
         find_leaks(docs, benchmark, text, key, **names).select(
-            F.col("doc_a").alias("__doc_a"), F.col("doc_b").alias("__doc_b")
+            "doc_a", "doc_b"
         ).distinct(),
         "leaking",
     )
     body = F.coalesce(column(text).cast("string"), F.lit(""))
     hashes = [F.xxhash64(F.lit(salt), column(key), body) for salt in (7, 8)]
-    hashed = docs.withColumns(dict(zip(("__doc_a", "__doc_b"), hashes)))
-    return hashed.join(found, ["__doc_a", "__doc_b"], "left_anti").select(*map(column, docs.columns))
+    whole = packed(docs, doc_a=hashes[0], doc_b=hashes[1])
+    return unpacked(whole.join(found, ["doc_a", "doc_b"], "left_anti"), docs)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import column, map_arrow
+from tripmill.llm.common import column, map_arrow, unpacked
 
 UNKNOWN = "und"
 
@@ -240,15 +240,16 @@ def identify_language(
 
     A text that is NULL, empty or without a letter gets ``und`` with score 0, and so does
     every text under a model without languages. Repeated rows and NULLs in other columns
-    pass through; columns outside ``keep`` are not looked at; an empty table gives an
-    empty one. Long texts are read whole.
+    pass through; columns outside ``keep`` are not looked at, and one of ``keep`` named
+    like a result is replaced; an empty table gives an empty one. Long texts are read whole.
     """
     spark = docs.sparkSession
-    fields = [docs.schema[name] for name in keep]
+    kept = docs.select(*[column(name).alias(name) for name in keep])
+    body = column(text).cast("string")
+    given = docs.select(F.struct(*[column(name).alias(name) for name in keep]).alias("row"), body.alias("body"))
     result = T.StructType(
-        [T.StructField(f.name, f.dataType) for f in fields]
-        + [T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType()),
-           T.StructField("__ambiguous", T.BooleanType())]
+        [given.schema["row"], T.StructField("lang_pred", T.StringType()),
+         T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
     )
     shared = spark.sparkContext.broadcast(model)
 
@@ -270,8 +271,9 @@ def identify_language(
                 added = [pa.array(x, f.type) for x, f in zip(said, list(schema)[-3:])]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=schema.names)
 
-    given = docs.select(*map(column, keep), column(text).cast("string").alias("__text"))
-    return map_arrow(given, run, result)
+    answered = map_arrow(given, run, result)
+    names = ("lang_pred", "score", "ambiguous")
+    return unpacked(answered, kept, **{f"__{name}": F.col(name) for name in names})
 
 
 def is_held_out(key: str = "doc_id") -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import column, written
+from tripmill.llm.common import column, packed, unpacked, written
 
 # Hexadecimal digits of the draw: as many as a double holds exactly.
 DIGITS = 13
@@ -55,36 +55,40 @@ def assign_shards(
 
     NULL keys count as empty text and come first. Rows with one key share its shard; they
     are still split between tasks, by a last key that is theirs alone, and rows equal in
-    key and ``order`` get their slots in no fixed order. Extra columns pass through. An
-    empty table gives an empty one.
+    key and ``order`` get their slots in no fixed order. Extra columns pass through; ones
+    named like an added one are replaced. An empty table gives an empty one.
     """
     count = len(weights)
     every = [*weights, *([added] if added is not None else [])]
-    drawn = docs.withColumn("__draws", draws(column(key), every))
+    sorting = [f"by_{i}" for i in range(len(order))]
+    drawn = packed(
+        docs,
+        key=column(key),
+        **{name: column(own) for name, own in zip(sorting, order)},
+        draws=draws(column(key), every),
+    )
+    grown = F.array_min("draws").shard if added is not None else F.lit(None).cast("int")
     placed = drawn.withColumns(
-        {
-            "shard": F.array_min(F.slice("__draws", 1, count)).shard,
-            "grown_shard": F.array_min("__draws").shard if added is not None else F.lit(None).cast("int"),
-        }
-    ).drop("__draws")
-    sorting = ["shard", key, *order]
-    parted = (
-        placed.withColumn("__row", F.monotonically_increasing_id())
-        .repartitionByRange(*map(column, sorting), "__row")
-        .withColumn("__part", F.spark_partition_id())
-        .drop("__row")
+        {"shard": F.array_min(F.slice("draws", 1, count)).shard, "grown": grown}
+    ).drop("draws")
+    parted = written(
+        placed.withColumn("own", F.monotonically_increasing_id())
+        .repartitionByRange("shard", "key", *sorting, "own")
+        .withColumn("part", F.spark_partition_id())
+        .drop("own"),
+        "shards",
     )
-    parted = written(parted, "shards")
-    sizes = parted.groupBy("shard", "__part").agg(F.count(F.lit(1)).alias("__size"))
-    earlier = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parted.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col("shard").alias("__shard"), F.col("__part").alias("__of"),
-        F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"),
-    )
-    within = Window.partitionBy("shard", "__part").orderBy(*map(column, [key, *order]))
-    numbered = parted.withColumn("__number", F.row_number().over(within))
-    joined = numbered.join(
-        offsets, (F.col("shard") == F.col("__shard")) & (F.col("__part") == F.col("__of"))
+        "shard", "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset")
+    )
+    within = Window.partitionBy("shard", "part").orderBy("key", *sorting)
+    numbered = parted.withColumn("number", F.row_number().over(within)).join(offsets, ["shard", "part"])
+    return unpacked(
+        numbered,
+        docs,
+        shard=F.col("shard"),
+        grown_shard=F.col("grown"),
+        slot=(F.col("number") - 1 + F.col("offset")).cast("long"),
     )
-    slot = (F.col("__number") - 1 + F.col("__offset")).cast("long")
-    return joined.withColumn("slot", slot).drop("__part", "__number", "__shard", "__of", "__offset")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import column
+from tripmill.llm.common import column, packed, unpacked
 
 # Hexadecimal digits of a digest that the join uses.
 PREFIX = 8
@@ -56,7 +56,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     fits are joined back, by a plain join that adaptive execution splits on a hot URL. A
     NULL URL, or one without ``://``, has an empty host and path and fits no rule. Rules
     with a NULL are left out. Extra columns pass through, also ones named ``host`` or
-    ``rule``; empty tables are fine. Reads the rules' shapes and number to the driver, a
+    ``rule``; one named ``judged`` is replaced. Empty tables are fine. Reads the rules' shapes and number to the driver, a
     few rows.
     """
     rules = rules.select(
@@ -109,16 +109,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
         .join(known, "prefix")
         .filter("own = digest")
         .groupBy("url")
-        .agg(F.max("found").alias("__found"))
-        .withColumnRenamed("url", "__url")
-    )
-    judged = pages.withColumn("__address", address).join(
-        best, F.col("__address") == F.col("__url"), "left"
+        .agg(F.max("found").alias("found"))
     )
+    judged = packed(pages, url=address).join(best, "url", "left")
     answer = F.struct(
-        host_of(F.col("__address")).alias("host"),
-        path_of(F.col("__address")).alias("path"),
-        F.col("__found.rule").alias("rule"),
-        F.coalesce(F.col("__found.verdict"), F.lit(default)).alias("verdict"),
+        host_of(F.col("url")).alias("host"),
+        path_of(F.col("url")).alias("path"),
+        F.col("found.rule").alias("rule"),
+        F.coalesce(F.col("found.verdict"), F.lit(default)).alias("verdict"),
     )
-    return judged.select(*map(column, pages.columns), answer.alias("judged"))
+    return unpacked(judged, pages, judged=answer)
