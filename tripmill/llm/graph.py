@@ -20,8 +20,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = links.select(
         F.greatest(a, b).alias("high"), F.least(a, b).alias("low")
-    ).filter((F.col(a) != F.col(b)))
-    edges = written(edges.distinct(), "links")
+    ).filter(F.col(a) != F.col(b))
+    edges = edges.distinct()
     while True:
         either = edges.unionByName(
             edges.select(F.col("low").alias("high"), F.col("high").alias("low"))
