@@ -18,8 +18,9 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -146,16 +147,21 @@ class WordEncoder:
     """Encodes texts with a vocabulary of lower-cased words that carry their end."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
+        self.path = path
         self.vocabulary = Vocabulary(path)
-        self.library = Tokenizer.from_file(path)
         special = sorted(self.vocabulary.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.words = re.compile(word_pattern())
         self.known: dict[str, bytes] = {}
         self.known_fragments: dict[tuple[str, ...], list[int]] = {}
 
+    @cached_property
+    def library(self):
+        """The tokenizer itself, loaded only for texts beyond the known scripts."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def split(self, text: str) -> list[str]:
         """Words after lower-casing. The end of a word is not marked yet."""
         lower = text.lower()
@@ -199,6 +205,11 @@ class WordEncoder:
                 out += [known.get(word) or self.word(word) for word in self.split(part)]
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Give up what was remembered: the worker may serve other jobs next."""
+        self.known.clear()
+        self.known_fragments.clear()
+
     def decode(self, ids: bytes) -> str:
         """The text of packed ids: the tokens with a space between, as the file names
         no decoder."""
@@ -283,9 +294,11 @@ def bpe_encode(
             for batch in batches:
                 for number, value in zip(batch.column(0), batch.column(1)):
                     ids = own.encode(value.as_py() or "")
-                    row = (number.as_py(), len(ids) // 4, ids if packed else unpacked_ids(ids).tolist())
+                    numbers = ids if packed else np.frombuffer(ids, "<u4").astype(np.int64)
+                    row = (number.as_py(), len(ids) // 4, numbers)
                     yield (*row, own.decode(ids)) if decode else row
 
-        yield from in_batches(rows(), schema, 1_000, size=lambda row: 12 * row[1])
+        yield from in_batches(rows(), schema, 1_000, size=lambda row: 16 * row[1])
+        own.forget()
 
     return map_arrow(docs.select(column(key), column(text).cast("string")), run, T.StructType(fields))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,7 +16,7 @@ from tripmill.sources.parquet import read_written, write_lake
 from tripmill.sources.scratch import scratch_dir
 
 # Bytes per Arrow batch that goes to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -70,6 +71,9 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
     return df.mapInArrow(run, schema)
 
@@ -91,7 +95,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def in_batches(
-    rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 2_000, most_bytes: int = 16 << 20,
+    rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 2_000, most_bytes: int = 4 << 20,
     size: Callable[[tuple], int] = lambda row: 64,
 ) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of bounded size, so that a task holds one batch at a

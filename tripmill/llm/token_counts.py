@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate, chain
 from os.path import commonprefix
 from typing import NamedTuple
@@ -72,10 +72,8 @@ class PrefixCounter:
     """Counts the tokens of all prefixes, with one byte-level tokenizer file."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
+        self.path = path
         self.vocabulary = Vocabulary(path)
-        self.library = Tokenizer.from_file(path)
         self.longest = max(map(len, self.vocabulary.ids))
         special = sorted(self.vocabulary.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
@@ -88,6 +86,13 @@ class PrefixCounter:
             if self.made.setdefault(token, (rank, left, right))[0] != rank:
                 raise ValueError(f"two merges make {token!r}")
 
+    @cached_property
+    def library(self):
+        """The tokenizer itself, loaded only for texts beyond the known scripts."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def split(self, text: str) -> list[str]:
         if text.isascii() or max(text) < chr(KNOWN_SCRIPTS):
             return self.pieces.findall(text)
