@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,6 +163,49 @@ def test_secrets_by_name():
     assert secret_scan.secret_spans(chain + "my_passwd = v2000") is not None
 
 
+@pytest.mark.parametrize("text, name", [
+    ("INFO: db_pwd=hunter2Zq9", "db_pwd"),
+    ("environment: CLIENT_PASSPHRASE=hunter2Zq9", "CLIENT_PASSPHRASE"),
+    ("page = x/y?client_passphrase=hunter2Zq9", "client_passphrase"),
+    ("a: b: 'db_pwd': 'hunter2Zq9'", "db_pwd"),
+    ('pwd = passphrase = "hunter2Zq9"', "pwd"),
+    ('db_pwd: str = "hunter2Zq9"', "db_pwd"),
+    ('client_pwd: string="hunter2Zq9"', "client_pwd"),
+    ('db_pwd: Optional[Dict[str, str]] = "hunter2Zq9"', "db_pwd"),
+    ('db_pwd: str | None = "hunter2Zq9"', "db_pwd"),
+    ("const DB_PWD: &'static str = \"hunter2Zq9\"", "DB_PWD"),
+    ('val dbPwd: String? = "hunter2Zq9"', "dbPwd"),
+    ('db_pwd: std::string = "hunter2Zq9"', "db_pwd"),
+    ('db_pwd\t= "hunter2Zq9"', "db_pwd"),
+    ('db_pwd:\t"hunter2" \t+\t"Zq9"', "db_pwd"),
+    ('INFO: x = "hunter2Zq9"\nclient_secret = x', "client_secret"),
+    # A literal that a separator follows is still one.
+    ("db_pwd=hunter2Zq9= foo", "db_pwd"),
+    ("private_key=hunter2Zq9=", "private_key"),
+    ("db_pwd=hunter2Zq9:tail", "db_pwd"),
+    # A type's name does not stand for the literal of another declaration.
+    ('title: str = "Abc9defgh"\ndef f(db_pwd: str): pass', None),
+    ('title: str | None = "Abc9defgh"\ndb_pwd = None', None),
+    ("credential: https://example.net/Path9x", None),
+])
+def test_secrets_whose_value_could_be_a_name(text, name):
+    named = [(text[a:b], n) for kind, a, b, n, _ in secret_scan.secret_spans(text) if kind == "named"]
+    if name is None:
+        assert named == []
+    else:
+        assert "".join(literal for literal, _ in named) == "hunter2Zq9" and {n for _, n in named} == {name}
+
+
+def test_secrets_of_long_lines_in_linear_time():
+    for line in (
+        "a=" * 200_000, "a = " * 100_000, "a: " * 100_000, "pwd = " * 50_000 + "x", '"a=" + ' * 50_000, "a: x[" * 50_000,
+        "a: [" * 50_000, "a:" + "<" * 100_000, "a: b | " * 50_000, "pwd1 = pwd2: " * 50_000, 'a="b=' * 50_000, "a=b+c" * 50_000,
+    ):
+        begun = time.process_time()
+        secret_scan.secret_spans(line)
+        assert time.process_time() - begun < 20, line[:20]
+
+
 def test_weights_and_growth_of_shards(spark):
     df = spark.range(30_000).withColumnRenamed("id", "doc_id")
     placed = sharding.assign_shards(df, [1.0, 1.0, 2.0], added=4.0)

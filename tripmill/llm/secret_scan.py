@@ -3,9 +3,10 @@
 Three fixed patterns find assignments, access keys and long hex strings wherever they
 stand. On top of them, lines that assign are lexed into pairs of a name and a literal:
 ``name = "literal"``, ``"name": "literal"``, ``name: literal``, ``NAME=literal``,
-``name := "a" + "b"``. A constant that is stored under a harmless name and handed on
-(``x = "..."``, later ``client_secret = x``) is followed to its literal. A pair is
-reported when its target name is sensitive and its literal looks like a value.
+``name := "a" + "b"``, ``name: type = "literal"``, ``a = b = "literal"``. A constant that
+is stored under a harmless name and handed on (``x = "..."``, later ``client_secret = x``)
+is followed to its literal. A pair is reported when its target name is sensitive and its
+literal looks like a value.
 """
 
 from __future__ import annotations
@@ -55,13 +56,32 @@ PLACEHOLDER = re.compile(
 
 _WORD = r"[A-Za-z_$@][\w.$@-]{0,79}"
 _TERM = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s"'`;,(){}\[\]<>#+&|=:]+)"""
-PAIR = re.compile(
-    rf"""(?<![\w$@.-])(?P<quote>["']?)(?P<name>{_WORD})(?P=quote)\x20*(?:=>|:=|=(?!=)|:(?!:))\x20*"""
-    rf"(?P<value>{_TERM}(?:\x20*[+.]\x20*{_TERM})*)"
+_GAP = r"[\x20\t]*+"
+_HEAD = rf"""(?<![\w$@.-])(?P<quote>["']?)(?P<name>{_WORD})(?P=quote){_GAP}"""
+_SEPARATOR = r"(?:=>|:=|=(?!=)|:(?!:))"
+_VALUE = rf"(?P<value>{_TERM}(?:{_GAP}[+.]{_GAP}{_TERM})*)"
+PAIR = re.compile(rf"{_HEAD}(?P<separator>{_SEPARATOR}){_GAP}{_VALUE}")
+FOLLOWED = re.compile(_GAP + _SEPARATOR)
+
+# A declared type of more than one word: brackets, unions, references, marks.
+_INNER = r"[\w.,|?&*'\x20\t]"
+_NESTED = rf"[\[<]{_INNER}*+[\]>]"
+for _ in range(3):
+    _NESTED = rf"[\[<](?:{_INNER}|{_NESTED})*+[\]>]"
+_TYPE = rf"(?:&(?:'\w++\x20)?(?:mut\x20)?)?+[A-Za-z_][\w.]*+(?:::[\w.]++)*+(?:{_NESTED})*+[?!*]?+"
+TYPED = re.compile(
+    rf"{_HEAD}:(?!:){_GAP}(?![\w.]++{_GAP}=){_TYPE}(?:{_GAP}\|{_GAP}{_TYPE})*+{_GAP}=(?![=>]){_GAP}(?={_VALUE})"
 )
 TERM = re.compile(_TERM)
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
+# Words after ``name:`` that are its type and no name, and words that are never a name.
+TYPES = {
+    "str", "string", "String", "text", "Text", "bytes", "int", "float", "number", "bool", "boolean",
+    "char", "any", "Any", "object", "Object",
+}
+NOTHING = {"None", "null", "nil", "undefined"}
+
 # Names count as sensitive, and pairs are reported, from these scores on.
 LEAST_SCORE = 0.6
 LEAST_PAIR = 0.45
@@ -121,6 +141,56 @@ def assigning_lines(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def line_pairs(text: str, start: int, end: int) -> Iterator[tuple[list[str], list[re.Match]]]:
+    """(names, terms) of the pairs between two places of a text.
+
+    A value that a separator follows is scanned again, as it may be the next pair's name.
+    In ``a = b = "literal"`` and ``a: type = "literal"``, told by a blank before the last
+    separator or a quote after it, the literal is that of all the names, and the words
+    between are not literals unless they hold a digit.
+    """
+
+    def terms_of(pair: re.Match) -> list[re.Match]:
+        return list(TERM.finditer(text, pair.start("value"), pair.end("value")))
+
+    typed = list(TYPED.finditer(text, start, end)) if text.find(":", start, end) >= 0 else []
+    declared = {pair.start() for pair in typed}
+    names: list[str] = []
+    is_type = False
+    pair = PAIR.search(text, start, end)
+    while pair:
+        if not is_type:
+            names.append(pair["name"])
+        is_type = False
+        terms = terms_of(pair)
+        is_value = pair.start() not in declared or any(map(str.isdigit, terms[0][0]))
+        if not FOLLOWED.match(text, pair.end(), end):
+            if is_value:
+                yield names, terms
+            names = []
+            pair = PAIR.search(text, pair.end(), end)
+            continue
+        at = terms[-1].start()
+        then = PAIR.match(text, at, end)
+        if (
+            then
+            and len(terms) == 1
+            and then["separator"] in ("=", ":=")
+            and terms[0][0] == then["name"]
+            and (then.start("separator") > then.end("name") or then["value"][0] in "\"'`")
+        ):
+            if any(map(str.isdigit, then["name"])):
+                yield names[-1:], terms
+            is_type = pair["separator"] == ":" and then["name"] in TYPES
+        else:
+            if is_value:
+                yield names, terms
+            names = []
+        pair = then or PAIR.search(text, at, end)
+    for pair in typed:
+        yield [pair["name"]], terms_of(pair)
+
+
 def literals_of(value: list) -> list[tuple[int, int]]:
     """The literals a value is made of, in order and once each. A value's parts are
     literals, as (start, end), or other values, as lists: what a name stood for."""
@@ -147,16 +217,17 @@ def named_spans(text: str) -> list[tuple[int, int, str, float]]:
     constants: dict[str, list] = {}
     found: dict[tuple[int, int], tuple[str, float]] = {}
     for start, end in assigning_lines(text):
-        for pair in PAIR.finditer(text, start, end):
+        for names, terms in line_pairs(text, start, end):
             value: list = []
-            for term in TERM.finditer(text, pair.start("value"), pair.end("value")):
+            for term in terms:
                 if term[0][0] in "\"'`":
                     value.append((term.start() + 1, term.end() - 1))
                 else:
                     value.append(constants.get(term[0], term.span()))
-            name = pair["name"]
-            constants[name] = value
-            sensitive = name_score(name)
+            if len(value) == 1 and isinstance(value[0], list):
+                value = value[0]  # another name for the same
+            constants.update((name, value) for name in names if name not in NOTHING)
+            sensitive, name = max((name_score(name), -place, name) for place, name in enumerate(names))[::2]
             if sensitive < LEAST_SCORE:
                 continue
             literals = literals_of(value)
