@@ -196,8 +196,18 @@ def test_secrets_whose_value_could_be_a_name(text, name):
         assert "".join(literal for literal, _ in named) == "hunter2Zq9" and {n for _, n in named} == {name}
 
 
+@pytest.mark.parametrize("length", [70, 79, 80, 81, 95, 1000, 200_000])
+def test_secrets_under_long_names(length):
+    name = ("part." * length)[: length - len("b_passphrase") - 1] + ".b_passphrase"
+    assert len(name) == length
+    for text in (f"{name} = 'hunter2Zq9'", f'"{name}": "hunter2Zq9"', f"{name} : str = 'hunter2Zq9'", f"INFO: {name}=hunter2Zq9"):
+        named = [(text[a:b], n) for kind, a, b, n, _ in secret_scan.secret_spans(text) if kind == "named"]
+        assert named == [("hunter2Zq9", name)]
+
+
 def test_secrets_of_long_lines_in_linear_time():
     for line in (
+        "a" * 400_000 + " = b", "a." * 200_000, "a-" * 200_000 + ":", ("a" * 99 + " ") * 4000 + "=", "aB" * 200_000 + "=x",
         "a=" * 200_000, "a = " * 100_000, "a: " * 100_000, "pwd = " * 50_000 + "x", '"a=" + ' * 50_000, "a: x[" * 50_000,
         "a: [" * 50_000, "a:" + "<" * 100_000, "a: b | " * 50_000, "pwd1 = pwd2: " * 50_000, 'a="b=' * 50_000, "a=b+c" * 50_000,
     ):

@@ -54,7 +54,7 @@ PLACEHOLDER = re.compile(
     r"|true|false|null|none|undefined|x+|\*+|\$\{.*|\$\(.*|<.*>|\{\{.*|%.*%)\Z"
 )
 
-_WORD = r"[A-Za-z_$@][\w.$@-]{0,79}"
+_WORD = r"[A-Za-z_$@][\w.$@-]*+"
 _TERM = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s"'`;,(){}\[\]<>#+&|=:]+)"""
 _GAP = r"[\x20\t]*+"
 _HEAD = rf"""(?<![\w$@.-])(?P<quote>["']?)(?P<name>{_WORD})(?P=quote){_GAP}"""
@@ -283,6 +283,6 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
                     found = secret_spans(value.as_py() or "")
                     yield number.as_py(), [dict(zip(names, span)) for span in found]
 
-        yield from in_batches(rows(), schema, size=lambda row: 64 + 64 * len(row[1]))
+        yield from in_batches(rows(), schema, size=lambda row: 64 + sum(64 + len(span["name"] or "") for span in row[1]))
 
     return map_arrow(docs.select(column(key), column(text).cast("string")), run, result)
