@@ -196,6 +196,25 @@ def test_secrets_whose_value_could_be_a_name(text, name):
         assert "".join(literal for literal, _ in named) == "hunter2Zq9" and {n for _, n in named} == {name}
 
 
+@pytest.mark.parametrize("name", [
+    "secretkey", "privatekey", "accesskey", "signingkey", "dbpwd", "SECRETKEY", "DBPWD", "awsSecretkey", "myprivatekey",
+    "ldappassphrase", "secrets", "passwords", "tokens", "my_secrets", "privatekeys", "accesskeys", "app.passcodes",
+    "clientsecrets", "DB_PWDS", "sshprivate_key", "secretvalue",
+])
+def test_secrets_under_compounds_and_plurals(name):
+    for text in (f'{name} = "hunter2Zq9"', f'"{name}": "hunter2Zq9"', f"{name}: hunter2Zq9"):
+        found = [(text[a:b], kind) for kind, a, b, *_ in secret_scan.secret_spans(text)]
+        assert found == [("hunter2Zq9", "named")]
+
+
+@pytest.mark.parametrize("name", [
+    "monkey", "turkey", "concert", "obsession", "spinning", "secretary", "tokenizer", "publickey", "primarykeys", "hostkey",
+    "passwordfile", "tokencount", "username", "keys", "access", "process", "userclient", "keyboards", "basalt",
+])
+def test_no_secrets_under_other_words(name):
+    assert secret_scan.secret_spans(f'{name} = "hunter2Zq9"') == []
+
+
 @pytest.mark.parametrize("length", [70, 79, 80, 81, 95, 1000, 200_000])
 def test_secrets_under_long_names(length):
     name = ("part." * length)[: length - len("b_passphrase") - 1] + ".b_passphrase"
@@ -208,6 +227,7 @@ def test_secrets_under_long_names(length):
 def test_secrets_of_long_lines_in_linear_time():
     for line in (
         "a" * 400_000 + " = b", "a." * 200_000, "a-" * 200_000 + ":", ("a" * 99 + " ") * 4000 + "=", "aB" * 200_000 + "=x",
+        "key" * 100_000 + "=hunter2Zq9", "s" * 400_000 + "=x",
         "a=" * 200_000, "a = " * 100_000, "a: " * 100_000, "pwd = " * 50_000 + "x", '"a=" + ' * 50_000, "a: x[" * 50_000,
         "a: [" * 50_000, "a:" + "<" * 100_000, "a: b | " * 50_000, "pwd1 = pwd2: " * 50_000, 'a="b=' * 50_000, "a=b+c" * 50_000,
     ):

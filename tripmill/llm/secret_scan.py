@@ -45,6 +45,16 @@ NAME_WEIGHTS = {
     "client": 0.2, "session": 0.4, "salt": 0.4, "cert": 0.4, "pin": 0.3, "login": 0.3,
 }
 
+# Words that stand beside such words without a mark between, and tell nothing themselves.
+NAME_HARMLESS = {
+    "db", "my", "our", "app", "user", "usr", "admin", "root", "aws", "gcp", "azure", "ssh", "rsa", "ssl", "tls",
+    "jwt", "web", "host", "server", "service", "account", "master", "public", "main", "test", "prod", "dev",
+    "old", "new", "value", "val", "string", "str", "data",
+}
+
+# A word of this weight is told within a longer one, whatever stands before it.
+STRONG = 0.9
+
 # Parts that say the value is something about a secret rather than one.
 NAME_EXCUSES = {"length", "len", "count", "size", "type", "name", "path", "file", "url", "field", "id"}
 
@@ -103,6 +113,29 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+NAME_WORDS = sorted({*NAME_WEIGHTS, *NAME_HARMLESS}, key=len, reverse=True)
+
+
+def known_words(part: str) -> list[str]:
+    """The known words a part of a name is made of, also in the plural: ``secretkeys`` is
+    secret and key. Before a strong word, or two that count, anything may stand."""
+    if part in NAME_WEIGHTS:
+        return [part]
+    words: list[str] = []
+    end = len(part)
+    while end:
+        ends = (end, end - 1) if part[end - 1] == "s" else (end,)
+        word, at = next(((w, e) for e in ends for w in NAME_WORDS if part.endswith(w, 0, e)), ("", 0))
+        if not word:
+            break
+        words.append(word)
+        end = at - len(word)
+    weights = [NAME_WEIGHTS[word] for word in words if word in NAME_WEIGHTS]
+    if end and len(weights) < 2 and max(weights, default=0.0) < STRONG:
+        return [part]
+    return words
+
+
 def name_score(name: str) -> float:
     """0 to 1: how sure a name's parts make it that the value is secret."""
     parts = [part.lower() for part in NAME_PARTS.findall(name)]
@@ -110,7 +143,8 @@ def name_score(name: str) -> float:
         return 0.0
     harmless = 1.0
     for part in parts:
-        harmless *= 1.0 - NAME_WEIGHTS.get(part, 0.0)
+        for word in known_words(part):
+            harmless *= 1.0 - NAME_WEIGHTS.get(word, 0.0)
     return 1.0 - harmless
 
 
