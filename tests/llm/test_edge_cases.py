@@ -328,6 +328,29 @@ def test_leaks_tolerate_replaced_words(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"], r["same"]) for r in decontaminate.find_leaks(more, bench).collect()} == {(8, 1, 9)}
 
 
+def test_leaks_of_short_items(spark):
+    items = {n: [f"s{n}x{i}" for i in range(n)] for n in range(6, 14)}
+    bench = spark.createDataFrame([(n, " ".join(words)) for n, words in items.items()], "item_id long, text string")
+    docs, expected = [], set()
+    for n, words in items.items():
+        cases = [()] + [(a,) for a in range(n)] + [(a, b) for a in range(n) for b in range(a)]
+        for gone in cases:
+            text = " ".join("other" if i in gone else word for i, word in enumerate(words))
+            for body in (f"some words before {text} and after", text):
+                docs.append((len(docs), body))
+                if n >= 8 and len(gone) <= (0 if n < 10 else 1 if n < 13 else 2):
+                    expected.add((len(docs) - 1, n, n - len(gone), 3 if body != text else 0))
+        for cut in (words[1:], words[:-1]):  # a word lost at the document's start or end
+            docs.append((len(docs), " ".join(cut)))
+            if n >= 10:
+                expected.add((len(docs) - 1, n, n - 1, 0))
+    with pytest.warns(UserWarning, match="2 benchmark items of fewer than 8 words"):
+        leaks = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    assert {(r["doc_id"], r["item_id"], r["same"], r["at"]) for r in leaks.collect()} == expected
+    short = decontaminate.short_items(bench).collect()
+    assert {(r["item_id"], r["n_words"]) for r in short} == {(6, 6), (7, 7)}
+
+
 def test_alike_spot_sets_against_all_pairs(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     prints = spot_signatures.fingerprints(docs)

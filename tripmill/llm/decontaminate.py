@@ -6,6 +6,7 @@ passage. The two masks are chosen so that every stretch of 13 words with at most
 replaced ones holds a hit of at least one of them. Seeds of documents and of benchmark
 items meet in an equi-join, and around each hit the texts are laid side by side: a leak is
 a stretch of 13 words of an item, of which the document has at least 11 at the same places.
+Items of 10 to 12 words have a seed of their own and may have one word replaced.
 
 Everything here is built-in functions: no Python runs on the executors. The words of a
 document stay in its row, from the seeds to the comparison; only what is found is shuffled.
@@ -13,6 +14,7 @@ document stay in its row, from the seeds to the comparison; only what is found i
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,8 +31,10 @@ WINDOW = 13
 REPLACED = 2
 
 # Items of fewer words are too short to tell a leak from chance; those between this and
-# the window have to occur as a whole, word for word.
+# the window have to occur as a whole, from LEAST_TOLERANT words on with at most one
+# replaced, below that word for word.
 LEAST_WORDS = 8
+LEAST_TOLERANT = 10
 
 # Seeds joined at a time: about 50 MB to broadcast. A larger benchmark is taken in blocks.
 SEEDS_AT_ONCE = 1_000_000
@@ -40,6 +44,20 @@ def _seed(number: int, places: tuple[int, ...], words: Column, at: Column) -> Co
     return F.xxhash64(F.lit(number), *[F.get(words, at + place) for place in places])
 
 
+def _short_mask(n: int) -> tuple[int, ...]:
+    """The places of an item of n words below the window. Every other place, from the first
+    word and from the second, leaves out each word once."""
+    return tuple(range(n)) if n < LEAST_TOLERANT else tuple(range(0, n // 2 * 2, 2))
+
+
+def short_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """(item, n_words) of the benchmark items that :func:`find_leaks` does not search for,
+    as they have fewer than ``LEAST_WORDS`` words; NULL and empty texts have none."""
+    words = F.size(words_of(F.coalesce(column(text).cast("string"), F.lit(""))))
+    found = benchmark.select(column(item).alias(item), words.cast("long").alias("n_words"))
+    return found.filter(F.col("n_words") < LEAST_WORDS)
+
+
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     hashed = F.transform(words_of(F.coalesce(column(text).cast("string"), F.lit(""))), lambda w: F.xxhash64(w))
     items = benchmark.select(column(item).alias("item"), hashed.alias("item_words"))
@@ -54,7 +72,8 @@ def find_leaks(
     """(key, doc_a, doc_b, item, same, at) for every document and benchmark item it holds a
     passage of: ``same`` of the best stretch's words are equal, and it starts at the
     document's word ``at`` (from 0). ``doc_a`` and ``doc_b`` are hashes of key and text.
-    Eager: writes the items' words to the shared scratch folder and counts them.
+    Eager: writes the items' words to the shared scratch folder and counts them. Warns of
+    items too short to be searched for; :func:`short_items` lists them.
 
     Words are runs of letters and digits, lower-cased. Whole texts of any length are
     searched. The seeds of the items are broadcast in blocks of bounded size, one pass over
@@ -67,7 +86,10 @@ def find_leaks(
     """
     items = _items(benchmark, item, item_text)
     sizes = items.select(F.size("item_words").alias("n")).distinct().filter(f"n < {WINDOW}").collect()
-    masks = [*MASKS, *[tuple(range(row["n"])) for row in sorted(sizes)]]
+    lengths = sorted(row["n"] for row in sizes)
+    masks = [*MASKS, *map(_short_mask, lengths)]
+    if skipped := short_items(benchmark, item, item_text).count():
+        warnings.warn(f"{skipped} benchmark items of fewer than {LEAST_WORDS} words are not searched for", stacklevel=2)
 
     at = F.explode(F.sequence(F.lit(0), F.size("item_words") - 1))
     places = items.select("item_row", "item_words", at.alias("j"))
@@ -81,7 +103,7 @@ def find_leaks(
     )
     ends = F.element_at(F.array(*[F.lit(mask[-1]) for mask in masks]), F.col("mask") + 1)
     of_size = F.element_at(
-        F.array(*[F.lit(None).cast("int")] * len(MASKS), *[F.lit(len(mask)) for mask in masks[len(MASKS) :]]),
+        F.array(*[F.lit(None).cast("int")] * len(MASKS), *[F.lit(length) for length in lengths]),
         F.col("mask") + 1,
     )
     fits = (F.col("j") + ends < F.col("n")) & F.when(
@@ -160,7 +182,11 @@ def _leaks_of_block(spread: DataFrame, seeds: DataFrame, items: DataFrame, masks
             (s + F.col("shift")).alias("at"),
         ),
     )
-    needed = F.when(F.col("n") < WINDOW, F.col("n")).otherwise(F.lit(WINDOW - REPLACED))
+    needed = (
+        F.when(F.col("n") < LEAST_TOLERANT, F.col("n"))
+        .when(F.col("n") < WINDOW, F.col("n") - 1)
+        .otherwise(F.lit(WINDOW - REPLACED))
+    )
     best = compared.withColumn("best", F.array_min(counts))
     # A stretch of an item may begin before the document does; then only the rest is equal.
     rank = F.col("best.minus").cast("long") * F.lit(1 << 40) + F.greatest(F.col("best.at"), F.lit(0)).cast("long")
