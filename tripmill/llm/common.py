@@ -43,6 +43,17 @@ def unpacked(df: DataFrame, docs: DataFrame, **added: Column) -> DataFrame:
     return df.select(*[value.alias(name) for name, value in {**own, **added}.items()])
 
 
+def with_fixed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once per row, whatever is done with them above.
+
+    They come out of a generator of one row, which no filter is pushed through and no
+    projection merged into: without it a filter on a result, or a use within a lambda
+    function, makes Spark work the expression out anew, for every element at worst.
+    """
+    values = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per Spark application, as
     ``--py-files`` would: the operators' functions are loaded from it there."""

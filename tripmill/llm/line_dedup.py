@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import column, packed, unpacked, written
+from tripmill.llm.common import column, packed, unpacked, with_fixed, written
 
 # A line on this many sites is boilerplate.
 LEAST_SITES = 10
@@ -92,7 +92,8 @@ def dedup_lines(
     Blank lines are neither counted nor removed. A NULL site is no site. A NULL text stays
     NULL, an empty one empty, both with 0 lines. Rows repeated with the same key and text
     are treated alike, and keep the same line. A text that loses all its lines becomes
-    empty; the row stays. Extra columns pass through. An empty table gives an empty one.
+    empty; the row stays. Very long texts and texts of very many lines take time in
+    proportion. Extra columns pass through. An empty table gives an empty one.
     """
     lines = with_lines(docs, text, site, key)
     common = boilerplate_lines(lines, least_sites)
@@ -119,7 +120,8 @@ def dedup_lines(
     joined = packed(docs, doc_a=hash_a, doc_b=hash_b, body=body).join(
         removed, ["doc_a", "doc_b"], "left"
     )
-    every, places = lines_of(F.col("body")), F.col("places")
+    joined = with_fixed(joined, every=lines_of(F.col("body")))
+    every, places = F.col("every"), F.col("places")
     stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), places)
     cleaned = F.array_join(F.transform(stay, lambda i: F.get(every, i)), "\n")
     solid = F.filter(every, lambda line: F.trim(line, F.lit(BLANKS)) != "")

@@ -12,7 +12,7 @@ from tripmill.llm.line_dedup import LEAST_SITES
 from tripmill.llm.near_dup import PERCENT, SHINGLE
 from tripmill.llm.queries import RECORD_BYTES, SHARDS, URL_RULES
 from tripmill.llm.sharding import DIGITS as DRAW_DIGITS
-from tripmill.llm.spot_signatures import ANCHORS, CHAIN, DIGITS, REACH
+from tripmill.llm.spot_signatures import ANCHORS, CHAIN, DIGITS, LEAST_COMPARED, REACH
 from tripmill.llm.url_filter import LOWER, UPPER
 
 _BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
@@ -84,7 +84,8 @@ def _spots(text: str) -> str:
              WHEN len(w) = 0 THEN ['=' || {text}]
              WHEN len(w) <= {CHAIN} THEN ['=:' || array_to_string(w, ':')]
              ELSE list_transform(range(1, len(w) - {CHAIN - 1}), lambda i: '=:' || array_to_string(w[i:i + {CHAIN}], ':'))
-        END, lambda s: CAST('0x' || substr(md5(s), 1, {DIGITS}) AS INTEGER))))
+        END, lambda s: CAST((CAST('0x' || substr(md5(s), 1, {DIGITS}) AS UBIGINT)::HUGEINT + 9223372036854775808)
+            % 18446744073709551616 - 9223372036854775808 AS BIGINT))))
     FROM (SELECT w, list_filter(list_transform(
         list_filter(range(1, len(w) + 1), lambda i: list_contains({_ANCHORS}, w[i])),
         lambda i: array_to_string(list_concat([w[i]], list_slice(
@@ -97,6 +98,7 @@ def _likeness(a: str, b: str) -> str:
     shared = f"len(list_intersect({a}, {b}))"
     return (
         f"CASE WHEN len({a}) = 0 AND len({b}) = 0 THEN 1.0::DOUBLE WHEN len({a}) = 0 OR len({b}) = 0 "
+        f"OR least(len({a}), len({b})) < {LEAST_COMPARED} * greatest(len({a}), len({b})) - 1e-9 "
         f"THEN 0.0::DOUBLE ELSE {shared}::DOUBLE / (len({a}) + len({b}) - {shared}) END"
     )
 

@@ -4,7 +4,8 @@ Common words are spread evenly over prose and rare in headers, lists and menus.
 anchor: it and the next content words, with common words skipped, make a spot. The set of a
 text's spots is its fingerprint, and two texts are as alike as the Jaccard similarity of
 their sets. Sets of very different size cannot be alike, so texts are partitioned by set
-size, and only neighbouring partitions are compared, on the rarest spots of each set.
+size, and only sets of the same or neighbouring partitions are compared: given pairs by
+their sets, all pairs of a table on the rarest spots of each set.
 
 Everything here is built-in functions: no Python runs on the executors.
 """
@@ -16,9 +17,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import column, written
+from tripmill.llm.common import column, with_fixed, written
 
-# The anchors, common words of English, French, German and Spanish.
+# The anchors, chosen here: common words of English, French, German and Spanish.
 ANCHORS = (
     "a an and are as at be by for from had has have he in is it not of on or she that the this to was "
     "were which with "
@@ -32,8 +33,12 @@ ANCHORS = (
 CHAIN = 2
 REACH = 6
 
-# Hexadecimal digits of a spot's hash: 28 bits.
-DIGITS = 7
+# Hexadecimal digits of a spot's hash: 64 bits, so that spots of unrelated texts of a large
+# table do not meet.
+DIGITS = 16
+
+# Two given sets whose sizes bound their likeness below this are not compared: 0.
+LEAST_COMPARED = 0.1
 
 
 def words_of(text: Column) -> Column:
@@ -48,7 +53,7 @@ def with_spots(df: DataFrame, text: str, name: str) -> DataFrame:
     by all its words, and one without words by its characters; an empty text has no hash.
     """
     words = f"__words_{name}"
-    out = df.withColumn(words, words_of(column(text)))
+    out = with_fixed(df, **{words: words_of(column(text))})
     word, count = F.col(words), F.size(words)
     places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
         F.array().cast("array<int>")
@@ -70,22 +75,35 @@ def with_spots(df: DataFrame, text: str, name: str) -> DataFrame:
         .when(count <= CHAIN, F.array(F.concat_ws(":", F.lit("="), word)))
         .otherwise(runs)
     )
-    out = out.withColumn(f"__spots_{name}", spots)
+    out = with_fixed(out, **{f"__spots_{name}": spots})
     some = F.col(f"__spots_{name}")
     chosen = F.when(F.size(some) > 0, some).otherwise(whole)
-    hashed = F.transform(chosen, _hash)
-    out = out.withColumn(name, F.array_sort(F.array_distinct(hashed)))
-    return out.drop(words, f"__spots_{name}")
+    hashed = F.array_sort(F.array_distinct(F.transform(chosen, _hash)))
+    return with_fixed(out, **{name: hashed}).drop(words, f"__spots_{name}")
 
 
 def _hash(spot: Column) -> Column:
-    return F.conv(F.substring(F.md5(spot.cast("binary")), 1, DIGITS), 16, 10).cast("int")
+    return F.conv(F.substring(F.md5(spot.cast("binary")), 1, DIGITS), 16, -10).cast("long")
 
 
 def as_text(spots: Column) -> Column:
     return F.array_join(spots, ",")
 
 
+def size_part(size: Column, least: float) -> Column:
+    """The partition of sets of this size: two sets with a likeness of at least ``least``
+    lie in the same or in neighbouring ones."""
+    if least >= 1.0:
+        return size.cast("long")
+    return F.floor(F.log(size.cast("double")) / F.lit(-math.log(least)))
+
+
+def sizes_fit(a: Column, b: Column, least: float) -> Column:
+    """Whether sets of these sizes can be that alike: the smaller is the larger's subset
+    at best."""
+    return F.least(a, b) >= F.lit(least) * F.greatest(a, b) - 1e-9
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two spot sets; two empty sets are alike, an empty and
     another one are not, and need no intersection."""
@@ -97,6 +115,15 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
+def pruned_likeness(a: Column, b: Column, least: float = LEAST_COMPARED) -> Column:
+    """:func:`likeness` of two given sets, or 0 without looking into them if they lie in
+    partitions that are no neighbours, or their sizes bound it below ``least``."""
+    near = F.abs(size_part(F.size(a), least) - size_part(F.size(b), least)) <= 1
+    both = (F.size(a) > 0) & (F.size(b) > 0)
+    apart = both & ~(near & sizes_fit(F.size(a), F.size(b), least))
+    return F.when(apart, 0.0).otherwise(likeness(a, b))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, ``spots`` and ``fingerprint`` (the spots as text) of every whole text.
 
@@ -136,19 +163,15 @@ def similar_pairs(prints: DataFrame, least: float = 0.75, spots: str = "spots")
     alone = F.col("n") - F.count(F.lit(1)).over(of_class)
     rank = F.row_number().over(of_class.orderBy("sets", "spot"))
     ranked = one.join(often, "spot").select("class_id", "n", "spot", (rank + alone).alias("rank"))
-    wide = F.lit(-math.log(least)) if least < 1.0 else F.lit(1.0)
-    size_class = F.floor(F.log("n") / wide) if least < 1.0 else F.col("n").cast("long")
     rare = written(
         ranked.filter(F.col("rank") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1)
-        .select("class_id", "n", "spot", size_class.alias("part")),
+        .select("class_id", "n", "spot", size_part(F.col("n"), least).alias("part")),
         "rare-spots",
     )
     near = rare.select("class_id", "n", "spot", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
     left = rare.select(F.col("class_id").alias("a"), F.col("n").alias("n_a"), "spot", "part")
     right = near.select(F.col("class_id").alias("b"), F.col("n").alias("n_b"), "spot", "part")
-    fits = (F.col("a") != F.col("b")) & (
-        F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b") - 1e-9
-    )
+    fits = (F.col("a") != F.col("b")) & sizes_fit(F.col("n_a"), F.col("n_b"), least)
     pairs = (
         left.join(right, ["spot", "part"])
         .filter(fits)
@@ -171,13 +194,18 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     (likeness to the next document's). Eager: writes the order of the documents, without
     their texts, to the shared scratch folder.
 
-    Keys are put in order by a range partitioning; only the first and last row of each
-    part meet in one task. The texts are shuffled once, and of the next document only the
-    characters the edit takes, and its spots, are sent on.
+    A likeness is the sets' Jaccard similarity where their sizes lie in the same or
+    neighbouring partitions and allow :data:`LEAST_COMPARED`; else it is 0.
+
+    Keys, of any type with an order, are put in order by a range partitioning; only the
+    first and last row of each part meet in one task. Spots are worked out once per
+    document and sent on with its text, which is shuffled once; of the next document only
+    the characters the edit takes, and its spots, are sent on.
 
     A NULL text counts as empty. NULL keys come last; equal keys are in order of a hash of
     their texts. Rows equal in key and text take one place in the order: all have the same
-    next document. A single place is its own next. An empty table gives an empty one.
+    next document. A single place is its own next. Very long texts take time in
+    proportion, as does a filter on the result. An empty table gives an empty one.
     """
     body = F.coalesce(column(text).cast("string"), F.lit(""))
     given = docs.select(
@@ -188,28 +216,28 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     )
     links = _places(given.select("id", "ha", "hb", F.length("body").cast("long").alias("n")).distinct())
     # Both branches shuffle the same columns, so that Spark shuffles the texts only once.
-    linked = given.select("ha", "hb", "body").join(links, ["ha", "hb"])
+    own = with_spots(given.select("ha", "hb", "body"), "body", "spots")
+    linked = own.join(links, ["ha", "hb"])
     sent = linked.groupBy("ha", "hb").agg(
-        F.first("body").alias("body"), F.first("before").alias("before")
+        F.first("body").alias("body"), F.first("spots").alias("next_spots"), F.first("before").alias("before")
     )
     sent = sent.select(
-        F.col("before.ha").alias("ha"), F.col("before.hb").alias("hb"), "body",
+        F.col("before.ha").alias("ha"), F.col("before.hb").alias("hb"), "next_spots",
         F.expr("substring(body, 1, cast(before.n div 3 as int))").alias("taken"),
     )
-    sent = with_spots(sent, "body", "next_spots").drop("body")
-    joined = linked.join(sent, ["ha", "hb"])
-    joined = joined.withColumn(
-        "edited", F.expr("concat(substring(body, 1, cast(n - n div 3 as int)), taken)")
+    joined = with_fixed(
+        linked.join(sent, ["ha", "hb"]),
+        edited=F.expr("concat(substring(body, 1, cast(n - n div 3 as int)), taken)"),
     )
-    joined = with_spots(with_spots(joined, "body", "spots"), "edited", "edited_spots")
+    joined = with_spots(joined, "edited", "edited_spots")
     return joined.select(
         F.col("id").alias(key),
         F.col("n").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("spots")).alias("fingerprint"),
         as_text(F.col("edited_spots")).alias("edited_fingerprint"),
-        likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
-        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
+        pruned_likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
+        pruned_likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
     )
 
 
@@ -221,10 +249,12 @@ def _places(places: DataFrame) -> DataFrame:
     )
     place = F.struct("ha", "hb", "n")
     within = Window.partitionBy("part").orderBy(*descending)
-    rows = parted.select("part", "id", "ha", "hb", "n", F.lag(place).over(within).alias("lag"))
-    rank = F.struct(F.col("id").isNull().cast("int"), -F.col("id"), F.col("ha"), F.col("hb"))
+    rows = parted.select(
+        "part", "id", "ha", "hb", "n",
+        F.lag(place).over(within).alias("lag"), F.lead(place).over(within).isNull().alias("is_last"),
+    )
     # One row per part; the last place of all comes before the first.
-    lasts = parted.groupBy("part").agg(F.max_by(place, rank).alias("last"))
+    lasts = rows.filter("is_last").select("part", place.alias("last"))
     by_part = Window.orderBy("part")
     all_parts = by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edges = lasts.select(
