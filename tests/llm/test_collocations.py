@@ -1,0 +1,154 @@
+"""Collocations against plain counting, and the summaries against their bound."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.llm import collocations
+
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def plain(rows, least, top=2000, most_words=5):
+    """The contract, word for word, in plain Python."""
+    counts, totals = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+        for piece in re.split("[.,;:!?\n-\r]", text):
+            words = re.findall("[^ \t]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, most_words + 1):
+                counts[lang].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        frequent = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        held = {
+            p[i : i + k]
+            for p, a in frequent.items() for k in range(2, len(p)) for i in range(len(p) - k + 1)
+            if 100 * a >= 100 * f[p[i : i + k]]
+        }
+        ranked = []
+        for p, a in frequent.items():
+            if p not in held:
+                score, k = min((1000 * a * totals[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                ranked.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(ranked)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def mined(df, **settings):
+    return sorted(tuple(r[c] for c in COLUMNS) for r in collocations.mine_collocations(df, **settings).collect())
+
+
+def rows_of(df):
+    return [(r["text"], r["lang"]) for r in df.select("text", "lang").collect()]
+
+
+@pytest.mark.parametrize("least, top", [(100, 2000), (20, 50)])
+def test_documents_against_plain_counting(least, top, spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = mined(docs, least=least, top=top)
+    assert got and got == plain(rows_of(docs), least, top)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    chance = random.Random(7)
+    words = ["The", "of", "ä", "Ä", "x\x1fy", " ", "a'b", "\U0001f600", "zz", "and"]
+    texts = [
+        " ".join(chance.choices(words, k=40)) + chance.choice([".", "\t", ", ", "\x0b", "\r\n", "!?", " \t "])
+        for _ in range(200)
+    ]
+    rows = [(i, "".join(texts[i : i + 3]), ["en", None, "und", ""][i % 4], "s", "w") for i in range(197)]
+    rows += [(500, None, "en", None, None), (501, "", None, None, None), (502, " . ", "xx", None, None)]
+    rows += [(7, "same same same same same same same", "en", "s", "w")] * 30
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, key string, `odd name` string").repartition(5)
+
+
+def test_odd_rows(odd):
+    for least in (1, 5, 40):
+        assert mined(odd, least=least, top=300) == plain(rows_of(odd), least, 300)
+    assert mined(odd, least=10, most_words=3) == plain(rows_of(odd), 10, most_words=3)
+    assert mined(odd, least=10**6) == []
+    assert mined(odd.filter("false")) == []
+
+
+def test_texts_cut_in_slices_lose_no_phrase(odd, spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 50)
+    monkeypatch.setattr(collocations, "HELD_TOKENS", 64)
+    rows = rows_of(odd)
+    batches = [collocations.pa.RecordBatch.from_pydict({
+        "body": [t or "" for t, _ in rows], "lang": ["und" if lang is None else lang for _, lang in rows],
+    })]
+    found = Counter()
+    for tokens in collocations.in_flushes(iter(batches)):
+        for n in range(1, 6):
+            for start in tokens.phrases(n)[0].tolist():
+                found[tokens.langs[tokens.lang_of[start]][0], b" ".join(tokens.words[start : start + n]).decode()] += 1
+    expected = Counter()
+    for text, lang in rows:
+        lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+        for piece in re.split("[.,;:!?\n-\r]", lowered):
+            words = re.findall("[^ \t]+", piece)
+            for n in range(1, 6):
+                expected.update(("und" if lang is None else lang, " ".join(words[i : i + n])) for i in range(len(words) - n + 1))
+    assert found == expected
+
+
+def test_merged_summaries_keep_every_frequent_key():
+    chance = np.random.default_rng(3)
+    for least in (10, 50):
+        keys = np.concatenate([chance.zipf(1.3, 60_000), chance.integers(1 << 40, 1 << 41, 60_000)]).astype(np.uint64)
+        chance.shuffle(keys)
+        true = dict(zip(*np.unique(keys, return_counts=True)))
+        capacity = len(keys) // least + 1
+        parts = []
+        for share in np.array_split(keys, 7):
+            summary = collocations.Summary(capacity)
+            for lot in np.array_split(share, 5):
+                summary.add(*np.unique(lot, return_counts=True))
+            summary.merge()
+            parts.append(summary)
+        whole = collocations.Summary(capacity)
+        for summary in parts:
+            whole.add(summary.keys, summary.counts)
+            whole.lost += summary.lost
+        kept = set(whole.survivors(least).tolist())
+        assert {k for k, n in true.items() if n >= least} <= kept
+        assert len(whole.keys) <= capacity and whole.lost < least
+        for key, count in zip(whole.keys.tolist(), whole.counts.tolist()):
+            assert true[key] - whole.lost <= count <= true[key]
+        # A key given as one summary only is merged in lots as well.
+        alone = collocations.Summary(capacity)
+        for lot in np.array_split(keys, 90):
+            alone.add(*np.unique(lot, return_counts=True))
+        assert {k for k, n in true.items() if n >= least} <= set(alone.survivors(least).tolist())
+        assert alone.lost <= len(keys) / (capacity + 1)
+
+
+def test_words_of_one_key_are_told_apart():
+    tokens = collocations.Tokens()
+    tokens.add([b"a", b"b", b"a", b"c"], "en")
+    tokens.close()
+    at = np.array([0, 1, 2, 3])
+    found = list(collocations._exact(tokens, at, np.full(4, 9, np.uint64), 1))
+    assert sorted((tokens.words[start], copies) for start, copies, _ in found) == [(b"a", 2), (b"b", 1), (b"c", 1)]
+
+
+def test_scores_beyond_64_bits(spark):
+    big = [(10**12 + 7, 10**14 + 3, 10**13 + 1, 10**12 + 9), (999, 10**15, 1000, 999), (100, 7, 100, 100)]
+    df = spark.createDataFrame(big, "a long, n long, l long, r long")
+    got = df.select(collocations.cut_score(*[F.col(c) for c in "anlr"])).collect()
+    assert [r[0] for r in got] == [1000 * a * n // (left * right) for a, n, left, right in big]
+
+
+def test_settings_out_of_range(odd):
+    for wrong in ({"most_words": 1}, {"most_words": 6}, {"least": 0}):
+        with pytest.raises(ValueError):
+            collocations.mine_collocations(odd, **wrong)

@@ -7,6 +7,7 @@ language model and the tokenizers are tested against brute force instead.
 
 from __future__ import annotations
 
+from tripmill.llm.collocations import LEAST_COUNT, MOST_WORDS, NO_LANGUAGE, TOP
 from tripmill.llm.decontaminate import LEAST_WORDS, REPLACED, WINDOW
 from tripmill.llm.line_dedup import LEAST_SITES
 from tripmill.llm.near_dup import PERCENT, SHINGLE
@@ -208,6 +209,54 @@ FROM stretches WHERE p <= n - {WINDOW - 1} AND same_words >= {WINDOW - REPLACED}
 GROUP BY doc_id, item_id
 """
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, '{NO_LANGUAGE}') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, {MOST_WORDS + 1}) AS r(k))
+), counted AS (
+    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {LEAST_COUNT}
+), own AS (
+    SELECT * FROM counted p WHERE k > 1 AND NOT EXISTS (
+        SELECT 1 FROM counted q WHERE q.lang = p.lang AND q.k > p.k AND 100 * q.f >= 100 * p.f
+            AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))
+), cuts AS (
+    SELECT lang, phrase, f AS a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM own
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, cut,
+        CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN sizes USING (lang)
+    JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+    JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS turn FROM scored
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score
+FROM best WHERE turn = 1
+QUALIFY rank <= {TOP}
+"""
+
+# The given pages have an article element, and character references of two kinds in it.
+HTML_TEXT = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS body FROM pages
+), plain AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS body
+    FROM articles
+), decoded AS (
+    SELECT page_id, url, trim(regexp_replace(replace(replace(body, '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text
+    FROM plain
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM decoded
+"""
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_minhash_dedup": MINHASH_DEDUP,
@@ -215,4 +264,6 @@ ORACLE: dict[str, str] = {
     "op7_sharding": SHARDING,
     "op8_url_filter": URL_FILTER,
     "op10_decontamination": DECONTAMINATION,
+    "op12_collocations": COLLOCATIONS,
+    "op13_html_text": HTML_TEXT,
 }

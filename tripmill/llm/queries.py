@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import (
     bpe,
+    collocations,
     decontaminate,
+    html_text,
     langid,
     line_dedup,
     near_dup,
@@ -146,6 +148,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -157,4 +168,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op12_collocations": op12_collocations,
+    "op13_html_text": op13_html_text,
 }

@@ -198,9 +198,8 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     neighbouring partitions and allow :data:`LEAST_COMPARED`; else it is 0.
 
     Keys, of any type with an order, are put in order by a range partitioning; only the
-    first and last row of each part meet in one task. Spots are worked out once per
-    document and sent on with its text, which is shuffled once; of the next document only
-    the characters the edit takes, and its spots, are sent on.
+    first and last row of each part meet in one task. The texts are shuffled once, and of
+    the next document only the characters the edit takes, and its spots, are sent on.
 
     A NULL text counts as empty. NULL keys come last; equal keys are in order of a hash of
     their texts. Rows equal in key and text take one place in the order: all have the same
@@ -216,20 +215,22 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id"
     )
     links = _places(given.select("id", "ha", "hb", F.length("body").cast("long").alias("n")).distinct())
     # Both branches shuffle the same columns, so that Spark shuffles the texts only once.
-    own = with_spots(given.select("ha", "hb", "body"), "body", "spots")
-    linked = own.join(links, ["ha", "hb"])
+    # Spots are left out there: at 64 bits each they are half a text's size, which costs
+    # more disk than working them out again costs time.
+    linked = given.select("ha", "hb", "body").join(links, ["ha", "hb"])
     sent = linked.groupBy("ha", "hb").agg(
-        F.first("body").alias("body"), F.first("spots").alias("next_spots"), F.first("before").alias("before")
+        F.first("body").alias("body"), F.first("before").alias("before")
     )
     sent = sent.select(
-        F.col("before.ha").alias("ha"), F.col("before.hb").alias("hb"), "next_spots",
+        F.col("before.ha").alias("ha"), F.col("before.hb").alias("hb"), "body",
         F.expr("substring(body, 1, cast(before.n div 3 as int))").alias("taken"),
     )
+    sent = with_spots(sent, "body", "next_spots").drop("body")
     joined = with_fixed(
         linked.join(sent, ["ha", "hb"]),
         edited=F.expr("concat(substring(body, 1, cast(n - n div 3 as int)), taken)"),
     )
-    joined = with_spots(joined, "edited", "edited_spots")
+    joined = with_spots(with_spots(joined, "body", "spots"), "edited", "edited_spots")
     return joined.select(
         F.col("id").alias(key),
         F.col("n").alias("n_chars"),
