@@ -283,6 +283,7 @@ def parse(text: str) -> Page:
             if not closed:
                 break
     close(1)
+    page.features[stack[0][1], False, stack[0][4]] += 1
     return page
 
 
