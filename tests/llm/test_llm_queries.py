@@ -28,7 +28,7 @@ def texts(spark, sf_dir):
 def test_all_are_registered():
     names = set(entry.queries())
     assert set(L.QUERIES) <= names and "pipeline" in names
-    assert {name.split("_")[0] for name in L.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in L.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", ORACLE)

@@ -122,6 +122,86 @@ SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
 FROM printed
 """
 
+# The cheapest repair state by state: 0 nothing, 1 system, 2 user, 3 assistant.
+CONVERSATIONS = r"""
+WITH RECURSIVE steps AS (
+    SELECT list(value ORDER BY byte) AS t FROM (
+        SELECT byte, list_reduce(range(8), lambda a, i: CASE WHEN a & 1 = 1
+            THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, byte) AS value
+        FROM (SELECT unnest(range(256)) AS byte))
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(encode(
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h
+    FROM conversations
+), summed AS (
+    SELECT conv_id, turn, role, text, xor(list_reduce(
+        list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS kind
+    FROM keyed, steps
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM summed WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid
+    FROM damaged
+), judged AS (
+    SELECT *, substr(role, 1, 1) AS initial, CASE WHEN solid = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+        WHEN right(solid, 1) IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault,
+        lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) || substr(role, 1, 1) AS pair
+    FROM placed
+), insertions(s, t, cost, edits, lines) AS (VALUES
+    (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 2, 'I', E'user:
+'), (1, 2, 2, 'I', E'user:
+'), (3, 2, 2, 'I', E'user:
+'), (2, 3, 2, 'I', E'assistant:
+'),
+    (0, 3, 4, 'II', E'user:
+assistant:
+'), (1, 3, 4, 'II', E'user:
+assistant:
+')
+), edits(initial, s, t, cost, edit) AS (VALUES
+    ('*', 0, 0, 3, 'D'), ('*', 1, 1, 3, 'D'), ('*', 2, 2, 3, 'D'), ('*', 3, 3, 3, 'D'),
+    ('*', 0, 2, 2, 'R'), ('*', 1, 2, 2, 'R'), ('*', 3, 2, 2, 'R'), ('*', 2, 3, 2, 'R'),
+    ('s', 0, 1, 0, 'K'), ('u', 0, 2, 0, 'K'), ('u', 1, 2, 0, 'K'), ('u', 3, 2, 0, 'K'), ('a', 2, 3, 0, 'K')
+), walked AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS place, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS out
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, place, state, cost, audit, out FROM (
+        SELECT w.conv_id, j.place, e.t AS state,
+            w.cost + i.cost + e.cost + CASE WHEN j.fault = 'truncated' AND e.edit <> 'D' THEN 1 ELSE 0 END AS cost,
+            w.audit || i.edits || e.edit AS audit,
+            w.out || i.lines || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN j.role || ':' || j.text || chr(10)
+                ELSE CASE e.t WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || j.text || chr(10) END AS out
+        FROM walked w JOIN judged j ON j.conv_id = w.conv_id AND j.place = w.place + 1
+        JOIN insertions i ON i.s = w.state
+        JOIN edits e ON e.s = i.t AND e.initial IN ('*', j.initial)
+            AND (e.edit = 'D' OR j.fault NOT IN ('blank', 'duplicate'))
+    ) QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1
+), ended AS (
+    SELECT w.conv_id, w.cost + i.cost AS cost, w.audit || i.edits AS audit, w.out || i.lines AS out
+    FROM walked w JOIN insertions i ON i.s = w.state AND i.t IN (0, 3)
+    WHERE w.place = (SELECT count(*) FROM judged j WHERE j.conv_id = w.conv_id)
+    QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + i.cost, w.audit || i.edits) = 1
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    cost, audit, sha256(CASE WHEN out = '' THEN '' ELSE left(out, length(out) - 1) END) AS repaired_sha256
+FROM ended LEFT JOIN counted USING (conv_id)
+"""
+
 # The checksum is the usual one with the reversed polynomial 0xEDB88320, a byte at a time.
 SHARDING = f"""
 WITH steps AS (
@@ -264,6 +344,7 @@ ORACLE: dict[str, str] = {
     "op7_sharding": SHARDING,
     "op8_url_filter": URL_FILTER,
     "op10_decontamination": DECONTAMINATION,
+    "op11_conversation_repair": CONVERSATIONS,
     "op12_collocations": COLLOCATIONS,
     "op13_html_text": HTML_TEXT,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmill.llm import (
     bpe,
     collocations,
+    conversations,
     decontaminate,
     html_text,
     langid,
@@ -148,6 +149,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return conversations.repair_conversations(conversations.damage(chats), every=chats)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_collocations(table(spark, sf_dir, "documents"))
 
@@ -168,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_collocations": op12_collocations,
     "op13_html_text": op13_html_text,
 }
