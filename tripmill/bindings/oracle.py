@@ -378,3 +378,20 @@ SELECT CAST(2.5 AS DOUBLE) AS trip_distance, round(coef * 2.5 + intercept, 2) AS
 SELECT round(intercept, 2) AS base_price, round(coef, 2) AS price_per_mile,
   printf('%.2f x distance + %.2f', coef, intercept) AS formula FROM model""",
 }
+
+# The tables made batch by batch are those made at once.
+ORACLE |= {
+    "marts_incremental": ORACLE["mart_tables"],
+    "sample_amounts_merged": ORACLE["sample_amounts_500"],
+    "sample_scatter_merged": ORACLE["sample_scatter_500"],
+    "train_incremental": _TRAINED,
+    "atomic_replace": f"""WITH {_CLEAN}
+SELECT phase, trip_id, total_amount FROM clean, (VALUES ('after failure'), ('replaced'), ('as it was')) AS p(phase)
+WHERE phase = 'replaced' OR trip_id % 2 = 0""",
+    "replace_months": f"""WITH {_CLEAN}, batched AS (
+  SELECT *, CASE WHEN tpep_pickup_datetime >= TIMESTAMP '{STARTS[2]}' THEN 'trips-4'
+    WHEN tpep_pickup_datetime >= TIMESTAMP '{STARTS[1]}' THEN 'trips-3'
+    WHEN tpep_pickup_datetime >= TIMESTAMP '{STARTS[0]}' THEN 'trips-2' ELSE 'trips-1' END AS batch FROM clean)
+SELECT batch, trip_id, total_amount + CASE WHEN batch = 'trips-2' THEN 1 ELSE 0 END AS total_amount
+FROM batched WHERE batch <> 'trips-3'""",
+}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +23,9 @@ from tripmill.operators import regression as R
 from tripmill.operators import sample as S
 from tripmill.operators import standardize as Z
 from tripmill.operators import star
-from tripmill.plans import etl, lifecycle, marts, training
+from tripmill.plans import etl, incremental, lifecycle, marts, training
 from tripmill.sources import dimensions as D
-from tripmill.sources import landing, models, parquet, warehouse
+from tripmill.sources import landing, models, parquet, versioned, warehouse
 from tripmill.sources.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,6 +188,120 @@ def lifecycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(kpi, total_revenue=4, avg_distance=6)
 
 
+# --- replacing and adding, batch by batch
+
+BATCH = "batch"
+BATCHES = ("trips-1", "trips-2", "trips-3", "trips-4")
+
+
+def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean trips, each with the monthly file it would come in."""
+    name = F.lit(BATCHES[0])
+    for start, batch in zip(X.STARTS, BATCHES[1:]):
+        late = F.col("tpep_pickup_datetime") >= F.to_timestamp_ntz(F.lit(start))
+        name = F.when(late, batch).otherwise(name)
+    return clean(spark, sf_dir).withColumn(BATCH, name)
+
+
+def grown_fact(spark: SparkSession, sf_dir: str, root: str, refresh: Callable[[DataFrame, list[str]], object]) -> None:
+    """A fact that comes in three runs, with a refresh after each: two batches, one of them
+    only half there; that one again, whole; the others."""
+    trips = batched(spark, sf_dir)
+    half = (F.col(BATCH) == BATCHES[0]) | (F.col("trip_id") % 2 == 0)
+    for now, rows in ((BATCHES[:2], trips.filter(half)), (BATCHES[1:2], trips), (BATCHES[2:], trips)):
+        own = rows.filter(F.col(BATCH).isin(list(now)))
+        versioned.replace_version(own, f"{root}/fact", BATCH, now)
+        refresh(versioned.read_version(spark, f"{root}/fact"), list(now))
+
+
+@query
+def atomic_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's rows as readers see them: first half of the trips, then after a replacement
+    that dies while it writes, then after one that does not, and the first version again."""
+    path = f"{scratch_dir(spark, 'atomic')}/trips"
+    trips = clean(spark, sf_dir)
+    first = trips.filter("trip_id % 2 = 0")
+    versioned.replace_version(first, path)
+    broken = F.when(F.col("trip_id") % 997 == 5, F.raise_error(F.lit("dies here")).cast("double"))
+    try:
+        versioned.replace_version(
+            trips.withColumn("total_amount", F.coalesce(broken, F.col("total_amount"))), path
+        )
+        raise AssertionError("the replacement was to die")
+    except PySparkException:
+        after_failure = versioned.read_version(spark, path)
+    versioned.replace_version(trips, path)
+    phases = {
+        "after failure": after_failure,
+        "replaced": versioned.read_version(spark, path),
+        "as it was": versioned.read_version(spark, path, versioned.versions(spark, path)[0]),
+    }
+    shown = [frame.select(F.lit(name).alias("phase"), "trip_id", "total_amount") for name, frame in phases.items()]
+    return reduce(DataFrame.unionByName, shown)
+
+
+@query
+def replace_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact in batches, one of them written again, one emptied: the rows that stay."""
+    path = f"{scratch_dir(spark, 'months')}/fact"
+    trips = batched(spark, sf_dir)
+    versioned.replace_version(trips, path, BATCH, BATCHES)
+    again = trips.filter(F.col(BATCH) == BATCHES[1]).withColumn("total_amount", F.col("total_amount") + 1)
+    versioned.replace_version(again, path, BATCH, [BATCHES[1], BATCHES[2]])
+    return versioned.read_version(spark, path).select(BATCH, "trip_id", "total_amount")
+
+
+@query
+def marts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report tables, refreshed batch by batch: those of ``mart_tables``."""
+    root = scratch_dir(spark, "incremental")
+    paths: dict[str, str] = {}
+
+    def refresh(fact: DataFrame, now: list[str]) -> None:
+        paths.update(incremental.refresh_marts(fact, f"{root}/marts", BATCH, now, TRIP_KEY, method="md5"))
+
+    grown_fact(spark, sf_dir, root, refresh)
+    tables = {name: versioned.read_version(spark, path) for name, path in paths.items()}
+    tables["preview"] = tables["preview"].drop(BATCH)
+    return mart_rows(tables, clean(spark, sf_dir))
+
+
+def merged_sample(spark: SparkSession, sf_dir: str, name: str, n: int) -> DataFrame:
+    root = scratch_dir(spark, "samples")
+    _, condition, taken = marts.mart_samples()[name]
+    columns = marts.SAMPLE_COLUMNS
+
+    def refresh(fact: DataFrame, now: list[str]) -> None:
+        incremental.refresh_sample_state(fact, root, BATCH, now, [(n, condition)], TRIP_KEY, columns, "md5")
+
+    grown_fact(spark, sf_dir, root, refresh)
+    state = versioned.read_version(spark, f"{root}/{incremental.SAMPLES}")
+    return S.merge_samples(state, n, condition, TRIP_KEY, columns, taken)
+
+
+@query
+def sample_amounts_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample of all trips, from 500 rows kept of each batch."""
+    return merged_sample(spark, sf_dir, "sample_amounts", 500)
+
+
+@query
+def sample_scatter_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merged_sample(spark, sf_dir, "sample_scatter", 500)
+
+
+@query
+def train_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model of all trips, refitted from the moments of each batch."""
+    root = scratch_dir(spark, "training")
+
+    def refresh(fact: DataFrame, now: list[str]) -> None:
+        incremental.refresh_model(fact, root, BATCH, now, key=TRIP_KEY, method="md5")
+
+    grown_fact(spark, sf_dir, root, refresh)
+    return rounded(incremental.current_model(spark, root), coef=6, intercept=6, rmse=6)
+
+
 # --- star schema
 
 
@@ -375,6 +490,10 @@ def mart_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts, and two values. Of the preview's rows, how many are trips."""
     trips = clean(spark, sf_dir)
     paths = marts.build_marts(trips, scratch_dir(spark, "marts"), TRIP_KEY, method="md5")
+    return mart_rows({name: spark.read.parquet(path) for name, path in paths.items()}, trips)
+
+
+def mart_rows(tables: dict[str, DataFrame], trips: DataFrame) -> DataFrame:
     none = F.lit(None)
     layouts = {
         "trip_panels": (
@@ -398,8 +517,8 @@ def mart_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
             a.cast("double").alias("a"), b.cast("double").alias("b"),
         )
 
-    frames = [laid_out(spark.read.parquet(paths[name]), name, *layout) for name, layout in layouts.items()]
-    shown = spark.read.parquet(paths["preview"]).join(trips, trips.columns, "left_semi")
+    frames = [laid_out(tables[name], name, *layout) for name, layout in layouts.items()]
+    shown = tables["preview"].join(trips, trips.columns, "left_semi")
     shown = shown.agg(F.count(F.lit(1)).alias("n"))
     frames.append(laid_out(shown, "preview", F.lit("rows"), F.col("n"), none, none))
     return reduce(DataFrame.unionByName, frames)

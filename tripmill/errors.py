@@ -19,3 +19,7 @@ class QualityError(TripmillError):
 
 class ConstraintError(TripmillError):
     """A key constraint of the warehouse does not hold."""
+
+
+class ConflictError(TripmillError):
+    """Another job has replaced the table that this one was about to replace."""

@@ -72,6 +72,36 @@ def split_moments(x: str, y: str, keep: Column, test: Column) -> list[Column]:
     ]
 
 
+MOMENTS = ("n", "avgx", "avgy", "sxx", "sxy", "syy")
+
+
+def merge_moments(parts: DataFrame, prefixes: Sequence[str] = ("train", "test")) -> DataFrame:
+    """One row of moments from those of disjoint parts of the rows, a row each.
+
+    Squares are about each part's own mean; about the common mean they grow by the part's
+    rows times the squared distance of the means (the pairwise formula, for any number of
+    parts). Nothing large is subtracted from anything large. A part without rows counts
+    for nothing.
+    """
+    centers = []
+    for p in prefixes:
+        n = F.sum(f"{p}_n")
+        centers += [
+            F.try_divide(F.sum(F.col(f"{p}_n") * F.col(f"{p}_avg{v}")), n).alias(f"{p}_avg{v}") for v in "xy"
+        ]
+    center = parts.agg(F.struct(*centers)).scalar()
+    merged = []
+    for p in prefixes:
+        n = F.col(f"{p}_n")
+        away = {v: F.col(f"{p}_avg{v}") - F.col(f"__center.{p}_avg{v}") for v in "xy"}
+        merged.append(F.coalesce(F.sum(n), F.lit(0).cast("long")).alias(f"{p}_n"))
+        merged += [F.first(f"__center.{p}_avg{v}").alias(f"{p}_avg{v}") for v in "xy"]
+        merged += [
+            F.sum(F.col(f"{p}_s{a}{b}") + n * away[a] * away[b]).alias(f"{p}_s{a}{b}") for a, b in ("xx", "xy", "yy")
+        ]
+    return parts.withColumn("__center", center).agg(*merged)
+
+
 def model_of_moments(moments: DataFrame, threshold: float = 10.0) -> DataFrame:
     """Model and test metrics of a row of :func:`split_moments`.
 

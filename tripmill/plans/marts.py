@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import expressions as X
@@ -33,14 +33,18 @@ def trip_panels(
     payment: str = "payment_type_id",
     amount: str = "total_amount",
     distance: str = "trip_distance",
+    batch: str | None = None,
 ) -> DataFrame:
     """What all aggregate panels need, in one pass over four columns of the fact.
 
     The grouping sets (hour), (payment code) and (amount bin) are separate rows,
     told apart by ``panel``: a task sends some 90 rows to the shuffle, where one
-    group-by of the three together would send thousands.
+    group-by of the three together would send thousands. With ``batch`` there are rows of
+    every batch, which :func:`merge_panels` adds up.
     """
+    of_batch = [F.col(batch)] if batch else []
     narrow = fact.select(
+        *of_batch,
         A.hour_of_day(ts).alias("hour"),
         F.col(payment).alias("payment_type_id"),
         X.bin_index(F.col(amount), AMOUNT_LOW, AMOUNT_HIGH, AMOUNT_BINS).alias("bin"),
@@ -48,7 +52,8 @@ def trip_panels(
         F.col(distance).alias("distance"),
     )
     hour, code, bin_ = F.col("hour"), F.col("payment_type_id"), F.col("bin")
-    return narrow.groupingSets([[hour], [code], [bin_]], hour, code, bin_).agg(
+    sets = [[*of_batch, hour], [*of_batch, code], [*of_batch, bin_]]
+    return narrow.groupingSets(sets, *of_batch, hour, code, bin_).agg(
         F.when(F.grouping("hour") == 0, F.lit("hour"))
         .when(F.grouping("payment_type_id") == 0, F.lit("payment"))
         .otherwise(F.lit("bin"))
@@ -60,6 +65,13 @@ def trip_panels(
     )
 
 
+def merge_panels(partial: DataFrame) -> DataFrame:
+    """The panels of all batches, from the batches' own."""
+    return partial.groupBy("hour", "payment_type_id", "bin", "panel").agg(
+        *[F.sum(name).alias(name) for name in ("counts", "amount_sum", "distance_sum", "distance_counts")]
+    )
+
+
 def _panel(panels: DataFrame, name: str) -> DataFrame:
     return panels.filter(F.col("panel") == name)
 
@@ -116,6 +128,30 @@ def sample_scatter(
     return S.sample_n(kept, n, key, [distance, amount], method=method)
 
 
+def panel_reports(panels: DataFrame) -> dict[str, DataFrame]:
+    """The small report tables that come from the panels."""
+    payments = A.label_counts(payment_of_panels(panels))
+    return {
+        "kpi": kpi_of_panels(panels),
+        "hourly_counts": hourly_of_panels(panels),
+        "payment_counts": payments,
+        "payment_labels": payment_labels(payments),
+        "amount_histogram": histogram_of_panels(panels),
+    }
+
+
+SAMPLE_COLUMNS = ["trip_distance", "total_amount"]
+
+
+def mart_samples() -> dict[str, tuple[int, Column, list[str]]]:
+    """Of each sample its size, the rows it is drawn from, and the columns it shows."""
+    closed = P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)
+    return {
+        "sample_amounts": (AMOUNT_SAMPLE, closed, ["total_amount"]),
+        "sample_scatter": (SCATTER_SAMPLE, P.standard_trip(), SAMPLE_COLUMNS),
+    }
+
+
 def build_marts(
     fact: DataFrame, root: str, key: Sequence[str] = SAMPLE_KEY, method: str = "xxhash64"
 ) -> dict[str, str]:
@@ -138,24 +174,11 @@ def build_marts(
         return read_written(frame, paths[name])
 
     def reports() -> None:
-        panels = write("trip_panels", trip_panels(fact))
-        payments = A.label_counts(payment_of_panels(panels))
-        small = {
-            "kpi": kpi_of_panels(panels),
-            "hourly_counts": hourly_of_panels(panels),
-            "payment_counts": payments,
-            "payment_labels": payment_labels(payments),
-            "amount_histogram": histogram_of_panels(panels),
-        }
+        small = panel_reports(write("trip_panels", trip_panels(fact)))
         at_once(*[partial(write, name, frame.coalesce(1)) for name, frame in small.items()])
 
     def samples() -> None:
-        columns = ["trip_distance", "total_amount"]
-        closed = P.within_closed("total_amount", AMOUNT_LOW, AMOUNT_HIGH)
-        wanted = {
-            "sample_amounts": (AMOUNT_SAMPLE, closed, ["total_amount"]),
-            "sample_scatter": (SCATTER_SAMPLE, P.standard_trip(), columns),
-        }
+        columns, wanted = SAMPLE_COLUMNS, mart_samples()
         drawn = S.sample_candidates(
             fact, [(n, kept) for n, kept, _ in wanted.values()], key, columns, method=method
         )

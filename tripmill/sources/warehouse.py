@@ -14,6 +14,7 @@ from tripmill.operators.star import with_surrogate_key
 from tripmill.schema import TEXT_BOUNDS
 from tripmill.sources import dimensions as D
 from tripmill.sources.parquet import at_once, read_file, replace_batches, write_lake
+from tripmill.sources.versioned import is_versioned, read_version, replace_version
 
 FACT = "fact_trips"
 KEY = "trip_id"
@@ -51,7 +52,9 @@ def create_dimensions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return read_file(spark, table_path(root, table))
+    """A table, as of its newest version if it has versions."""
+    path = table_path(root, table)
+    return read_version(spark, path) if is_versioned(spark, path) else read_file(spark, path)
 
 
 def register_views(spark: SparkSession, root: str) -> None:
@@ -128,6 +131,7 @@ def write_fact(
     mode: str = "append",
     batch_column: str | None = None,
     batches: Sequence[str] = (),
+    versioned: bool = False,
 ) -> None:
     """Check the constraints, number the rows and write the fact. Eager.
 
@@ -135,7 +139,12 @@ def write_fact(
     ``batch_column`` the table is partitioned by it and only ``batches`` are
     replaced, so a job can be run again for the months it failed on. Rows that bring
     their key (``trip_id``) keep it.
+
+    A ``versioned`` fact is replaced, as a whole or the batches at hand, in one step after
+    everything is written: a job that dies leaves the fact as it was.
     """
+    if versioned and mode == "append" and not batch_column:
+        raise ValueError("a versioned fact is replaced, as a whole or by batches")
     spark = df.sparkSession
     path = table_path(root, FACT)
     keyed = KEY in df.columns
@@ -150,8 +159,14 @@ def write_fact(
     require_constraints(df, stored)
     if batch_column:
         numbered = df if keyed else _number(df, root, next_trip_id(spark, root))
-        replace_batches(numbered, path, batch_column, batches)
+        if versioned:
+            replace_version(numbered, path, batch_column, batches)
+        else:
+            replace_batches(numbered, path, batch_column, batches)
         return
     if not keyed:
         df = _number(df, root, next_trip_id(spark, root) if mode == "append" else 0)
-    write_lake(df, path, mode=mode)
+    if versioned:
+        replace_version(df, path)
+    else:
+        write_lake(df, path, mode=mode)
