@@ -458,8 +458,10 @@ def extract_text(
         .groupBy("ha", "hb")
         .agg(F.collect_set("node").alias("low"))
     )
-    joined = packed(pages, **hashes, body=body).join(of_page, ["ha", "hb"], "left")
-    out = _with_text(joined.select("row", "body", "low"))
+    joined = packed(pages, **hashes).join(of_page, ["ha", "hb"], "left")
+    # The page itself is shuffled once, within its row.
+    again = F.coalesce(F.col("row").getField(html).cast("string"), F.lit(""))
+    out = _with_text(joined.select("row", again.alias("body"), "low"))
     return unpacked(out, pages, **{into: F.col("text"), "n_chars": F.char_length("text").cast("long")})
 
 
