@@ -81,16 +81,16 @@ def test_odd_rows(odd):
 
 def test_texts_cut_in_slices_lose_no_phrase(odd, spark, monkeypatch):
     monkeypatch.setattr(collocations, "SLICE_BYTES", 50)
-    monkeypatch.setattr(collocations, "HELD_TOKENS", 64)
+    monkeypatch.setattr(collocations, "LOT_BYTES", 400)
     rows = rows_of(odd)
     batches = [collocations.pa.RecordBatch.from_pydict({
         "body": [t or "" for t, _ in rows], "lang": ["und" if lang is None else lang for _, lang in rows],
     })]
     found = Counter()
-    for tokens in collocations.in_flushes(iter(batches)):
+    for tokens in collocations.in_lots(iter(batches)):
         for n in range(1, 6):
             for start in tokens.phrases(n)[0].tolist():
-                found[tokens.langs[tokens.lang_of[start]][0], b" ".join(tokens.words[start : start + n]).decode()] += 1
+                found[tokens.lang(start), tokens.phrase(start, n)] += 1
     expected = Counter()
     for text, lang in rows:
         lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
@@ -133,12 +133,10 @@ def test_merged_summaries_keep_every_frequent_key():
 
 
 def test_words_of_one_key_are_told_apart():
-    tokens = collocations.Tokens()
-    tokens.add([b"a", b"b", b"a", b"c"], "en")
-    tokens.close()
+    tokens = collocations.Tokens([(b"a  b a c", 0, "en")])
     at = np.array([0, 1, 2, 3])
     found = list(collocations._exact(tokens, at, np.full(4, 9, np.uint64), 1))
-    assert sorted((tokens.words[start], copies) for start, copies, _ in found) == [(b"a", 2), (b"b", 1), (b"c", 1)]
+    assert sorted((tokens.phrase(start, 1), copies) for start, copies in found) == [("a", 2), ("b", 1), ("c", 1)]
 
 
 def test_scores_beyond_64_bits(spark):

@@ -1,14 +1,14 @@
 """Phrases whose words keep together, mined with Misra-Gries summaries.
 
-Phrases of two to five words that occur often enough are found without counting them all.
-Words are counted exactly. Phrases of which every word (every pair, from three words on) is
-frequent are dealt to hash partitions; in each, mergeable Misra-Gries summaries of the
-tasks' shares become one. Its capacity exceeds the partition's mass divided by the threshold,
-so that what it undercounts stays below the threshold and every frequent phrase survives.
-A second pass over the texts counts the survivors exactly. A phrase's score compares its
-count with what its weakest cut into two parts would give by chance.
-
-What the tasks are told about frequent words and survivors is a bitmap of fixed size, which
+Phrases of up to five words that occur often enough are found without counting them all.
+Words and pairs, and then longer phrases of which every pair is frequent, are dealt to hash
+partitions; in each, mergeable Misra-Gries summaries of the tasks' shares become one. Its
+capacity exceeds the partition's mass divided by the threshold, so that what it undercounts
+stays below the threshold and every frequent phrase survives. A second pass over the texts
+counts the survivors exactly. A phrase's score compares its count with what its weakest cut
+into two parts would give by chance.
+
+What the tasks are told about frequent pairs and survivors is a bitmap of fixed size, which
 may let some others pass, never fewer.
 """
 
@@ -17,9 +17,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +32,12 @@ MOST_WORDS = 5
 TOP = 2000
 NO_LANGUAGE = "und"
 
-# Tokens a task holds at once, and bytes of one text it splits at once.
-HELD_TOKENS = 1 << 20
+# Bytes of text a task holds as tokens at once, and of one text it takes at once.
+LOT_BYTES = 8 << 20
 SLICE_BYTES = 4 << 20
 
-# Words a task remembers the hash of.
-HELD_WORDS = 1 << 20
+# Phrases a task counts before it sends them on.
+HELD_PHRASES = 1 << 18
 
 # Phrase occurrences a hash partition should hold, the fewest partitions, and how many times
 # mass / threshold a summary's capacity is: the more, the tighter the survivors.
@@ -60,22 +62,26 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-def words_and_stops(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, lower-cased in A-Z, with a stop where a piece ends; a long
-    text in several lists, cut between words."""
+def slices(text: bytes, most_words: int = MOST_WORDS) -> Iterator[tuple[bytes, int]]:
+    """A text, lower-cased in A-Z, with a stop where a piece ends; a long one in slices cut
+    between words. A slice begins with the last words of the one before, of which there are
+    as many as given, so that no phrase is lost; what ends in them was counted there."""
     data = text.translate(_TABLE)
-    start = 0
+    start, tail = 0, []
     while start < len(data):
         end = len(data)
         if end - start > SLICE_BYTES:
             cut = _CUT.search(data, start + SLICE_BYTES)
             end = cut.start() if cut else end
-        yield data[start:end].replace(_STOP, b" . ").split()
+        part = data[start:end].replace(_STOP, b" . ")
+        yield b" ".join([*tail, part]), len(tail)
         start = end
+        if start < len(data):
+            tail = b" ".join([*tail, part]).rsplit(None, most_words - 1)[1 - most_words :]
 
 
-def _hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little")
 
 
 def _mixed(keys: np.ndarray) -> np.ndarray:
@@ -85,77 +91,82 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(31))
 
 
+def _hashes(words: pa.StringArray) -> np.ndarray:
+    """64-bit hashes of words, none of them empty, worked out from their bytes at once."""
+    _, ends, data = words.buffers()
+    bounds = np.frombuffer(ends, np.int32)[: len(words) + 1].astype(np.int64)
+    letters = np.frombuffer(data, np.uint8)[: bounds[-1]].astype(np.uint64)
+    sizes = np.diff(bounds)
+    powers = np.cumprod(np.full(sizes.max(), _ODD, np.uint64))
+    place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes)
+    sums = np.add.reduceat((letters + np.uint64(1)) * powers[place], bounds[:-1])
+    return _mixed(sums + sizes.astype(np.uint64))
+
+
 class Tokens:
-    """Texts as arrays: exact word numbers, word hashes, languages, and room to the next stop."""
-
-    def __init__(self) -> None:
-        self.numbers = {_STOP: 0}
-        self.hashes = [0]
-        self.clear()
-
-    def clear(self) -> None:
-        if len(self.numbers) > HELD_WORDS:
-            self.numbers, self.hashes = {_STOP: 0}, [0]
-        self.words: list[bytes] = []
-        self.known: list[tuple[int, int]] = []  # stretches counted before
-        self.langs: list[tuple[str, int]] = []  # up to which token a language reaches
-
-    def add(self, words: list[bytes], lang: str, counted: int = 0) -> None:
-        """Take words of one text; phrases that end in the first ``counted`` do not count."""
-        at = len(self.words)
-        if counted:
-            self.known.append((at, at + counted))
-        self.words += words
-        self.words.append(_STOP)
-        if self.langs and self.langs[-1][0] == lang:
-            self.langs.pop()
-        self.langs.append((lang, len(self.words)))
-
-    def close(self) -> None:
-        numbers, hashes = self.numbers, self.hashes
-        for word in set(self.words).difference(numbers):
-            numbers[word] = len(hashes)
-            hashes.append(_hash(word))
-        self.ids = np.fromiter(map(numbers.__getitem__, self.words), np.int64, len(self.words))
-        self.hashed = np.array(hashes, np.uint64)[self.ids]
+    """A lot of texts as arrays: word numbers, exact within the lot, word hashes, languages,
+    and room to the next stop."""
+
+    def __init__(self, texts: list[tuple[bytes, int, str]]) -> None:
+        """Texts as (words and stops, words counted before, language)."""
+        stopped = [text + b" " + _STOP for text, _, _ in texts]
+        split = pc.split_pattern(pa.array(stopped, pa.binary()).cast(pa.string()), " ")
+        every = split.flatten()
+        solid = pc.not_equal(pc.binary_length(every), 0)
+        upto = np.concatenate(([0], np.cumsum(solid.to_numpy(zero_copy_only=False))))
+        bounds = upto[split.offsets.to_numpy()]
+        coded = every.filter(solid).dictionary_encode()
+        self.words = coded.dictionary
+        self.ids = coded.indices.to_numpy().astype(np.int64)
+        self.hashed = _hashes(self.words)[self.ids]
         self.fresh = np.ones(len(self.ids), bool)
-        for a, b in self.known:
-            self.fresh[a:b] = False
-        stops = np.flatnonzero(self.ids == 0)
+        for start, (_, counted, _) in zip(bounds.tolist(), texts):
+            if counted:
+                self.fresh[start : start + counted] = False
+        stops = np.flatnonzero(self.ids == self.words.index(_STOP.decode()).as_py())
         self.room = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(len(self.ids))
-        ends = [end for _, end in self.langs]
-        sizes = np.diff(ends, prepend=0)
-        self.lang_of = np.repeat(np.arange(len(ends)), sizes)
-        self.seeds = np.repeat(np.array([_hash(lang.encode()) for lang, _ in self.langs], np.uint64), sizes)
+        self.langs = list(dict.fromkeys(lang for _, _, lang in texts))
+        number = {lang: i for i, lang in enumerate(self.langs)}
+        self.lang_of = np.repeat(np.array([number[lang] for _, _, lang in texts]), np.diff(bounds))
+        self.seeds = np.array([_hash(lang) for lang in self.langs], np.uint64)[self.lang_of]
+
+    def lang(self, at: int) -> str:
+        return self.langs[self.lang_of[at]]
+
+    @cached_property
+    def names(self) -> list[str]:
+        return self.words.to_pylist()
+
+    def phrase(self, at: int, n: int) -> str:
+        return " ".join([self.names[i] for i in self.ids[at : at + n].tolist()])
 
-    def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """First tokens and keys of all phrases of ``n`` words that are to be counted."""
+    def phrases(self, n: int, again: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """First tokens and keys of all phrases of ``n`` words that are to be counted, or of
+        those counted before as well."""
         size = max(0, len(self.ids) - n + 1)
-        at = np.flatnonzero((self.room[:size] >= n) & self.fresh[n - 1 : n - 1 + size])
+        fits = self.room[:size] >= n
+        at = np.flatnonzero(fits if again else fits & self.fresh[n - 1 : n - 1 + size])
         keys = self.seeds[at] + np.uint64(n)
         for k in range(n):
             keys = _mixed(keys * _ODD + self.hashed[at + k])
         return at, keys
 
 
-def in_flushes(batches: Iterator[pa.RecordBatch], most_words: int = MOST_WORDS) -> Iterator[Tokens]:
-    """(body, lang) rows as bounded lots of tokens. A text cut in two brings its last words
-    along, so that no phrase is lost or counted twice."""
-    tokens = Tokens()
+def in_lots(batches: Iterator[pa.RecordBatch], most_words: int = MOST_WORDS) -> Iterator[Tokens]:
+    """(body, lang) rows as bounded lots of tokens."""
+    held: list[tuple[bytes, int, str]] = []
+    size = 0
     for batch in batches:
-        bodies, langs = batch.column(0), batch.column(1)
-        for i in range(batch.num_rows):
-            lang, tail = langs[i].as_py(), []
-            for words in words_and_stops(bodies[i].as_buffer().to_pybytes()):
-                tokens.add(tail + words, lang, len(tail))
-                tail = (tail + words)[1 - most_words :]
-                if len(tokens.words) >= HELD_TOKENS:
-                    tokens.close()
-                    yield tokens
-                    tokens.clear()
-    if tokens.words:
-        tokens.close()
-        yield tokens
+        bodies, langs = batch.column(0), batch.column(1).to_pylist()
+        for i, lang in enumerate(langs):
+            for part, counted in slices(bodies[i].as_buffer().to_pybytes(), most_words):
+                held.append((part, counted, lang))
+                size += len(part)
+                if size >= LOT_BYTES:
+                    yield Tokens(held)
+                    held, size = [], 0
+    if held:
+        yield Tokens(held)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -235,16 +246,15 @@ def _bitmap(keys: DataFrame):
     return spark.sparkContext.broadcast(bits.view(np.uint64))
 
 
-_WORDS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("copies", pa.int64()), ("key", pa.int64())])
 _PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("copies", pa.int64())])
 _SHARES = pa.schema(
     [("part", pa.int32()), ("data", pa.bool_()), ("mass", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
 
 
-def _exact(tokens: Tokens, at: np.ndarray, keys: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
-    """(first token, copies, key) of the distinct phrases at ``at``; words that share a key
-    are told apart by their numbers."""
+def _exact(tokens: Tokens, at: np.ndarray, keys: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
+    """(first token, copies) of the distinct phrases at ``at``; phrases that share a key are
+    told apart by their words' numbers."""
     while len(at):
         _, first, group, copies = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         chosen = at[first][group]
@@ -253,43 +263,32 @@ def _exact(tokens: Tokens, at: np.ndarray, keys: np.ndarray, n: int) -> Iterator
             same &= tokens.ids[at + k] == tokens.ids[chosen + k]
         if not same.all():
             copies = np.bincount(group[same], minlength=len(first))
-        yield from zip(at[first].tolist(), copies.tolist(), keys[first].view(np.int64).tolist())
+        yield from zip(at[first].tolist(), copies.tolist())
         at, keys = at[~same], keys[~same]
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows():
-        for tokens in in_flushes(batches):
-            for at, copies, key in _exact(tokens, *tokens.phrases(1), 1):
-                yield tokens.langs[tokens.lang_of[at]][0], tokens.words[at].decode(), copies, key
-
-    return in_batches(rows(), _WORDS, size=lambda row: 40 + len(row[1]))
-
-
 def _shares(bits, lengths: range, parts: int) -> Callable:
-    """Phrases of these lengths of which every word (of two words) or every pair is set in
-    the bitmap, summed up per hash partition, with the masses as rows of their own."""
+    """Phrases of these lengths of which every pair is set in the bitmap (if there is one),
+    summed up per hash partition, with the masses as rows of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = bits.value
+        known = bits.value if bits is not None else None
 
         def rows():
-            for tokens in in_flushes(batches):
-                step = lengths.start - 1
-                ok = np.zeros(len(tokens.ids) + MOST_WORDS, bool)
-                size = max(0, len(tokens.ids) - step + 1)
-                at = np.flatnonzero(tokens.room[:size] >= step)
-                keys = tokens.seeds[at] + np.uint64(step)
-                for k in range(step):
-                    keys = _mixed(keys * _ODD + tokens.hashed[at + k])
-                ok[at] = _is_set(known, keys)
+            for tokens in in_lots(batches):
+                if known is not None:
+                    ok = np.zeros(len(tokens.ids) + MOST_WORDS, bool)
+                    at, keys = tokens.phrases(2, again=True)
+                    ok[at] = _is_set(known, keys)
                 found = []
                 for n in lengths:
                     at, keys = tokens.phrases(n)
-                    fits = ok[at]
-                    for k in range(1, n - step + 1):
-                        fits &= ok[at + k]
-                    found.append(keys[fits])
+                    if known is not None:
+                        fits = ok[at]
+                        for k in range(1, n - 1):
+                            fits &= ok[at + k]
+                        keys = keys[fits]
+                    found.append(keys)
                 keys, counts = _summed(np.concatenate(found))
                 part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
                 bounds = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
@@ -338,19 +337,29 @@ def _merged(least: int) -> Callable:
 
 
 def _phrase_rows(bits, most_words: int) -> Callable:
-    """The phrases set in the bitmap, counted exactly within a lot of tokens."""
+    """The words and phrases set in the bitmap, counted exactly over a task's texts as far
+    as they fit, and, as a phrase without words, how many words a language has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bits.value
 
         def rows():
-            for tokens in in_flushes(batches):
-                for n in range(2, most_words + 1):
+            held: dict[tuple[str, str], int] = {}
+            for tokens in in_lots(batches, most_words):
+                for n in range(1, most_words + 1):
                     at, keys = tokens.phrases(n)
+                    if n == 1:
+                        for lang, copies in enumerate(np.bincount(tokens.lang_of[at]).tolist()):
+                            if copies:
+                                held[tokens.langs[lang], ""] = held.get((tokens.langs[lang], ""), 0) + copies
                     fits = _is_set(known, keys)
-                    for start, copies, _ in _exact(tokens, at[fits], keys[fits], n):
-                        phrase = b" ".join(tokens.words[start : start + n]).decode()
-                        yield tokens.langs[tokens.lang_of[start]][0], phrase, copies
+                    for start, copies in _exact(tokens, at[fits], keys[fits], n):
+                        phrase = tokens.lang(start), tokens.phrase(start, n)
+                        held[phrase] = held.get(phrase, 0) + copies
+                if len(held) > HELD_PHRASES:
+                    yield from ((*phrase, copies) for phrase, copies in held.items())
+                    held = {}
+            yield from ((*phrase, copies) for phrase, copies in held.items())
 
         return in_batches(rows(), _PHRASES, size=lambda row: 40 + len(row[1]))
 
@@ -369,30 +378,25 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of every word and every phrase of up to ``most_words`` words
     that occurs at least ``least`` times in its language, and (lang, n): all its words. Both
-    are written to the shared scratch folder. Exact."""
+    are read from the shared scratch folder. Exact."""
     if not 2 <= most_words <= MOST_WORDS or least < 1:
         raise ValueError(f"phrases have 2 to {MOST_WORDS} words, and occur at least once")
     given = _given(docs, text, lang)
-    spark = docs.sparkSession
-    rows = map_arrow(given, _word_rows, "lang string, word string, copies long, key long")
-    every = rows.groupBy("lang", "word").agg(F.sum("copies").alias("f"), F.first("key").alias("key"))
-    every = written(every, "words")
-    totals = written(every.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
-    mass = totals.agg(F.sum("n")).first()[0] or 0
-    parts = int(max(LEAST_PARTS, -(-mass * (most_words - 1) // PART_MASS)))
-    words = every.filter(F.col("f") >= least)
-    pairs = written(_survivors(given, _bitmap(words), range(2, 3), parts, least), "pair-keys")
-    keys = pairs
+    # Only for the number of partitions; a word takes two bytes at least.
+    size = given.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    parts = int(max(LEAST_PARTS, -(-size // 2 // PART_MASS)))
+    short = written(_survivors(given, None, range(1, 3), parts, least), "pair-keys")
+    keys = short
     if most_words > 2:
-        longer = _survivors(given, _bitmap(pairs), range(3, most_words + 1), parts, least)
-        keys = pairs.unionByName(written(longer, "phrase-keys"))
+        longer = _survivors(given, _bitmap(short), range(3, most_words + 1), parts, least)
+        keys = short.unionByName(written(longer, "phrase-keys"))
     counted = map_arrow(given, _phrase_rows(_bitmap(keys), most_words), "lang string, phrase string, copies long")
-    phrases = counted.groupBy("lang", "phrase").agg(F.sum("copies").alias("f")).filter(F.col("f") >= least)
+    summed = counted.groupBy("lang", "phrase").agg(F.sum("copies").alias("f"))
+    summed = written(summed.filter((F.col("f") >= least) | (F.col("phrase") == "")), "phrases")
     number = F.size(F.split("phrase", " "))
-    both = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f").unionByName(
-        phrases.select("lang", "phrase", number.alias("words"), "f")
-    )
-    return written(both, "phrases"), totals
+    phrases = summed.filter((F.col("f") >= least) & (F.col("phrase") != ""))
+    totals = summed.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+    return phrases.select("lang", "phrase", number.alias("words"), "f"), totals
 
 
 def cut_score(a: Column, n: Column, left: Column, right: Column) -> Column:
