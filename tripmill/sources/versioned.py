@@ -144,7 +144,8 @@ def replace_version(
 
     Without ``batch_column`` the whole table is replaced. With it the table is kept in a
     folder per batch, and ``batches`` are replaced and no others; a batch of them without
-    rows is gone afterwards. Rows of other batches are an error. Data that no version names
+    rows is gone afterwards. Their columns are the other batches', in any order. Rows of
+    other batches are an error. Data that no version names
     (a dead job's) do no harm; :func:`expire_versions` removes them.
     """
     spark = df.sparkSession
@@ -158,6 +159,8 @@ def replace_version(
         raise ValueError(f"a column may not be named {WRITE}")
     if before is not None and batches and before.batch_column != batch_column:
         raise ValueError(f"the table's batches are told apart by {before.batch_column}")
+    if before is not None and batch_column is not None and set(df.columns) == set(before.schema.names):
+        df = df.select(*[f"`{name}`" for name in before.schema.names])
     folder = f"{WRITE}={uuid.uuid4().hex}"
     schema = df.schema
     if batch_column is None:
