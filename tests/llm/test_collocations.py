@@ -136,7 +136,7 @@ def test_words_of_one_key_are_told_apart():
     tokens = collocations.Tokens([(b"a  b a c", 0, "en")])
     at = np.array([0, 1, 2, 3])
     found = list(collocations._exact(tokens, at, np.full(4, 9, np.uint64), 1))
-    assert sorted((tokens.phrase(start, 1), copies) for start, copies in found) == [("a", 2), ("b", 1), ("c", 1)]
+    assert sorted((tokens.phrase(start, 1), copies) for start, copies, _ in found) == [("a", 2), ("b", 1), ("c", 1)]
 
 
 def test_scores_beyond_64_bits(spark):

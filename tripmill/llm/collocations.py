@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -246,15 +247,18 @@ def _bitmap(keys: DataFrame):
     return spark.sparkContext.broadcast(bits.view(np.uint64))
 
 
-_PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("copies", pa.int64())])
+_COUNTS = pa.schema(
+    [("part", pa.int32()), ("lang", pa.string()), ("phrases", pa.list_(pa.string())), ("copies", pa.list_(pa.int64()))]
+)
+_PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 _SHARES = pa.schema(
     [("part", pa.int32()), ("data", pa.bool_()), ("mass", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
 
 
-def _exact(tokens: Tokens, at: np.ndarray, keys: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
-    """(first token, copies) of the distinct phrases at ``at``; phrases that share a key are
-    told apart by their words' numbers."""
+def _exact(tokens: Tokens, at: np.ndarray, keys: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
+    """(first token, copies, key) of the distinct phrases at ``at``; phrases that share a key
+    are told apart by their words' numbers."""
     while len(at):
         _, first, group, copies = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         chosen = at[first][group]
@@ -263,10 +267,15 @@ def _exact(tokens: Tokens, at: np.ndarray, keys: np.ndarray, n: int) -> Iterator
             same &= tokens.ids[at + k] == tokens.ids[chosen + k]
         if not same.all():
             copies = np.bincount(group[same], minlength=len(first))
-        yield from zip(at[first].tolist(), copies.tolist())
+        yield from zip(at[first].tolist(), copies.tolist(), keys[first].tolist())
         at, keys = at[~same], keys[~same]
 
 
+def _part(keys, parts: int):
+    """The hash partition of keys, which rises with them."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
 def _shares(bits, lengths: range, parts: int) -> Callable:
     """Phrases of these lengths of which every pair is set in the bitmap (if there is one),
     summed up per hash partition, with the masses as rows of their own."""
@@ -290,8 +299,7 @@ def _shares(bits, lengths: range, parts: int) -> Callable:
                         keys = keys[fits]
                     found.append(keys)
                 keys, counts = _summed(np.concatenate(found))
-                part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-                bounds = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+                bounds = np.searchsorted(_part(keys, parts), np.arange(parts + 1, dtype=np.uint64))
                 for number, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                     if a < b:
                         share = counts[a:b].astype(np.uint32)
@@ -336,30 +344,64 @@ def _merged(least: int) -> Callable:
     return run
 
 
-def _phrase_rows(bits, most_words: int) -> Callable:
+def _phrase_counts(bits, most_words: int, parts: int) -> Callable:
     """The words and phrases set in the bitmap, counted exactly over a task's texts as far
-    as they fit, and, as a phrase without words, how many words a language has."""
+    as they fit, in a row per hash partition and language; and, as a phrase without words,
+    how many words a language has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bits.value
 
         def rows():
-            held: dict[tuple[str, str], int] = {}
+            held: dict[tuple[str, int, str], int] = {}
+
+            def out():
+                if not held:
+                    return
+                items = sorted(held.items())
+                part = _part(np.array([key for (_, key, _), _ in items], np.uint64), parts).tolist()
+                start = 0
+                for end in range(1, len(items) + 1):
+                    if end == len(items) or part[end] != part[start] or items[end][0][0] != items[start][0][0]:
+                        some = items[start:end]
+                        yield part[start], some[0][0][0], [phrase for (_, _, phrase), _ in some], [n for _, n in some]
+                        start = end
+
             for tokens in in_lots(batches, most_words):
                 for n in range(1, most_words + 1):
                     at, keys = tokens.phrases(n)
                     if n == 1:
                         for lang, copies in enumerate(np.bincount(tokens.lang_of[at]).tolist()):
-                            if copies:
-                                held[tokens.langs[lang], ""] = held.get((tokens.langs[lang], ""), 0) + copies
+                            total = tokens.langs[lang], 0, ""
+                            held[total] = held.get(total, 0) + copies
                     fits = _is_set(known, keys)
-                    for start, copies in _exact(tokens, at[fits], keys[fits], n):
-                        phrase = tokens.lang(start), tokens.phrase(start, n)
+                    for start, copies, key in _exact(tokens, at[fits], keys[fits], n):
+                        phrase = tokens.lang(start), key, tokens.phrase(start, n)
                         held[phrase] = held.get(phrase, 0) + copies
                 if len(held) > HELD_PHRASES:
-                    yield from ((*phrase, copies) for phrase, copies in held.items())
-                    held = {}
-            yield from ((*phrase, copies) for phrase, copies in held.items())
+                    yield from out()
+                    held.clear()
+            yield from out()
+
+        return in_batches(rows(), _COUNTS, size=lambda row: 40 + 40 * len(row[2]))
+
+    return run
+
+
+def _added(least: int) -> Callable:
+    """The exact counts of hash partitions that come one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            now, held = None, Counter()
+            for batch in batches:
+                for part, lang, phrases, copies in zip(*[column.to_pylist() for column in batch.columns]):
+                    if part != now:
+                        yield from ((*key, n) for key, n in held.items() if n >= least or not key[1])
+                        now, held = part, Counter()
+                    for phrase, n in zip(phrases, copies):
+                        held[lang, phrase] += n
+            yield from ((*key, n) for key, n in held.items() if n >= least or not key[1])
 
         return in_batches(rows(), _PHRASES, size=lambda row: 40 + len(row[1]))
 
@@ -390,9 +432,11 @@ def frequent_phrases(
     if most_words > 2:
         longer = _survivors(given, _bitmap(short), range(3, most_words + 1), parts, least)
         keys = short.unionByName(written(longer, "phrase-keys"))
-    counted = map_arrow(given, _phrase_rows(_bitmap(keys), most_words), "lang string, phrase string, copies long")
-    summed = counted.groupBy("lang", "phrase").agg(F.sum("copies").alias("f"))
-    summed = written(summed.filter((F.col("f") >= least) | (F.col("phrase") == "")), "phrases")
+    counts = map_arrow(
+        given, _phrase_counts(_bitmap(keys), most_words, parts), "part int, lang string, phrases array<string>, copies array<long>"
+    )
+    dealt = counts.repartition("part").sortWithinPartitions("part")
+    summed = written(map_arrow(dealt, _added(least), "lang string, phrase string, f long"), "phrases")
     number = F.size(F.split("phrase", " "))
     phrases = summed.filter((F.col("f") >= least) & (F.col("phrase") != ""))
     totals = summed.filter("phrase = ''").select("lang", F.col("f").alias("n"))
