@@ -12,8 +12,7 @@ from tripmill.llm import html_text as X
 
 def alone(text):
     """The main text of a page without others of its site."""
-    page = X.parse(text)
-    return X.main_text(page, {key for key, part in zip(page.keys, page.parts) if part == X.NOISE})
+    return X.main_text(X.parse(text), set())
 
 
 @pytest.mark.parametrize("text, expected", [

@@ -288,16 +288,14 @@ def parse(text: str) -> Page:
 
 
 def main_text(page: Page, low: set[int]) -> str:
-    """The texts of the most telling part of the page, without the branches in ``low``. If
-    these are all that is not noise by itself, they stay."""
-    noise = {key for key, part in zip(page.keys, page.parts) if part == NOISE}
-    for dropped in (low, noise):
+    """The texts of the most telling part of the page, without its noise and the branches in
+    ``low``. If these are all there is besides the noise, they stay."""
+    for dropped in (low, set()):
         kept = [
             (part, text) for node, part, text in page.texts
-            # Below the deepest nodes a text's own part counts.
-            if node < 0 or (page.keys[node] not in dropped and (part != NOISE or page.parts[node] == NOISE))
+            if node < 0 or (part != NOISE and page.keys[node] not in dropped)
         ]
-        solid = [part for (part, text) in kept if text != " " and not text.isspace()]
+        solid = [part for part, text in kept if text != " " and not text.isspace()]
         if solid:
             best = max(solid)
             pieces = [text for part, text in kept if part >= best or text == " "]
@@ -317,7 +315,8 @@ _NODES_DDL = (
 
 
 def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per node of a page (with its path), and one per distinct feature of it."""
+    """One row per node of a page (with its path), and one per distinct feature of it. What
+    noise holds makes it no more important."""
 
     def rows():
         for batch in batches:
@@ -327,12 +326,16 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for key, path, part in zip(page.keys, page.paths, page.parts):
                     yield ha, hb, site, key, path, part, None, None, 1
                 for (node, is_text, feature), copies in page.features.items():
+                    if page.parts[node] == NOISE:
+                        continue
                     yield ha, hb, site, page.keys[node], None, None, is_text, feature, copies
 
     return in_batches(rows(), _NODES, size=lambda row: 80 + len(row[4] or b""))
 
 
-_TREE = pa.schema([("site", pa.string()), ("node", pa.int64()), ("importance", pa.float64()), ("low", pa.bool_())])
+_TREE = pa.schema(
+    [("site", pa.string()), ("node", pa.int64()), ("part", pa.int32()), ("importance", pa.float64()), ("low", pa.bool_())]
+)
 
 
 def _importances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,7 +366,7 @@ def _importances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = (1 - weight) * row["make_up"] + weight * inner
                 own = 0.0 if row["part"] == NOISE else max(own, LEAST_IMPORTANCE if row["part"] >= NAMED else 0.0)
                 most = max(most, own)
-                yield row["site"], row["node"], own, most < LEAST_IMPORTANCE
+                yield row["site"], row["node"], row["part"], own, most < LEAST_IMPORTANCE
                 gathered = [own * row["pages"], float(row["pages"]), most]
                 if levels and levels[-1][0][:-8] == path[:-8]:
                     levels[-1] = (path, [a + b for a, b in zip(levels[-1][1][:2], gathered)] + [max(levels[-1][1][2], most)])
@@ -374,7 +377,7 @@ def _importances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(nodes: DataFrame) -> DataFrame:
-    """(site, node, importance, low) of every node of every site, from the rows of its pages.
+    """(site, node, part, importance, low) of every node of every site, from the rows of its pages.
 
     A feature's entropy over the elements that have it is 1 if it is spread evenly over all
     pages with the node, 0 if it is on one. Content importance is 1 minus the mean entropy
@@ -416,7 +419,7 @@ def style_tree(nodes: DataFrame) -> DataFrame:
         F.coalesce("styles", F.lit(0)).cast("long").alias("styles"),
     )
     ordered = ready.repartition("site").sortWithinPartitions("site", F.desc("path"))
-    return map_arrow(ordered, _importances, "site string, node long, importance double, low boolean")
+    return map_arrow(ordered, _importances, "site string, node long, part int, importance double, low boolean")
 
 
 def site_of(url: Column) -> Column:
@@ -451,13 +454,17 @@ def extract_text(
     }
     given = pages.select(*[value.alias(name) for name, value in hashes.items()], site.alias("site"), body.alias("body"))
     nodes = written(map_arrow(given, _node_rows, _NODES_DDL), "page-nodes")
-    low = written(style_tree(nodes).filter("low").select("site", "node"), "low-nodes")
+    # Noise is of no importance on any page, which needs no look at the tree.
+    low = style_tree(nodes).filter(F.col("low") & (F.col("part") != NOISE)).select("site", "node")
+    low = written(low, "low-nodes")
     of_page = (
-        nodes.filter("path IS NOT NULL")
+        nodes.filter(F.col("path").isNotNull() & (F.col("part") != NOISE))
         .join(low, ["site", "node"])
         .groupBy("ha", "hb")
         .agg(F.collect_set("node").alias("low"))
     )
+    # Written, so that its size is known: pages are shuffled only if many have such branches.
+    of_page = written(of_page, "low-of-pages")
     joined = packed(pages, **hashes).join(of_page, ["ha", "hb"], "left")
     # The page itself is shuffled once, within its row.
     again = F.coalesce(F.col("row").getField(html).cast("string"), F.lit(""))
