@@ -395,3 +395,97 @@ WHERE phase = 'replaced' OR trip_id % 2 = 0""",
 SELECT batch, trip_id, total_amount + CASE WHEN batch = 'trips-2' THEN 1 ELSE 0 END AS total_amount
 FROM batched WHERE batch <> 'trips-3'""",
 }
+
+
+def _nice(column: str, table: str, most: int) -> str:
+    """Bins of the smallest width of 1, 2 or 5 times a power of ten that needs no more."""
+    return f"""ends AS (
+  SELECT min({column}) AS low, max({column}) AS high FROM {table}),
+powers AS (SELECT *, floor(log10((high - low) / {most}.0::DOUBLE)) AS power FROM ends),
+widths AS (
+  SELECT low, high, CASE WHEN power >= 0 THEN step * pow(10.0::DOUBLE, power)
+    ELSE step / pow(10.0::DOUBLE, -power) END AS width
+  FROM powers, (VALUES (1::DOUBLE), (2::DOUBLE), (5::DOUBLE), (10::DOUBLE), (20::DOUBLE), (50::DOUBLE)) AS s(step)),
+scale AS (
+  SELECT min(width) AS width, min(floor(low / width)) FILTER (fits) AS unused FROM (
+    SELECT *, floor(high / width) - floor(low / width) < {most} AS fits FROM widths) WHERE fits),
+found AS (
+  SELECT CAST(floor({column} / width) AS BIGINT) AS place, count(*) AS counts FROM {table}, scale GROUP BY 1),
+every AS (
+  SELECT width, CAST(floor(low / width) AS BIGINT) AS first,
+    unnest(range(CAST(floor(low / width) AS BIGINT), CAST(floor(high / width) AS BIGINT) + 1)) AS place FROM ends, scale)
+SELECT place - first AS bin, place * width AS bin_low, (place + 1) * width AS bin_high,
+  CAST(coalesce(counts, 0) AS BIGINT) AS counts
+FROM every LEFT JOIN found USING (place)"""
+
+
+_JUDGED = f"""{_DIMS}, raw AS (SELECT event_id, {sql(RAW)} FROM events),
+filled AS (
+  SELECT * REPLACE (coalesce(passenger_count, 1) AS passenger_count,
+    CASE WHEN event_id % 83 = 0 THEN 'too long' ELSE store_and_fwd_flag END AS store_and_fwd_flag) FROM raw),
+judged AS (
+  SELECT *, list_filter([
+    CASE WHEN trip_distance > 0 THEN NULL ELSE 'distance' END,
+    CASE WHEN total_amount >= 0 THEN NULL ELSE 'amount' END,
+    CASE WHEN passenger_count > 0 THEN NULL ELSE 'passengers' END,
+    CASE WHEN length(store_and_fwd_flag) > 5 THEN 'length:store_and_fwd_flag' END,
+    CASE WHEN payment_type IS NOT NULL AND payment_type NOT IN (SELECT payment_type_id FROM dim_payment_type)
+      THEN 'fk_payment' END,
+    CASE WHEN RatecodeID IS NOT NULL AND RatecodeID NOT IN (SELECT rate_code_id FROM dim_rate_code)
+      THEN 'fk_rate' END], lambda x: x IS NOT NULL) AS broken
+  FROM filled)"""
+_RULES = ("distance", "amount", "passengers", "length:store_and_fwd_flag", "fk_payment", "fk_rate")
+_ACCEPTED_FACT = f"""{_DIMS}, {_FACT}, kept AS (SELECT * FROM fact WHERE {_ACCEPTED})"""
+_MONTH_ROWS = f"""batched AS (SELECT event_id, CASE WHEN ts >= TIMESTAMP '{STARTS[2]}' THEN 4
+  WHEN ts >= TIMESTAMP '{STARTS[1]}' THEN 3 WHEN ts >= TIMESTAMP '{STARTS[0]}' THEN 2 ELSE 1 END AS month FROM events),
+sizes AS (SELECT month, count(*) AS n, count(*) FILTER (event_id % 2 + 1 = 1) AS vendor_1 FROM batched GROUP BY month)"""
+
+ORACLE |= {
+    "nice_amounts": f"WITH {_CLEAN}, " + _nice("total_amount", "clean", 50),
+    "nice_prices": "WITH " + _nice("l_extendedprice", "lineitem", 50),
+    "nice_discounts": "WITH " + _nice("l_discount", "lineitem", 20),
+    "judged_trips": f"""WITH {_JUDGED}
+SELECT event_id AS trip_id, trip_distance, total_amount, passenger_count, len(broken) = 0 AS accepted,
+  array_to_string(broken, ',') AS broken FROM judged""",
+    "reject_counts": f"WITH {_JUDGED} "
+    + " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, CAST(count(*) FILTER (list_contains(broken, '{rule}')) AS BIGINT) AS rows FROM judged"
+        for rule in _RULES
+    )
+    + " UNION ALL SELECT 'accepted', count(*) FILTER (len(broken) = 0) FROM judged"
+    + " UNION ALL SELECT 'rejected', count(*) FILTER (len(broken) > 0) FROM judged",
+    "reject_combinations": f"""WITH {_JUDGED}
+SELECT array_to_string(broken, ',') AS broken, CAST(count(*) AS BIGINT) AS rows FROM judged GROUP BY 1""",
+    "dense_trip_id": f"""WITH {_CLEAN}
+SELECT row_number() OVER (ORDER BY tpep_pickup_datetime, total_amount DESC, trip_id) - 1 AS trip_id,
+  trip_id AS source_id, tpep_pickup_datetime, total_amount FROM clean""",
+    "land_incremental": f"""WITH {_MONTH_ROWS}
+SELECT 1 AS run, 'trips-' || month || '.parquet' AS file, 'landed' AS action, n AS rows FROM sizes WHERE month < 4
+UNION ALL SELECT 2, 'trips-' || month || '.parquet', 'skipped', n FROM sizes WHERE month < 4
+UNION ALL SELECT 3, 'trips-' || month || '.parquet', CASE WHEN month IN (2, 4) THEN 'landed' ELSE 'skipped' END,
+  CASE WHEN month = 2 THEN vendor_1 ELSE n END FROM sizes
+UNION ALL SELECT 3, 'trips-5.parquet', 'failed', NULL
+UNION ALL SELECT 4, 'all', 'there', CAST(sum(CASE WHEN month = 2 THEN vendor_1 ELSE n END) AS BIGINT) FROM sizes""",
+    "sql_panels": f"""WITH {_ACCEPTED_FACT}
+SELECT 'kpi' AS panel, 'all' AS key, {_COUNTS}, round(sum(total_amount), 4) AS value FROM kept
+UNION ALL SELECT 'hourly_counts', CAST(extract(hour FROM tpep_pickup_datetime) AS VARCHAR), count(*), NULL
+  FROM kept GROUP BY 2
+UNION ALL SELECT 'payment_counts', concat_ws(':', CAST(payment_type_id AS VARCHAR), payment_name), count(*), NULL
+  FROM kept LEFT JOIN dim_payment_type USING (payment_type_id) GROUP BY payment_type_id, payment_name
+UNION ALL SELECT 'rate_counts', concat_ws(':', CAST(rate_code_id AS VARCHAR), rate_description), count(*),
+  round(avg(total_amount), 6) FROM kept LEFT JOIN dim_rate_code USING (rate_code_id)
+  GROUP BY rate_code_id, rate_description
+UNION ALL SELECT 'vendor_counts', vendor_name, count(kept.vendor_id), NULL
+  FROM dim_vendor LEFT JOIN kept USING (vendor_id) GROUP BY vendor_name
+UNION ALL SELECT 'amount_histogram', CAST(every.bin AS VARCHAR), count(k.bin), NULL
+  FROM (SELECT range AS bin FROM range(50)) every LEFT JOIN (
+    SELECT CAST(least(floor(total_amount / 4), 49) AS BIGINT) AS bin FROM kept WHERE {_CLOSED}) k USING (bin)
+  GROUP BY every.bin
+UNION ALL SELECT 'scatter', CAST(CAST(trip_distance AS DECIMAL(18,6)) AS VARCHAR), NULL, total_amount
+  FROM kept WHERE {_OPEN}
+UNION ALL SELECT 'unknown_codes', 'both', 0, NULL""",
+    "ml_pipeline": f"""WITH {_FIT}
+SELECT round(coef, 6) AS coef, round(intercept, 6) AS intercept, round(rmse, 6) AS rmse, rmse < 10 AS passed
+FROM model, score""",
+    "ml_predictions": ORACLE["predict_batch"],
+}

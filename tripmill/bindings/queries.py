@@ -18,14 +18,17 @@ from tripmill.functions import keys as K
 from tripmill.functions import predicates as P
 from tripmill.operators import aggregate as A
 from tripmill.operators import clean as C
+from tripmill.operators import judge as J
+from tripmill.operators import ml
 from tripmill.operators import quality as Q
 from tripmill.operators import regression as R
 from tripmill.operators import sample as S
 from tripmill.operators import standardize as Z
 from tripmill.operators import star
 from tripmill.plans import etl, incremental, lifecycle, marts, training
+from tripmill.schema import TEXT_BOUNDS
+from tripmill.sources import catalog, landing, models, numbering, parquet, versioned, warehouse
 from tripmill.sources import dimensions as D
-from tripmill.sources import landing, models, parquet, versioned, warehouse
 from tripmill.sources.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -387,6 +390,113 @@ def dimension_usage(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
     )
 
 
+# --- rows that are refused, dense keys, landing again, tables of the catalog
+
+
+def judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """All trips, their flag too, with the rules they break."""
+    raw = X.raw_trips(spark, sf_dir)
+    filled = C.fill_missing(Z.standardize(raw), "passenger_count", 1).withColumns(
+        {"store_and_fwd_flag": F.when(F.col("trip_id") % 83 == 0, "too long").otherwise(F.col("store_and_fwd_flag"))}
+    )
+    rules = J.trip_rules({"store_and_fwd_flag": TEXT_BOUNDS["store_and_fwd_flag"]})
+    foreign = [
+        ("fk_payment", "payment_type", D.dim_payment_type(spark), "payment_type_id"),
+        ("fk_rate", "RatecodeID", D.dim_rate_code(spark), "rate_code_id"),
+    ]
+    return J.label_rows(filled, rules, foreign), [*rules, *(rule for rule, *_ in foreign)]
+
+
+@query
+def judged_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trip with the rules it breaks, written apart and read back."""
+    labelled, rules = judged(spark, sf_dir)
+    path = f"{scratch_dir(spark, 'judged')}/trips"
+    J.write_judged(labelled, path, rules)
+    shown = ["trip_id", "trip_distance", "total_amount", "passenger_count"]
+    accepted = J.read_accepted(spark, path).select(*shown, F.lit(True).alias("accepted"), F.lit("").alias("broken"))
+    rejected = J.read_rejected(spark, path).select(
+        *shown, F.lit(False).alias("accepted"), F.array_join("broken", ",").alias("broken")
+    )
+    return accepted.unionByName(rejected)
+
+
+@query
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per rule broken, as the write itself counted them."""
+    labelled, rules = judged(spark, sf_dir)
+    return J.write_judged(labelled, f"{scratch_dir(spark, 'judged')}/trips", rules)
+
+
+@query
+def reject_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.broken_counts(judged(spark, sf_dir)[0])
+
+
+@query
+def dense_trip_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean trips numbered from 0 by their time of pick-up, then by amount and source key."""
+    trips = clean(spark, sf_dir).withColumnRenamed("trip_id", "source_id")
+    order = ["tpep_pickup_datetime", F.desc("total_amount"), "source_id"]
+    return numbering.with_dense_key(trips, order).select("trip_id", "source_id", "tpep_pickup_datetime", "total_amount")
+
+
+@query
+def land_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a folder of files: three are new; nothing is; one has changed and one
+    is new, one is not there."""
+    root = scratch_dir(spark, "landing")
+    months = X.raw_months(spark, sf_dir)
+    paths = X.write_raw_months(months[:3], f"{root}/in")
+    runs = [landing.land_new(spark, paths, f"{root}/raw"), landing.land_new(spark, paths, f"{root}/raw")]
+    months[1].filter("VendorID = 1").write.mode("overwrite").parquet(paths[1])
+    paths.append(f"{root}/in/trips-4.parquet")
+    months[3].write.parquet(paths[3])
+    runs.append(landing.land_new(spark, [*paths, f"{root}/in/trips-5.parquet"], f"{root}/raw"))
+    copies = [
+        F.lit(parquet.row_count(spark, f"{root}/raw/trips-{number}.parquet")) for number in range(1, 5)
+    ]
+    shown = [run.select(F.lit(number).alias("run"), "file", "action", "rows") for number, run in enumerate(runs, 1)]
+    everything = reduce(DataFrame.unionByName, shown)
+    there = spark.range(1).select(
+        F.lit(4).alias("run"), F.lit("all").alias("file"), F.lit("there").alias("action"),
+        reduce(lambda a, b: a + b, copies).cast("long").alias("rows"),
+    )
+    return everything.unionByName(there)
+
+
+@query
+def sql_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panels as SQL over tables of the catalog, whose rows both foreign keys accept:
+    panel, key, counts, value."""
+    root = scratch_dir(spark, "catalog")
+    database = "trips_" + root.rsplit("-", 1)[-1]
+    catalog.create_star_schema(spark, database, root)
+    fact = star.to_warehouse(C.clean_trips(standardized(spark, sf_dir)))
+    for _, _, fk, dim, pk in warehouse.foreign_keys(fact):
+        fact = Q.fk_accepted(fact, fk, dim, pk)
+    catalog.insert_fact(star.with_surrogate_key(fact), database, overwrite=True)
+    none = F.lit(None)
+    layouts = {
+        "kpi": (F.lit("all"), F.col("total_trips"), F.round("total_revenue", 4)),
+        "hourly_counts": (F.col("hour"), F.col("counts"), none),
+        "payment_counts": (F.concat_ws(":", "payment_type_id", "payment_name"), F.col("counts"), none),
+        "rate_counts": (F.concat_ws(":", "rate_code_id", "rate_description"), F.col("counts"), F.round("avg_amount", 6)),
+        "vendor_counts": (F.col("vendor_name"), F.col("counts"), none),
+        "amount_histogram": (F.col("bin"), F.col("counts"), none),
+        "scatter": (F.col("trip_distance").cast("decimal(18,6)"), none, F.col("total_amount")),
+        "unknown_codes": (F.lit("both"), F.col("payment") + F.col("rate"), none),
+    }
+    frames = [
+        catalog.panel(spark, database, name).select(
+            F.lit(name).alias("panel"), key.cast("string").alias("key"), counts.cast("long").alias("counts"),
+            value.cast("double").alias("value"),
+        )
+        for name, (key, counts, value) in layouts.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 # --- reports
 
 
@@ -457,6 +567,23 @@ def quantity_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.histogram(X.table(spark, sf_dir, "lineitem"), "l_quantity", 0.0, 64.0, 16)
 
 
+@query
+def nice_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 50 bins over whatever range the clean amounts have."""
+    return A.nice_histogram(clean(spark, sf_dir), "total_amount", 50)
+
+
+@query
+def nice_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.nice_histogram(X.table(spark, sf_dir, "lineitem"), "l_extendedprice", 50)
+
+
+@query
+def nice_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range below one."""
+    return A.nice_histogram(X.table(spark, sf_dir, "lineitem"), "l_discount", 20)
+
+
 @query
 def trip_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(marts.trip_panels(clean(spark, sf_dir)), amount_sum=4, distance_sum=4)
@@ -711,6 +838,23 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(report, predicted_revenue=4)
 
 
+@query
+def ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line as an ML pipeline: fitted, stored, loaded and scored."""
+    train, test = R.split(standard(spark, sf_dir), TRIP_KEY)
+    path = scratch_dir(spark, "pipeline")
+    ml.save_pipeline(ml.fit_pipeline(train), path)
+    model = ml.load_pipeline(path)
+    return rounded(ml.as_row(spark, model, ml.rmse(model, test)), coef=6, intercept=6, rmse=6)
+
+
+@query
+def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = R.split(standard(spark, sf_dir), TRIP_KEY)
+    predicted = ml.score(ml.fit_pipeline(train), test).select("trip_id", "total_amount", "prediction")
+    return rounded(predicted, prediction=6)
+
+
 @query
 def regression_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(R.regression_curve(fitted(spark, sf_dir)[0]), x=6, y=6)

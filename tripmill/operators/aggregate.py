@@ -114,6 +114,40 @@ def fill_bins(found: DataFrame, low: float, high: float, bins: int) -> DataFrame
     )
 
 
+def nice_histogram(df: DataFrame, column: str, most_bins: int = 50) -> DataFrame:
+    """Rows per bin of a readable width, at most ``most_bins`` of them: bin, bin_low, bin_high,
+    counts, in order, empty bins too.
+
+    The range is the column's own and the width follows from it (1, 2 or 5 times a power of
+    ten); bins begin at multiples of the width and hold their lower edge. NULL and NaN are
+    left out; no value at all gives no bin. Two passes over one column: its ends are a scalar
+    subquery of the count.
+    """
+    value = F.col(column).cast("double")
+    values = df.select(value.alias("value")).filter(~F.isnan("value"))
+    ends = values.agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    scale = ends.select(
+        "low", "high", X.nice_width(F.col("low"), F.col("high"), most_bins).alias("width")
+    ).select(
+        "width", F.floor(F.col("low") / F.col("width")).alias("first"), F.floor(F.col("high") / F.col("width")).alias("last")
+    )
+    width = scale.select("width").scalar()
+    found = values.groupBy(F.floor(F.col("value") / width).alias("place")).agg(F.count(F.lit(1)).alias("counts"))
+    every = scale.filter("width IS NOT NULL").select(
+        "width", "first", F.explode(F.sequence("first", "last")).alias("place")
+    )
+    return (
+        every.join(found, "place", "left")
+        .select(
+            (F.col("place") - F.col("first")).alias("bin"),
+            (F.col("place") * F.col("width")).alias("bin_low"),
+            ((F.col("place") + 1) * F.col("width")).alias("bin_high"),
+            F.coalesce("counts", F.lit(0).cast("long")).alias("counts"),
+        )
+        .orderBy("bin")
+    )
+
+
 def preview(df: DataFrame, n: int = 5, order_by: str | None = None) -> DataFrame:
     """A few whole rows; any ones, or the first by ``order_by``."""
     return (df.orderBy(order_by) if order_by else df).limit(n)
