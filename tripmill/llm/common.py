@@ -6,6 +6,8 @@ import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -73,7 +75,8 @@ def ship_package(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers, batches of bounded size
     (the session's bound is lowered to :data:`BATCH_BYTES` if it is larger), and memory
-    given back when a task ends: workers live on."""
+    given back when a task ends: workers live on. The lowered bound stays with the session,
+    as the frame that is returned runs later."""
     spark = df.sparkSession
     ship_package(spark)
     if _bytes(spark.conf.get(_BATCH_CONF)) > BATCH_BYTES:
@@ -97,14 +100,41 @@ def _bytes(text: str) -> int:
     return size if size > 0 else 1 << 62
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+# Scratch tables that are removed when the innermost scope ends.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch tables", default=None)
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, its lineage cut,
-    and safe from lost executors."""
-    path = scratch_dir(df.sparkSession, name)
+    and safe from lost executors. A table at a given ``path`` outlives the scope."""
+    scope = _SCOPE.get()
+    if path is None:
+        path = scratch_dir(df.sparkSession, name)
+        if scope is not None:
+            scope.append(path)
     write_lake(df, path)
     return read_written(df, path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables written within, once what was made of them is written too."""
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        remove_tables(spark, _SCOPE.get())
+        _SCOPE.reset(token)
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders from the file system they are in."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def in_batches(
     rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 2_000, most_bytes: int = 4 << 20,
     size: Callable[[tuple], int] = lambda row: 64,
