@@ -13,17 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import bpe, decontaminate, langid, line_dedup, near_dup
-from tripmill.llm.common import column, table, written
+from tripmill.llm.common import column, remove_tables, scratch_scope, table, written
+from tripmill.sources.scratch import scratch_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
+# The languages to keep, by what the text is written in; None keeps all that are learned.
+LANGUAGES: tuple[str, ...] | None = None
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn the languages from the labelled rows that are not held out, and drop the
-    documents that are in none: without text or without any letter."""
+
+def language_id(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Learn the languages from the labelled rows that are not held out, and go by what
+    the texts are written in: ``lang`` becomes the language predicted.
+
+    Dropped are documents in no language (without text or any letter), those not in
+    ``languages`` (or LANGUAGES, if set), and those whose language is ambiguous, unless their
+    label says that it is the one predicted.
+    """
+    kept = LANGUAGES if languages is None else languages
     model = langid.train_language_model(docs.filter(~langid.is_held_out()))
     judged = langid.identify_language(docs, model, keep=docs.columns)
-    return judged.filter(F.col("__lang_pred") != langid.UNKNOWN).select(*map(column, docs.columns))
+    predicted = F.col("__lang_pred")
+    stays = (predicted != langid.UNKNOWN) & (
+        ~F.col("__ambiguous") | F.coalesce(column("lang") == predicted, F.lit(False))
+    )
+    if kept is not None:
+        stays = stays & predicted.isin(list(kept))
+    columns = [predicted.alias("lang") if name == "lang" else column(name) for name in docs.columns]
+    return judged.filter(stays).select(*columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +64,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, the tokens' ids, and what they decode to."""
-    return bpe.bpe_encode(docs, VOCABULARY, packed=False)
+    """doc_id, the language found, n_tokens, the tokens' ids, and what they decode to."""
+    given = docs.select(F.struct(column("doc_id"), column("lang")).alias("row"), column("text"))
+    tokens = bpe.bpe_encode(given, VOCABULARY, key="row", packed=False)
+    return tokens.select("row.doc_id", "row.lang", "n_tokens", "ids", "decoded")
 
 
 STAGES = [
@@ -63,8 +84,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's result but the last is written to the
-    shared scratch folder."""
-    docs = table(spark, sf_dir, "documents")
+    shared scratch folder. What a stage wrote for itself, and its input, are removed when
+    its result is there; the last input stays, for the result is read from it."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        remove_tables(spark, before)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
