@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tripmill.llm import line_dedup, spot_signatures
+from tripmill.llm import line_dedup, spot_signatures, url_filter
 
 
 def run(df):
@@ -95,3 +95,44 @@ def test_given_sets_are_compared_only_in_neighbouring_partitions(spark):
     for n, m, near in both.collect():
         expected = 1.0 if n == m else min(n, m) / max(n, m)
         assert near == (expected if expected >= spot_signatures.LEAST_COMPARED else 0.0), (n, m)
+
+
+def many_rules(spark, count):
+    """Rules of very many shapes: label counts and path lengths."""
+    rows = []
+    for i in range(count):
+        host = ".".join(["x"] * (i % 20) + [f"h{i % 37}", "org"])
+        rows.append((host, "/" + "p" * (i // 20), "block" if i % 2 else "allow"))
+    return rows
+
+
+def plain_verdict(url, rules):
+    rest = url.split("://", 1)[1]
+    host = rest.split("/", 1)[0]
+    path = rest[len(host) :]
+    fits = [(len(h) + len(p), len(h), v == "block", h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[3:] if fits else (None, "allow")
+
+
+@pytest.mark.parametrize("most_broadcast", [100_000, 0])
+def test_rules_of_a_thousand_shapes(spark, plan, monkeypatch, most_broadcast):
+    monkeypatch.setattr(url_filter, "MOST_BROADCAST", most_broadcast)
+    urls = [f"http://{'x.' * (i % 23)}h{i % 41}.org/{'p' * (i % 90)}" for i in range(300)]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    sizes = []
+    for count in (10, 1500):
+        rules = many_rules(spark, count)
+        judged = url_filter.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"))
+        got = {r["url"]: (r["judged"]["rule"], r["judged"]["verdict"]) for r in judged.collect()}
+        assert got == {u: plain_verdict(u, rules) for u in urls}
+        text = judged._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len("".join(line for line in text.splitlines() if "LocalRelation" not in line)))
+    assert abs(sizes[0] - sizes[1]) < 200
+
+
+def test_urls_of_very_many_labels(spark):
+    long = "http://" + "a." * 50_000 + "org/x"
+    rules = spark.createDataFrame([("a.a.org", "/x", "block"), ("org", "/", "allow")], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(long,), ("http://org",), (None,)], "url string")
+    got = {r["judged"]["rule"] for r in url_filter.judge_urls(pages, rules).collect()}
+    assert got == {"a.a.org/x", None}

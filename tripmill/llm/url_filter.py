@@ -1,9 +1,10 @@
 """Judge URLs by rules on host suffixes and path prefixes.
 
-A URL is expanded into the expressions some rule could have: its host's last labels and
-its path's first characters, in the combinations of label count and path length that rules
-have. Expressions meet rules by a short prefix of their digest in an equi-join; the full
-digest confirms, and of the rules that fit the most specific one decides.
+A URL is expanded into its host's suffixes, one per label, and each of these that some rule
+names into the path prefixes of the lengths that rules on that host have. These expressions
+meet rules by a short prefix of their digest in an equi-join; the full digest confirms, and
+of the rules that fit the most specific one decides. Which hosts and lengths there are is a
+table like the rules themselves: neither the plan nor the driver grows with them.
 """
 
 from __future__ import annotations
@@ -56,8 +57,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     fits are joined back, by a plain join that adaptive execution splits on a hot URL. A
     NULL URL, or one without ``://``, has an empty host and path and fits no rule. Rules
     with a NULL are left out. Extra columns pass through, also ones named ``host`` or
-    ``rule``; one named ``judged`` is replaced. Empty tables are fine. Reads the rules' shapes and number to the driver, a
-    few rows.
+    ``rule``; one named ``judged`` is replaced. Very long URLs take time in proportion to
+    their length and the rules that could fit. Empty tables are fine. Of the rules only
+    their number is brought to the driver.
     """
     rules = rules.select(
         F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict"
@@ -72,37 +74,22 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
             F.col("verdict").alias("verdict"),
         ).alias("found"),
     ).withColumn("prefix", F.substring("digest", 1, PREFIX))
-    shapes = [
-        (row["labels"], row["characters"])
-        for row in rules.select(
-            F.size(F.split("host", "\\.")).alias("labels"), F.length("path").alias("characters")
-        ).distinct().collect()
-    ]
+    # The path lengths of each host's rules, and how many labels the longest host has.
+    lengths = rules.select(F.col("host").alias("suffix"), F.length("path").alias("characters")).distinct()
+    most_labels = rules.agg(F.coalesce(F.max(F.size(F.split("host", "\\."))), F.lit(0))).scalar()
     if rules.count() <= MOST_BROADCAST:
-        known = F.broadcast(known)
+        known, lengths = F.broadcast(known), F.broadcast(lengths)
 
     address = column(url).cast("string")
     urls = pages.select(address.alias("url")).filter("url IS NOT NULL").distinct()
     split = urls.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    split = split.withColumn("labels", F.size(F.split("host", "\\.")))
-    if shapes:
-        of_shape = F.array(
-            *[
-                F.struct(
-                    F.lit(labels).alias("labels"), F.lit(characters).alias("characters"),
-                    F.substring_index("host", ".", -labels).alias("host"),
-                    F.substring("path", 1, characters).alias("path"),
-                )
-                for labels, characters in sorted(shapes)
-            ]
-        )
-    else:
-        of_shape = F.expr("array_repeat(named_struct('labels', 0, 'characters', 0, 'host', '', 'path', ''), 0)")
-    fitting = F.filter(
-        of_shape, lambda s: (s.labels <= F.col("labels")) & (s.characters <= F.length("path"))
+    counts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.size(F.split("host", "\\.")), most_labels)))
+    suffixes = split.select("url", "path", "host", F.explode(counts).alias("labels")).select(
+        "url", "path", F.expr("substring_index(host, '.', -labels)").alias("suffix")
     )
-    digests = split.select("url", F.explode(fitting).alias("part")).select(
-        "url", _digest(F.col("part.host"), F.col("part.path")).alias("own")
+    fitting = suffixes.join(lengths, "suffix").filter(F.col("characters") <= F.length("path"))
+    digests = fitting.select(
+        "url", _digest(F.col("suffix"), F.expr("substring(path, 1, characters)")).alias("own")
     )
     best = (
         digests.withColumn("prefix", F.substring("own", 1, PREFIX))
