@@ -1,12 +1,10 @@
 """Secrets in source code, configuration and prose.
 
 Three fixed patterns find assignments, access keys and long hex strings wherever they
-stand. On top of them, lines that assign are lexed into pairs of a name and a literal:
-``name = "literal"``, ``"name": "literal"``, ``name: literal``, ``NAME=literal``,
-``name := "a" + "b"``, ``name: type = "literal"``, ``a = b = "literal"``. A constant that
-is stored under a harmless name and handed on (``x = "..."``, later ``client_secret = x``)
-is followed to its literal. A pair is reported when its target name is sensitive and its
-literal looks like a value.
+stand. On top of them, the text is lexed into pairs of names and values
+(:mod:`tripmill.llm.source_lexer`). A constant that is stored under a harmless name and
+handed on, below or above, is followed to its literals. A pair is reported when its target
+name is sensitive and its literal looks like a value.
 """
 
 from __future__ import annotations
@@ -23,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tripmill.llm.common import column, in_batches, map_arrow
+from tripmill.llm.source_lexer import Pairs, is_path
 
 # The kinds, in the order in which spans at one place are listed.
 KINDS = ("assign", "access", "hex", "named")
@@ -64,32 +63,9 @@ PLACEHOLDER = re.compile(
     r"|true|false|null|none|undefined|x+|\*+|\$\{.*|\$\(.*|<.*>|\{\{.*|%.*%)\Z"
 )
 
-_WORD = r"[A-Za-z_$@][\w.$@-]*+"
-_TERM = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s"'`;,(){}\[\]<>#+&|=:]+)"""
-_GAP = r"[\x20\t]*+"
-_HEAD = rf"""(?<![\w$@.-])(?P<quote>["']?)(?P<name>{_WORD})(?P=quote){_GAP}"""
-_SEPARATOR = r"(?:=>|:=|=(?!=)|:(?!:))"
-_VALUE = rf"(?P<value>{_TERM}(?:{_GAP}[+.]{_GAP}{_TERM})*)"
-PAIR = re.compile(rf"{_HEAD}(?P<separator>{_SEPARATOR}){_GAP}{_VALUE}")
-FOLLOWED = re.compile(_GAP + _SEPARATOR)
-
-# A declared type of more than one word: brackets, unions, references, marks.
-_INNER = r"[\w.,|?&*'\x20\t]"
-_NESTED = rf"[\[<]{_INNER}*+[\]>]"
-for _ in range(3):
-    _NESTED = rf"[\[<](?:{_INNER}|{_NESTED})*+[\]>]"
-_TYPE = rf"(?:&(?:'\w++\x20)?(?:mut\x20)?)?+[A-Za-z_][\w.]*+(?:::[\w.]++)*+(?:{_NESTED})*+[?!*]?+"
-TYPED = re.compile(
-    rf"{_HEAD}:(?!:){_GAP}(?![\w.]++{_GAP}=){_TYPE}(?:{_GAP}\|{_GAP}{_TYPE})*+{_GAP}=(?![=>]){_GAP}(?={_VALUE})"
-)
-TERM = re.compile(_TERM)
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
-# Words after ``name:`` that are its type and no name, and words that are never a name.
-TYPES = {
-    "str", "string", "String", "text", "Text", "bytes", "int", "float", "number", "bool", "boolean",
-    "char", "any", "Any", "object", "Object",
-}
+# Words that are never a name.
 NOTHING = {"None", "null", "nil", "undefined"}
 
 # Names count as sensitive, and pairs are reported, from these scores on.
@@ -148,10 +124,13 @@ def name_score(name: str) -> float:
     return 1.0 - harmless
 
 
-def literal_score(literal: str) -> float:
+def literal_score(literal: str, quoted: bool = True) -> float:
     """0 to 1: how much a literal looks like a value, by length, variety and kinds of
-    characters; a placeholder or prose is none."""
-    if len(literal) < LEAST_LENGTH or PLACEHOLDER.match(literal) or " " in literal:
+    characters; a placeholder or prose is none. With blanks it has to be quoted and to
+    hold a digit."""
+    if len(literal) < LEAST_LENGTH or PLACEHOLDER.match(literal):
+        return 0.0
+    if any(map(str.isspace, literal)) and not (quoted and len(literal.split()) <= 6 and any(map(str.isdigit, literal))):
         return 0.0
     counts = Counter(literal)
     total = sum(counts.values())
@@ -163,113 +142,95 @@ def literal_score(literal: str) -> float:
     return min(1.0, entropy / 4.0) * min(1.0, 0.55 + 0.15 * kinds)
 
 
-def assigning_lines(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of every line that holds a separator, once each."""
-    end = -1
-    for found in re.finditer("[=:]", text):
-        if found.start() < end:
-            continue
-        start = text.rfind("\n", max(end, 0), found.start()) + 1 or max(end, 0)
-        end = text.find("\n", found.start())
-        end = len(text) if end < 0 else end
-        yield start, end
-
-
-def line_pairs(text: str, start: int, end: int) -> Iterator[tuple[list[str], list[re.Match]]]:
-    """(names, terms) of the pairs between two places of a text.
-
-    A value that a separator follows is scanned again, as it may be the next pair's name.
-    In ``a = b = "literal"`` and ``a: type = "literal"``, told by a blank before the last
-    separator or a quote after it, the literal is that of all the names, and the words
-    between are not literals unless they hold a digit.
-    """
-
-    def terms_of(pair: re.Match) -> list[re.Match]:
-        return list(TERM.finditer(text, pair.start("value"), pair.end("value")))
-
-    typed = list(TYPED.finditer(text, start, end)) if text.find(":", start, end) >= 0 else []
-    declared = {pair.start() for pair in typed}
-    names: list[str] = []
-    is_type = False
-    pair = PAIR.search(text, start, end)
-    while pair:
-        if not is_type:
-            names.append(pair["name"])
-        is_type = False
-        terms = terms_of(pair)
-        is_value = pair.start() not in declared or any(map(str.isdigit, terms[0][0]))
-        if not FOLLOWED.match(text, pair.end(), end):
-            if is_value:
-                yield names, terms
-            names = []
-            pair = PAIR.search(text, pair.end(), end)
-            continue
-        at = terms[-1].start()
-        then = PAIR.match(text, at, end)
-        if (
-            then
-            and len(terms) == 1
-            and then["separator"] in ("=", ":=")
-            and terms[0][0] == then["name"]
-            and (then.start("separator") > then.end("name") or then["value"][0] in "\"'`")
-        ):
-            if any(map(str.isdigit, then["name"])):
-                yield names[-1:], terms
-            is_type = pair["separator"] == ":" and then["name"] in TYPES
-        else:
-            if is_value:
-                yield names, terms
-            names = []
-        pair = then or PAIR.search(text, at, end)
-    for pair in typed:
-        yield [pair["name"]], terms_of(pair)
-
-
-def literals_of(value: list) -> list[tuple[int, int]]:
-    """The literals a value is made of, in order and once each. A value's parts are
-    literals, as (start, end), or other values, as lists: what a name stood for."""
-    found: dict[tuple[int, int], None] = {}
-    seen = {id(value)}
-    waiting = [iter(value)]
-    while waiting:
-        part = next(waiting[-1], None)
-        if part is None:
-            waiting.pop()
-        elif isinstance(part, tuple):
-            found[part] = None
-        elif id(part) not in seen:
-            seen.add(id(part))
-            waiting.append(iter(part))
-    return list(found)
+# A text without any of these has no sensitive name.
+TELLING = re.compile("|".join(sorted(NAME_WEIGHTS, key=len, reverse=True)), re.IGNORECASE)
+
+_PLAIN = re.compile(r"[\w.$@-]+\Z")
+
+
+class _Values:
+    """The values of a text's names, and the literals they come to."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.of: dict[str, list[list[tuple]]] = {}
+
+    def add(self, names: list[str], value: list[list[tuple]]) -> None:
+        for name in names:
+            if name not in NOTHING:
+                self.of.setdefault(name, []).extend(value)
+
+    def word(self, part: tuple) -> str | None:
+        """The name that a part stands for; None for a literal."""
+        if len(part) == 3:
+            return None
+        word = self.text[part[0] : part[1]]
+        return word if word in self.of else None
+
+    def is_literal(self, part: tuple) -> bool:
+        """A quoted literal, or a word that no name looks like."""
+        if len(part) == 3:
+            return True
+        word = self.text[part[0] : part[1]]
+        if word in NOTHING or is_path(word):
+            return False
+        return any(map(str.isdigit, word)) or not _PLAIN.match(word)
+
+    def literals(self, parts: list[tuple]) -> list[tuple]:
+        """The literals that parts are made of, names followed, in order and once each."""
+        found: dict[tuple, None] = {}
+        seen: set[str] = set()
+        waiting = [iter(parts)]
+        while waiting:
+            part = next(waiting[-1], None)
+            if part is None:
+                waiting.pop()
+                continue
+            name = self.word(part)
+            if name is None:
+                if self.is_literal(part):
+                    found[part] = None
+            elif name not in seen:
+                seen.add(name)
+                waiting.append(p for value in self.of[name] for p in value)
+        return list(found)
 
 
 def named_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, name, score) of literals that reach a sensitive name, directly or
     through other names. Each is listed once, with its best score."""
-    if "=" not in text and ":" not in text:
+    if not TELLING.search(text):
         return []
-    constants: dict[str, list] = {}
+    values = _Values(text)
+    targets: list[tuple[float, str, list[tuple]]] = []
+    for names, value in Pairs(text):
+        values.add(names, value)
+        sensitive, name = max((name_score(name), -place, name) for place, name in enumerate(names))[::2]
+        if sensitive >= LEAST_SCORE:
+            targets += [(sensitive, name, parts) for parts in value]
+    # A name that stands for another has that one's values: each once, for its best target.
+    aliases: dict[str, tuple[float, str]] = {}
     found: dict[tuple[int, int], tuple[str, float]] = {}
-    for start, end in assigning_lines(text):
-        for names, terms in line_pairs(text, start, end):
-            value: list = []
-            for term in terms:
-                if term[0][0] in "\"'`":
-                    value.append((term.start() + 1, term.end() - 1))
-                else:
-                    value.append(constants.get(term[0], term.span()))
-            if len(value) == 1 and isinstance(value[0], list):
-                value = value[0]  # another name for the same
-            constants.update((name, value) for name in names if name not in NOTHING)
-            sensitive, name = max((name_score(name), -place, name) for place, name in enumerate(names))[::2]
-            if sensitive < LEAST_SCORE:
-                continue
-            literals = literals_of(value)
-            score = sensitive * literal_score("".join(text[a:b] for a, b in literals))
-            if score >= LEAST_PAIR:
-                for span in literals:
-                    if span[1] > span[0] and score > found.get(span, ("", 0.0))[1]:
-                        found[span] = (name, score)
+    direct: list[tuple[float, str, list[tuple]]] = []
+    waiting = sorted(targets, key=lambda target: -target[0])
+    while waiting:
+        following = []
+        for sensitive, name, parts in waiting:
+            other = values.word(parts[0]) if len(parts) == 1 else None
+            if other is None:
+                direct.append((sensitive, name, parts))
+            elif sensitive > aliases.get(other, (0.0, ""))[0]:
+                aliases[other] = (sensitive, name)
+                following += [(sensitive, name, value) for value in values.of[other]]
+        waiting = following
+    for sensitive, name, parts in direct:
+        literals = values.literals(parts)
+        joined = "".join(text[part[0] : part[1]] for part in literals)
+        score = sensitive * literal_score(joined, all(part[-1] is True for part in literals))
+        if score >= LEAST_PAIR:
+            for part in literals:
+                if part[1] > part[0] and score > found.get(part[:2], ("", 0.0))[1]:
+                    found[part[:2]] = (name, score)
     return [(a, b, name, score) for (a, b), (name, score) in found.items()]
 
 
