@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tripmill.llm import line_dedup, spot_signatures, url_filter
+from tripmill.llm import line_dedup, near_dup, spot_signatures, url_filter
 
 
 def run(df):
@@ -136,3 +136,28 @@ def test_urls_of_very_many_labels(spark):
     pages = spark.createDataFrame([(long,), ("http://org",), (None,)], "url string")
     got = {r["judged"]["rule"] for r in url_filter.judge_urls(pages, rules).collect()}
     assert got == {"a.a.org/x", None}
+
+
+@pytest.mark.parametrize("most_broadcast, pairs_a_part", [(2_000_000, 1_000), (0, 3)])
+def test_a_centre_of_many_copies(spark, monkeypatch, most_broadcast, pairs_a_part):
+    """A third of all rows are near copies of one text, whose comparisons are dealt to many
+    streams; the texts wanted are joined by a shuffle beyond the bound."""
+    monkeypatch.setattr(near_dup, "MOST_BROADCAST", most_broadcast)
+    monkeypatch.setattr(near_dup, "PAIRS_A_PART", pairs_a_part)
+    common = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*common, f"own{i}", "end"])) for i in range(0, 90, 3)]
+    rows += [(i, " ".join(f"x{i}y{j}" for j in range(30))) for i in range(90) if i % 3]
+    rows += [(200 + i, " ".join(common[: 20 + i])) for i in range(3)] + [(300, None), (301, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(df).collect()}
+    sets = {k: near_dup.shingle_set(near_dup.words_of(t or "")) for k, t in rows}
+    group = {k: k for k in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                shared = len(sets[a] & sets[b])
+                if sets[a] and sets[b] and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
+                    group[a] = group[b] = min(group[a], group[b])
+        if all(group[group[k]] == group[k] for k in group):
+            break
+    assert got == group and sum(v == 0 for v in got.values()) == 30

@@ -43,6 +43,9 @@ BLOCK = 2_048
 # shuffle of the texts beyond it.
 MOST_BROADCAST = 2_000_000
 
+# Texts compared with one other in one stream.
+PAIRS_A_PART = 1_000
+
 _DRAW = np.random.default_rng(20_240_501)
 _TIMES = _DRAW.integers(0, 1 << 63, size=PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _DRAW.integers(0, 1 << 63, size=PERMUTATIONS, dtype=np.uint64)
@@ -157,30 +160,41 @@ def class_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, text: st
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose full shingle sets are similar enough."""
-    both = (
-        pairs.join(texts.select(F.col("class_id").alias("b"), F.col("words").alias("words_b")), "b")
-        .join(texts.select(F.col("class_id").alias("a"), F.col("words").alias("words_a")), "a")
-        .select("a", "b", "words_a", "words_b")
+    """The pairs (a, b) of classes whose full shingle sets are similar enough.
+
+    All of one ``a`` are compared in a stream in which its text comes first, once; an ``a``
+    of very many is dealt to several, by ``b``.
+    """
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_PART).cast("int").alias("parts"))
+    sizes = written(sizes, "centres")
+    own = sizes.select("a", F.explode(F.sequence(F.lit(1), F.col("parts"))).alias("part"))
+    own = own.join(texts.select(F.col("class_id").alias("a"), "words"), "a")
+    others = pairs.join(sizes, "a").select(
+        "a", (F.pmod(F.xxhash64("b"), F.col("parts")) + 1).cast("int").alias("part"), "b"
     )
+    others = others.join(texts.select(F.col("class_id").alias("b"), "words"), "b")
+    names = ["a", "part", "b", "words"]
+    both = own.withColumn("b", F.lit(None).cast("long")).select(*names).unionByName(others.select(*names))
+    both = both.repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
         def rows() -> Iterator[tuple]:
-            last, one = None, set()
+            one: set = set()
             for batch in batches:
-                for a, b, words_a, words_b in zip(*batch.columns):
-                    if a != last:
-                        last, one = a, shingle_set(words_of(words_a.as_py()))
-                    other = shingle_set(words_of(words_b.as_py()))
-                    shared = len(one & other)
-                    if 100 * shared >= PERCENT * (len(one) + len(other) - shared):
+                for a, b, words in zip(*batch.columns):
+                    found = shingle_set(words_of(words.as_py()))
+                    if not b.is_valid:
+                        one = found
+                        continue
+                    shared = len(one & found)
+                    if 100 * shared >= PERCENT * (len(one) + len(found) - shared):
                         yield a.as_py(), b.as_py()
 
         yield from in_batches(rows(), schema)
 
-    return written(map_arrow(both, run, "a long, b long"), "confirmed")
+    return written(map_arrow(both.select("a", "b", "words"), run, "a long, b long"), "confirmed")
 
 
 def joined_so_far(links: DataFrame) -> DataFrame:
@@ -190,7 +204,8 @@ def joined_so_far(links: DataFrame) -> DataFrame:
     ends = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     ends = ends.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
     least = F.least("node", "least").alias("root")
-    one = ends.groupBy("node").agg(F.min("other").alias("least")).select("node", least)
+    # Written, so that its size is known and the join need not deal out a centre's rows.
+    one = written(ends.groupBy("node").agg(F.min("other").alias("least")).select("node", least), "least")
     other = one.select(F.col("node").alias("other"), F.col("root").alias("far"))
     two = ends.join(other, "other").groupBy("node").agg(F.min("far").alias("least"))
     two = written(two.select("node", least), "joined")
@@ -295,7 +310,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     with the same words are one class from the start, however many there are; they share
     set and component. A NULL key counts as no key: a component without any key has a NULL
     id, and its rows are kept. Repeated keys may belong to different components; each row
-    follows its text. Other columns are not looked at. An empty table gives an empty one.
+    follows its text. Very long texts are hashed in blocks; two sets at a time are held.
+    Other columns are not looked at. An empty table gives an empty one.
     """
     id_ = column(key)
     signed = written(signatures(docs, text, key), "signatures")
@@ -351,7 +367,8 @@ def _with_components(signed: DataFrame, classes: DataFrame, found: DataFrame, ke
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row, with all columns, of each group of near copies: that with the smallest key,
     then the smallest text hash; of rows equal in both, any one. Rows without words are in
-    no group and all stay. A group without any key keeps a row as well. Eager.
+    no group and all stay. A group without any key keeps a row as well. NULL, empty, very
+    long and repeated texts are treated as there. An empty table gives an empty one. Eager.
 
     Only keys and hashes are grouped; the texts are shuffled once at most, to meet what goes.
     """
