@@ -489,3 +489,55 @@ SELECT round(coef, 6) AS coef, round(intercept, 6) AS intercept, round(rmse, 6)
 FROM model, score""",
     "ml_predictions": ORACLE["predict_batch"],
 }
+
+# What the life-cycle has seen: the months whose codes the dimensions know.
+_LIVED = f"""{_DIMS}, {_MONTHS},
+accepted AS (
+  SELECT * FROM (SELECT *, payment_type AS payment_type_id, RatecodeID AS rate_code_id FROM months)
+  WHERE {_ACCEPTED}
+),
+kept AS (
+  SELECT * FROM accepted
+  WHERE trip_distance > 0 AND total_amount >= 0 AND coalesce(passenger_count, 1) > 0
+),
+narrow AS (
+  SELECT CAST(extract(hour FROM tpep_pickup_datetime) AS BIGINT) AS hour, payment_type_id,
+    CASE WHEN {_CLOSED} THEN {_BIN} END AS bin, total_amount, trip_distance FROM kept),
+found AS (SELECT bin, count(*) AS counts FROM narrow WHERE bin IS NOT NULL GROUP BY 1)"""
+_TRIP_KEY = """concat_ws(':', CAST(PULocationID AS VARCHAR), CAST(DOLocationID AS VARCHAR),
+  CAST(payment_type_id AS VARCHAR), CAST(CAST(rate_code_id AS INTEGER) AS VARCHAR))"""
+
+# The samples hold all rows here: the test tables have fewer than a sample's size.
+ORACLE["lifecycle_tables"] = f"""WITH {_LIVED}
+SELECT 'landed' AS place, batch AS key, CAST(count(*) AS DOUBLE) AS a, CAST(NULL AS DOUBLE) AS b
+FROM accepted GROUP BY batch
+UNION ALL SELECT 'raw', concat_ws(':', batch, CAST(PULocationID AS VARCHAR), CAST(DOLocationID AS VARCHAR)),
+  trip_distance, total_amount FROM accepted
+UNION ALL SELECT 'lake', {_TRIP_KEY}, trip_distance, total_amount FROM kept
+UNION ALL SELECT 'fact', {_TRIP_KEY}, trip_distance, total_amount FROM kept
+UNION ALL SELECT 'model', 'rows:true', CAST(count(*) AS DOUBLE), NULL FROM kept WHERE {_OPEN}
+UNION ALL SELECT 'dim_payment_type', concat_ws(':', CAST(payment_type_id AS VARCHAR), payment_name), NULL, NULL
+  FROM dim_payment_type
+UNION ALL SELECT 'dim_rate_code', concat_ws(':', CAST(rate_code_id AS VARCHAR), rate_description), NULL, NULL
+  FROM dim_rate_code
+UNION ALL SELECT 'dim_vendor', concat_ws(':', CAST(vendor_id AS VARCHAR), vendor_name), NULL, NULL FROM dim_vendor
+UNION ALL SELECT 'mart:trip_panels', concat_ws('|', concat_ws(':', CASE WHEN grouping(hour) = 0 THEN 'hour'
+    WHEN grouping(payment_type_id) = 0 THEN 'payment' ELSE 'bin' END,
+    CAST(coalesce(hour, payment_type_id, bin) AS VARCHAR)), CAST(count(*) AS VARCHAR)),
+  round(sum(total_amount), 4), round(sum(trip_distance), 4)
+  FROM narrow GROUP BY GROUPING SETS ((hour), (payment_type_id), (bin))
+UNION ALL SELECT 'mart:kpi', concat_ws('|', 'all', CAST(count(*) AS VARCHAR)), round(sum(total_amount), 4),
+  round(avg(trip_distance), 6) FROM kept
+UNION ALL SELECT 'mart:hourly_counts', concat_ws('|', CAST(hour AS VARCHAR), CAST(count(*) AS VARCHAR)), NULL, NULL
+  FROM narrow GROUP BY hour
+UNION ALL SELECT 'mart:payment_counts', concat_ws('|', concat_ws(':', CAST(payment_type_id AS VARCHAR), {_LABEL}),
+  CAST(count(*) AS VARCHAR)), NULL, NULL FROM kept GROUP BY payment_type_id
+UNION ALL SELECT 'mart:payment_labels', concat_ws('|', label, CAST(count(*) AS VARCHAR)),
+  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM kept), 6), NULL
+  FROM (SELECT {_LABEL} AS label FROM kept) GROUP BY label
+UNION ALL SELECT 'mart:amount_histogram', concat_ws('|', CAST(every.bin AS VARCHAR),
+  CAST(coalesce(found.counts, 0) AS VARCHAR)), every.bin * CAST(4 AS DOUBLE), NULL
+  FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(50)) every LEFT JOIN found USING (bin)
+UNION ALL SELECT 'mart:sample_amounts', 'row', total_amount, NULL FROM kept WHERE {_CLOSED}
+UNION ALL SELECT 'mart:sample_scatter', 'row', total_amount, trip_distance FROM kept WHERE {_OPEN}
+UNION ALL SELECT 'mart:preview', concat_ws('|', 'rows', CAST(least(count(*), 5) AS VARCHAR)), NULL, NULL FROM kept"""

@@ -163,8 +163,7 @@ def etl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parquet.read_parts(spark, f"{root}/lake")
 
 
-@query
-def lifecycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lived(spark: SparkSession, sf_dir: str) -> tuple[lifecycle.LifecycleResult, str]:
     """All stages, from files whose codes are all known to the dimensions."""
     root = scratch_dir(spark, "lifecycle")
     payment, rate = D.dim_payment_type(spark), D.dim_rate_code(spark)
@@ -177,7 +176,58 @@ def lifecycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for month in X.raw_months(spark, sf_dir)
     ]
-    result = lifecycle.run_lifecycle(spark, X.write_raw_months(months, f"{root}/in"), f"{root}/out")
+    return lifecycle.run_lifecycle(spark, X.write_raw_months(months, f"{root}/in"), f"{root}/out"), root
+
+
+@query
+def lifecycle_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every table the life-cycle writes, in one layout: place, key, and two
+    values. Of the model, the rows it was trained and tested on."""
+    result, root = lived(spark, sf_dir)
+    none = F.lit(None)
+    trip = F.concat_ws(":", "PULocationID", "DOLocationID", "payment_type_id", "rate_code_id")
+    names = [f"trips-{number}.parquet" for number in range(1, 5)]
+    raw = parquet.read_months(spark, [f"{root}/out/raw/{name}" for name in names], batch_column="batch")
+    tables = [
+        ("landed", result.landed, F.col("file"), F.col("rows"), none),
+        ("raw", raw, F.concat_ws(":", "batch", "PULocationID", "DOLocationID"), F.col("trip_distance"), F.col("total_amount")),
+        (
+            "lake", parquet.read_parts(spark, result.lake).withColumnsRenamed(
+                {"payment_type": "payment_type_id", "RatecodeID": "rate_code_id"}
+            ).withColumn("rate_code_id", F.col("rate_code_id").cast("int")),
+            trip, F.col("trip_distance"), F.col("total_amount"),
+        ),
+        (
+            "fact", warehouse.read_table(spark, result.warehouse, warehouse.FACT), trip,
+            F.col("trip_distance"), F.col("total_amount"),
+        ),
+        (
+            "model", result.model, F.concat_ws(":", F.lit("rows"), F.col("passed").cast("string")),
+            F.col("n_train") + F.col("n_test"), none,
+        ),
+    ]
+    for table, (key, _) in warehouse.DIMENSIONS.items():
+        dim = warehouse.read_table(spark, result.warehouse, table)
+        tables.append((table, dim, F.concat_ws(":", key, dim.columns[1]), none, none))
+    frames = [
+        frame.select(
+            F.lit(name).alias("place"), key.cast("string").alias("key"), a.cast("double").alias("a"), b.cast("double").alias("b")
+        )
+        for name, frame, key, a, b in tables
+    ]
+    fact = warehouse.read_table(spark, result.warehouse, warehouse.FACT)
+    written = mart_rows({name: spark.read.parquet(path) for name, path in result.marts.items()}, fact)
+    written = written.select(
+        F.concat(F.lit("mart:"), "mart").alias("place"),
+        F.concat_ws("|", "key", "counts").alias("key"), "a", "b",
+    )
+    return reduce(DataFrame.unionByName, [*frames, written])
+
+
+@query
+def lifecycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of what the life-cycle writes."""
+    result, _ = lived(spark, sf_dir)
     landed = result.landed.agg(F.sum("rows").alias("landed_rows")).scalar()
     trained = result.model.select(F.col("n_train") + F.col("n_test")).scalar()
     kpi = spark.read.parquet(result.marts["kpi"]).select(
