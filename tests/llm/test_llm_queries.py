@@ -107,3 +107,17 @@ def test_token_counts_are_the_librarys(spark, sf_dir, texts):
         fits = row["fits_512"]
         assert len(library.encode(text[:fits], add_special_tokens=False).ids) <= 512
         assert fits == len(text) if count <= 512 else fits < len(text)
+
+
+def test_token_counts_of_every_prefix_are_the_librarys(spark, sf_dir, texts):
+    library = Tokenizer.from_file(L.BYTE_VOCABULARY)
+    odd = ["", " ", "a", "don't 've  \n\n x", "<|endoftext|>a<|endo", "é́‍😀😀 ſ", "x" * 300, "   1234567 \t\r\n", "'S 's ''ll", "日本語のテキスト"]
+    short = sorted(texts.values(), key=len)[::40]
+    cases = odd + [text[:400] for text in short]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    rows = L.token_counts.token_counts(df, L.BYTE_VOCABULARY, prefixes=True).collect()
+    assert len(rows) == len(cases)
+    for row in rows:
+        text = cases[row["doc_id"]]
+        expected = [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(len(text) + 1)]
+        assert row["prefix_tokens"] == expected, text[:50]
