@@ -322,7 +322,7 @@ def test_leaks_tolerate_replaced_words(spark, monkeypatch):
         assert {r["doc_id"] for r in found} == expected
         assert {r["at"] for r in found if r["doc_id"] == 1} == {1}
     more = spark.createDataFrame(
-        [(8, "so: a whole short item of nine words it is!"), (9, "a whole short item of nine other it is")],
+        [(8, "so: a whole short item of nine words it is!"), (9, "a whole short item of other other it is")],
         "doc_id long, text string",
     )
     assert {(r["doc_id"], r["item_id"], r["same"]) for r in decontaminate.find_leaks(more, bench).collect()} == {(8, 1, 9)}
@@ -338,11 +338,11 @@ def test_leaks_of_short_items(spark):
             text = " ".join("other" if i in gone else word for i, word in enumerate(words))
             for body in (f"some words before {text} and after", text):
                 docs.append((len(docs), body))
-                if n >= 8 and len(gone) <= (0 if n < 10 else 1 if n < 13 else 2):
+                if n >= 8 and len(gone) <= (1 if n < 13 else 2):
                     expected.add((len(docs) - 1, n, n - len(gone), 3 if body != text else 0))
         for cut in (words[1:], words[:-1]):  # a word lost at the document's start or end
             docs.append((len(docs), " ".join(cut)))
-            if n >= 10:
+            if n >= 8:
                 expected.add((len(docs) - 1, n, n - 1, 0))
     with pytest.warns(UserWarning, match="2 benchmark items of fewer than 8 words"):
         leaks = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench)

@@ -6,7 +6,7 @@ passage. The two masks are chosen so that every stretch of 13 words with at most
 replaced ones holds a hit of at least one of them. Seeds of documents and of benchmark
 items meet in an equi-join, and around each hit the texts are laid side by side: a leak is
 a stretch of 13 words of an item, of which the document has at least 11 at the same places.
-Items of 10 to 12 words have a seed of their own and may have one word replaced.
+Items of 8 to 12 words have a seed of their own and may have one word replaced.
 
 Everything here is built-in functions: no Python runs on the executors. The words of a
 document stay in its row, from the seeds to the comparison; only what is found is shuffled.
@@ -31,10 +31,8 @@ WINDOW = 13
 REPLACED = 2
 
 # Items of fewer words are too short to tell a leak from chance; those between this and
-# the window have to occur as a whole, from LEAST_TOLERANT words on with at most one
-# replaced, below that word for word.
+# the window have to occur as a whole, with at most one word replaced.
 LEAST_WORDS = 8
-LEAST_TOLERANT = 10
 
 # Seeds joined at a time: about 50 MB to broadcast. A larger benchmark is taken in blocks.
 SEEDS_AT_ONCE = 1_000_000
@@ -47,7 +45,7 @@ def _seed(number: int, places: tuple[int, ...], words: Column, at: Column) -> Co
 def _short_mask(n: int) -> tuple[int, ...]:
     """The places of an item of n words below the window. Every other place, from the first
     word and from the second, leaves out each word once."""
-    return tuple(range(n)) if n < LEAST_TOLERANT else tuple(range(0, n // 2 * 2, 2))
+    return tuple(range(0, n // 2 * 2, 2))
 
 
 def short_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -119,7 +117,8 @@ def find_leaks(
         F.xxhash64(F.lit(8), column(key), body).alias("doc_b"),
         F.transform(words_of(body), lambda w: F.xxhash64(w)).alias("words"),
     )
-    last = F.size("words") - LEAST_WORDS
+    # Seeds of the shortest items span one word less than these.
+    last = F.size("words") - LEAST_WORDS + 1
     at = F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)))
     spread = given.select("id", "doc_a", "doc_b", "words", at.alias("i"))
     spread = spread.select(
@@ -182,11 +181,7 @@ def _leaks_of_block(spread: DataFrame, seeds: DataFrame, items: DataFrame, masks
             (s + F.col("shift")).alias("at"),
         ),
     )
-    needed = (
-        F.when(F.col("n") < LEAST_TOLERANT, F.col("n"))
-        .when(F.col("n") < WINDOW, F.col("n") - 1)
-        .otherwise(F.lit(WINDOW - REPLACED))
-    )
+    needed = F.when(F.col("n") < WINDOW, F.col("n") - 1).otherwise(F.lit(WINDOW - REPLACED))
     best = compared.withColumn("best", F.array_min(counts))
     # A stretch of an item may begin before the document does; then only the rest is equal.
     rank = F.col("best.minus").cast("long") * F.lit(1 << 40) + F.greatest(F.col("best.at"), F.lit(0)).cast("long")
