@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import html as H
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator

@@ -142,8 +142,18 @@ def literal_score(literal: str, quoted: bool = True) -> float:
     return min(1.0, entropy / 4.0) * min(1.0, 0.55 + 0.15 * kinds)
 
 
-# A text without any of these has no sensitive name.
-TELLING = re.compile("|".join(sorted(NAME_WEIGHTS, key=len, reverse=True)), re.IGNORECASE)
+# A sensitive name holds one of the first, or two of the others.
+_ALONE = [word for word, weight in NAME_WEIGHTS.items() if weight >= LEAST_SCORE]
+_TOGETHER = [word for word, weight in NAME_WEIGHTS.items() if weight < LEAST_SCORE]
+
+
+def may_name_secrets(text: str) -> bool:
+    """False if a text can hold no sensitive name, or nothing that gives a name a value."""
+    if not any(mark in text for mark in ("=", ":", "(", "<", "--")):
+        return False
+    lower = text.lower()
+    return any(word in lower for word in _ALONE) or sum(map(lower.count, _TOGETHER)) > 1
+
 
 _PLAIN = re.compile(r"[\w.$@-]+\Z")
 
@@ -199,7 +209,7 @@ class _Values:
 def named_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, name, score) of literals that reach a sensitive name, directly or
     through other names. Each is listed once, with its best score."""
-    if not TELLING.search(text):
+    if not may_name_secrets(text):
         return []
     values = _Values(text)
     targets: list[tuple[float, str, list[tuple]]] = []
