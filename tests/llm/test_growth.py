@@ -1,5 +1,6 @@
 """Filters on results, very many lines, keys of any type: time and plans that do not grow."""
 
+import re
 import time
 
 import pytest
@@ -58,6 +59,21 @@ def test_time_of_line_removal_grows_with_the_lines(spark):
     assert seconds(32_000) < 2.5 * max(0.4, seconds(16_000))
 
 
+def test_texts_are_shuffled_once_to_lose_their_lines(spark, plan):
+    rows = [(i, f"shared\nown {i}", f"s{i}", "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        text = plan(line_dedup.dedup_lines(docs))
+    finally:
+        spark.conf.set(threshold, before)
+    dealt = re.findall(r"\(\d+\) Exchange *\nInput \[\d+\]: \[(.*)\]", text)
+    names = [sorted(re.sub(r"#\d+L?", "", part).split(", ")) for part in dealt]
+    assert sorted(names) == [["doc_a", "doc_b", "places"], ["doc_a", "doc_b", "row"]]
+
+
 @pytest.mark.parametrize("kind, keys", [
     ("string", ["b", "a", "ß", None, "10", "9"]),
     ("long", [-(2**63), 2**63 - 1, 0, None, -1, 5]),

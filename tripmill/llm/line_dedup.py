@@ -117,10 +117,10 @@ def dedup_lines(
     removed = written(removed, "line-removals")
     body = column(text).cast("string")
     hash_a, hash_b = document_hashes(column(key), body)
-    joined = packed(docs, doc_a=hash_a, doc_b=hash_b, body=body).join(
-        removed, ["doc_a", "doc_b"], "left"
-    )
-    joined = with_fixed(joined, every=lines_of(F.col("body")))
+    # The text goes through the join once, within its row.
+    joined = packed(docs, doc_a=hash_a, doc_b=hash_b).join(removed, ["doc_a", "doc_b"], "left")
+    body = F.col("row").getField(text).cast("string")
+    joined = with_fixed(joined, every=lines_of(body))
     every, places = F.col("every"), F.col("places")
     stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), places)
     cleaned = F.array_join(F.transform(stay, lambda i: F.get(every, i)), "\n")
@@ -129,7 +129,7 @@ def dedup_lines(
         joined,
         docs,
         **{
-            text: F.when(places.isNull(), F.col("body")).otherwise(cleaned),
+            text: F.when(places.isNull(), body).otherwise(cleaned),
             "__lines": F.size(solid).cast("long"),
             "__removed": F.coalesce(F.size(places), F.lit(0)).cast("long"),
         },
